@@ -11,21 +11,23 @@ from leadsieve.functions.text import strip
 def normalize_domain(col: Column) -> Column:
     """A messy cell as a bare lowercase host, '' if it holds none.
 
-    International hosts go through the JVM's IDNA 2003 encoder; the branch is only
-    evaluated for rows with non-ASCII hosts.
+    Blank tokens such as N/A hold no dot, so they fail the pattern like any other word.
+    International names go through the JVM's IDNA 2003 encoder; that branch is only
+    evaluated for cells with non-ASCII characters.
     """
     cell = strip(F.coalesce(col, F.lit("")))
     cell = F.trim(F.trim(cell, F.lit('"')), F.lit("'"))
-    blank = F.lower(cell).isin("", *C.NULL_TOKENS)
     host = F.regexp_replace(cell, r"(?i)^\s*(?:https?:)?//", "")
-    host = F.regexp_extract(host, r"(?s)^[^/?#]*", 0)
-    host = F.substring_index(host, "@", -1)
+    host = F.substring_index(F.regexp_extract(host, r"^[^/?#]*", 0), "@", -1)
     host = F.lower(F.trim(strip(host), F.lit(".")))
     host = F.regexp_replace(host, r":\p{Nd}+$", "")
     encoded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), host, F.lit(1))
-    host = F.when(host.rlike(r"[^\x00-\x7f]"), F.when(~host.contains(" "), encoded)).otherwise(host)
-    valid = ~blank & host.rlike(r"^[a-z0-9.-]+\.[a-z]{2,}$")
-    return F.when(valid, host).otherwise(F.lit(""))
+
+    def valid(name: Column) -> Column:
+        return F.regexp_extract(name, r"^[a-z0-9.-]+\.[a-z]{2,}$", 0)
+
+    return F.when(col.rlike(r"[^\x00-\x7f]"), F.coalesce(valid(encoded), F.lit(""))) \
+        .otherwise(valid(host))
 
 
 def candidate_urls(domain: Column) -> Column:

@@ -81,9 +81,10 @@ def score_url_columns(leads: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("column"), F.lit(i).alias("ord"), F.lit(header_score(c)).alias("hint"))
         for i, c in enumerate(names)]))
     table = leads.sparkSession.range(1).select(headers.alias("h")).select("h.*")
-    shares = _first_values(leads, C.HOST_SAMPLE).groupBy("column").agg(
-        F.count_if(normalize_domain(F.col("value")) != "").alias("hosts"),
-        F.count("*").alias("sampled"))
+    sampled = _first_values(leads, C.HOST_SAMPLE).select(
+        "column", normalize_domain(F.col("value")).alias("host"))
+    shares = sampled.groupBy("column").agg(
+        F.count_if(F.col("host") != "").alias("hosts"), F.count("*").alias("sampled"))
     share = F.coalesce(F.col("hosts") / F.col("sampled"), F.lit(0.0))
     scored = table.join(shares, "column", "left").select(
         "column", "ord", share.alias("host_share"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +35,9 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    _checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -89,13 +89,16 @@ def crawlable_link(href: Column) -> Column:
     return (F.coalesce(href, F.lit("")) != "") & ~href.rlike("(?i)" + C.SKIP_LINK_PATTERN)
 
 
-def _without_dots(path: Column) -> Column:
-    """A path with its empty inner, '.' and '..' segments resolved."""
-    parts = F.split(path, "/")
-    last = F.size(parts)
-    kept = F.filter(parts, lambda p, i: (i == 0) | (i == last - 1) | (p != ""))
+def _inner_filled(parts: Column) -> Column:
+    """Segments without the empty ones between the first and the last."""
+    last = F.size(parts) - 1
+    return F.filter(parts, lambda p, i: (i == 0) | (i == last) | (p != ""))
+
+
+def _without_dots(parts: Column) -> Column:
+    """A path from its segments, with '.' and '..' resolved."""
     walked = F.aggregate(
-        kept, F.array().cast("array<string>"),
+        parts, F.array().cast("array<string>"),
         lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
                          .when(p == ".", done).otherwise(F.concat(done, F.array(p))))
     trailing = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
@@ -112,16 +115,18 @@ def resolve_link(base: Column, href: Column) -> Column:
     rest = F.when(own != "", F.regexp_replace(link, "^[^:]*:", "")).otherwise(link)
     scheme = F.when(own != "", own).otherwise(base_scheme)
     other = (own != "") & (own != base_scheme)
-    netloc = F.when(rest.startswith("//"), F.regexp_extract(rest, "^//([^/?#]*)", 1)) \
-              .when(other, F.lit("")).otherwise(host_of(base))
+    given = F.regexp_extract(rest, "^//([^/?#]*)", 1)
+    absolute = other | (given != "")
+    netloc = F.when(absolute, given).otherwise(host_of(base))
     path = F.regexp_extract(rest, "^(?://[^/?#]*)?([^?#]*)", 1)
     bare = F.regexp_replace(path, ";[^/]*$", "")
     local = (
         F.when(path == "", url_path(base))
-        .when(bare.startswith("/"), _without_dots(bare))
-        .otherwise(_without_dots(F.concat(F.when(base_dir == "", "/").otherwise(base_dir), bare)))
+        .when(bare.startswith("/"), _without_dots(F.split(bare, "/")))
+        .otherwise(_without_dots(_inner_filled(F.split(F.concat(
+            F.when(base_dir == "", "/").otherwise(base_dir), bare), "/"))))
     )
-    full_path = F.when(rest.startswith("//") | other, bare).otherwise(local)
+    full_path = F.when(absolute, bare).otherwise(local)
     clean = F.concat(scheme, F.lit("://"), netloc, F.rtrim(full_path, F.lit("/")))
     return F.when(scheme.isin("http", "https"), clean)
 

@@ -14,7 +14,7 @@ PAGE_TYPE = ("struct<url:string,title:string,description:string,"
 
 # Attributes of a tag; quotes count only after '='. Possessive, so linear.
 _ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
-_TAG = rf"</?[A-Za-z]{_ATTRS}|<[!?/][^>]*>|<[/!?A-Za-z][^>]*\z"
+_TAG = rf"</?[A-Za-z]{_ATTRS}|<[!?/][^>]*>|<(?:[/!?A-Za-z][^>]*)?\z"
 _UNSEEN = (r"(?is)<!--.*?(?:--!?>|\z)"
            r"|<(script|style)(?:\s(?:[^>]*[^/>])?)?>.*?(?:</\s*\1\s*>|\z)")
 _TITLE = r"(?is)<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\z)"
@@ -85,7 +85,8 @@ def unescape(col: Column) -> Column:
 
 
 def _untagged(markup: Column) -> Column:
-    return F.regexp_replace(markup, _TAG, " ")
+    """Markup with its tags read as breaks; a lone '<' stands as a word of its own."""
+    return F.replace(F.regexp_replace(markup, _TAG, " "), F.lit("<"), F.lit(" < "))
 
 
 def _outside_hidden(marked: Column) -> Column:

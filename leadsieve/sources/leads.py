@@ -56,21 +56,23 @@ def index_scan(scan: DataFrame, file: str, start: str) -> DataFrame:
         (F.col("_id") - F.col("_first") + F.col("_before")).alias("row_idx"), *data)
 
 
+_CSV = dict(header=True, quote='"', escape='"', emptyValue="", nullValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def write_qualified(merged: DataFrame, path: str) -> None:
     """Deliver the merged leads as one UTF-8 CSV with BOM, in input order.
 
     The delivery format asks for a single file; `write_qualified_parts` writes many.
     """
     out = qualified(merged).orderBy("row_idx").drop("row_idx")
-    _with_bom(out).coalesce(1).write.mode("errorifexists").csv(
-        path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+    _with_bom(out).coalesce(1).write.mode("errorifexists").csv(path, **_CSV)
 
 
 def write_qualified_parts(merged: DataFrame, path: str) -> None:
     """The same rows as sorted part files, for tables one task should not write."""
     out = qualified(merged).orderBy("row_idx").drop("row_idx")
-    out.write.mode("errorifexists").csv(path, header=True, quote='"', escape='"',
-                                        emptyValue="", nullValue="")
+    out.write.mode("errorifexists").csv(path, **_CSV)
 
 
 def _with_bom(df: DataFrame) -> DataFrame:

@@ -121,7 +121,13 @@ def decide(answers: DataFrame, grades: DataFrame, signals: list[Signal],
     answers: (domain, qid, noul, seq). grades: (domain, choice, p_good, p_avg, p_unfit,
     confidence), one row per domain.
     """
-    rolled = signal_rollup(complete_answers(answers_wide(answers, signals), signals), signals, limits)
+    return decide_wide(answers_wide(answers, signals), grades, signals, limits)
+
+
+def decide_wide(wide: DataFrame, grades: DataFrame, signals: list[Signal],
+                limits: Thresholds = Thresholds()) -> DataFrame:
+    """`decide` on answers that are one row per domain already."""
+    rolled = signal_rollup(complete_answers(wide, signals), signals, limits)
     p = [F.coalesce(F.col(c), F.lit(0.0)) for c in ("p_good", "p_avg", "p_unfit")]
     largest = F.when((p[0] >= p[1]) & (p[0] >= p[2]), "Good").when(p[1] >= p[2], "Avg") \
         .otherwise("Unfit")
@@ -183,12 +189,17 @@ def review_flags(confidence: Column, limits: Thresholds) -> Column:
 def incremental_decide(sites: DataFrame, answers: DataFrame, grades: DataFrame,
                        decisions: DataFrame, signals: list[Signal],
                        done: DataFrame | None = None) -> DataFrame:
-    """Decisions for gate-passed domains that have none yet; a rerun adds nothing."""
+    """Decisions for gate-passed domains that have none yet; a rerun adds nothing.
+
+    Answers fold to one row per domain before they meet the open domains, so a domain
+    with very many answers is small by then, and the join reuses their partitioning.
+    """
     open_sites = sites.where("gate_ok").select("domain").join(
         decisions.select("domain"), "domain", "left_anti")
     if done is not None:
         open_sites = open_sites.join(done.select("domain"), "domain", "left_anti")
-    return decide(answers.join(open_sites, "domain", "left_semi"), grades, signals)
+    wide = answers_wide(answers, signals).join(open_sites, "domain", "left_semi")
+    return decide_wide(wide, grades, signals)
 
 
 # --- questions ----------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadsieve import constants as C
 from leadsieve.functions.domains import normalize_domain
@@ -12,6 +12,12 @@ from leadsieve.functions.text import reason_family
 from leadsieve.operators.profile import lead_context
 from leadsieve.operators.selection import latest_by
 from leadsieve.operators.verdicts import domain_verdicts, judge_of, missing_comments
+from leadsieve.session import checkpointed
+
+
+def _over_all(col: Column) -> Column:
+    """An aggregate over all rows of a result that holds a few lines."""
+    return col.over(Window.partitionBy())
 
 
 def _percent(n: Column, total: Column) -> Column:
@@ -21,19 +27,16 @@ def _percent(n: Column, total: Column) -> Column:
 def crawl_report(results: DataFrame, top: int = 12) -> DataFrame:
     """Passed and failed counts, accepted tiers with average text, failure families.
 
-    One pass over the results; the sections come from its few groups.
+    One pass over the results; its few groups are checkpointed and feed every section.
     """
-    groups = results.groupBy(
+    groups = checkpointed(results.groupBy(
         "gate_ok", F.coalesce("source_tier", F.lit("")).alias("tier"),
         reason_family(F.col("gate_reason")).alias("family")).agg(
-        F.count("*").alias("n"), F.sum("chars").alias("chars"))
-    total = groups.agg(F.sum("n").alias("total"))
+        F.count("*").alias("n"), F.sum("chars").alias("chars")))
     gate = groups.groupBy(F.when(F.col("gate_ok"), "passed").otherwise("failed").alias("key")) \
         .agg(F.sum("n").alias("n"))
-    # `total` is a single row.
-    shares = gate.join(F.broadcast(total)).select(
-        F.lit("gate").alias("section"), "key", "n",
-        _percent(F.col("n"), F.col("total")).alias("value"))
+    shares = gate.select(F.lit("gate").alias("section"), "key", "n",
+                         _percent(F.col("n"), _over_all(F.sum("n"))).alias("value"))
     tiers = groups.where("gate_ok").groupBy(F.col("tier").alias("key")).agg(
         F.sum("n").alias("n"), (F.sum("chars") / F.sum("n")).alias("value")).select(
         F.lit("accepted by tier").alias("section"), "key", "n", "value")
@@ -51,8 +54,7 @@ def tally(df: DataFrame, col: str) -> DataFrame:
 def merge_report(merged: DataFrame, top: int = 8) -> DataFrame:
     """Distributions and warnings of a merged table, as (section, key, n, pct).
 
-    One pass by grouping sets; the sections come from its few groups, and comments of
-    pre-filtered rows are the only set that may hold more than a handful.
+    One pass by grouping sets; its groups are checkpointed and feed every section.
     """
     dq = F.when(F.col("_tier") == "prefilter", F.col("_comments"))
     rows = merged.select(
@@ -64,15 +66,13 @@ def merge_report(merged: DataFrame, top: int = 8) -> DataFrame:
         (~F.col("_assessed")).alias("unassessed"),
         (F.col("_bad_fitment").cast("int") + F.col("_bad_ranking").cast("int")).alias("bad"))
     keys = ["fitment", "ranking", "tier", "judge", "reason"]
-    sets = rows.groupingSets([[], *[[k] for k in keys]], *keys).agg(
+    sets = checkpointed(rows.groupingSets([[], *[[k] for k in keys]], *keys).agg(
         F.grouping_id().alias("_set"), F.count("*").alias("n"),
         *[F.count_if(c).alias(c) for c in ("divergent", "flagged", "disagree", "unassessed")],
-        F.sum("bad").alias("bad"))
+        F.sum("bad").alias("bad")))
     full = (1 << len(keys)) - 1
     masks = {k: full ^ (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
-    # The empty grouping set is a single row.
-    total = sets.where(F.col("_set") == full).select("n", "divergent", "flagged", "disagree",
-                                                     "unassessed", "bad")
+    total = sets.where(F.col("_set") == full)
     section = F.coalesce(*[F.when(F.col("_set") == m, F.lit(k)) for k, m in masks.items()])
     spread = sets.where(F.col("_set").isin([masks[k] for k in keys[:-1]])).select(
         section.alias("section"), F.coalesce(*keys).alias("key"), "n")
@@ -83,9 +83,10 @@ def merge_report(merged: DataFrame, top: int = 8) -> DataFrame:
         F.struct(F.lit(c).alias("key"), F.col(c).cast("bigint").alias("n"))
         for c in ("divergent", "flagged", "disagree", "unassessed", "bad")])).alias("w")).select(
         F.lit("rows").alias("section"), "w.key", "w.n")
-    counts = total.select(F.col("n").alias("_total"))
-    return reduce(DataFrame.unionAll, [spread, reasons, warnings]).join(F.broadcast(counts)).select(
-        "section", "key", "n", _percent(F.col("n"), F.col("_total")).alias("pct"))
+    # A few dozen lines are left; every row has one fitment.
+    lines = reduce(DataFrame.unionAll, [spread, reasons, warnings])
+    counted = _over_all(F.sum(F.when(F.col("section") == "fitment", F.col("n"))))
+    return lines.select("section", "key", "n", _percent(F.col("n"), counted).alias("pct"))
 
 
 # --- two judges ---------------------------------------------------------------
@@ -112,13 +113,12 @@ def agreement_matrix(pairs: DataFrame, manual: str, model: str, labels: list[str
     """Counts of label pairs (rows manual, columns model) with the overall agreement share."""
     cells = pairs.groupBy(F.col(manual).alias("manual"), F.col(model).alias("model")).agg(
         F.count("*").alias("n"))
-    # Few label pairs are left; the total is a single row.
-    total = cells.agg((F.sum(F.when((F.col("manual") == F.col("model"))
-                                    & F.col("manual").isin(labels), F.col("n")).otherwise(0))
-                       / F.sum("n")).alias("agree_share"))
-    grid = cells.where(F.col("manual").isin(labels)).groupBy("manual").pivot("model", labels) \
-        .agg(F.sum("n")).na.fill(0, subset=labels)
-    return grid.join(F.broadcast(total))
+    # Few label pairs are left.
+    agreed = F.when((F.col("manual") == F.col("model")) & F.col("manual").isin(labels), F.col("n")) \
+        .otherwise(0)
+    shared = cells.withColumn("agree_share", _over_all(F.sum(agreed)) / _over_all(F.sum("n")))
+    return shared.where(F.col("manual").isin(labels)).groupBy("manual", "agree_share") \
+        .pivot("model", labels).agg(F.sum("n")).na.fill(0, subset=labels)
 
 
 def mean_probability_by_grade(pairs: DataFrame) -> DataFrame:
@@ -189,11 +189,12 @@ def next_batch(sites: DataFrame, done: DataFrame, leads: DataFrame, url_col: str
                n: int = C.REVIEW_BATCH) -> DataFrame:
     """The next n passed domains without a verdict, in lead order, with context and digest.
 
-    sites: (domain, first_row, gate_ok, digest, ...). Only the n chosen rows meet the leads.
+    sites: (domain, first_row, gate_ok, digest, ...). The n chosen rows are checkpointed,
+    so the sites are read once, and only they meet the leads.
     """
-    batch = sites.where("gate_ok").join(
-        domain_verdicts(done).select("domain"), "domain", "left_anti") \
-        .orderBy("first_row").limit(n)
+    batch = checkpointed(sites.where("gate_ok").join(
+        domain_verdicts(done).select("domain"), "domain", "left_anti")
+        .orderBy("first_row").limit(n))
     return _with_context(batch, leads, url_col)
 
 
@@ -210,7 +211,7 @@ def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
                   verdicts: DataFrame, leads: DataFrame, url_col: str,
                   n: int = C.REVIEW_BATCH) -> DataFrame:
     """The next n decided domains without a comment: verdict, signals, notes, context, digest."""
-    batch = missing_comments(decisions, comments, verdicts).orderBy("seq").limit(n)
+    batch = checkpointed(missing_comments(decisions, comments, verdicts).orderBy("seq").limit(n))
 
     def texts(kind: str) -> Column:
         mine = F.filter("signals_present", lambda s: s["kind"] == kind)

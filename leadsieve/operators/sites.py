@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadsieve import constants as C
@@ -79,16 +77,19 @@ def resolve_cascade(attempts: DataFrame, tiers: list[str],
         (~F.col("gate_ok")).alias("failed"),
         F.when(F.col("gate_ok"), tier_rank).otherwise(-F.col("chars")).alias("rank"),
         F.col("seq"))
-    best = attempts.groupBy("domain").agg(F.min_by(F.struct(
-        *[c for c in attempts.columns if c != "domain"]), order).alias("_best"),
-        F.count("*").alias("n_attempts")).select("domain", "_best.*", "n_attempts")
+    fields = [c for c in attempts.columns if c != "domain"]
+    best = attempts.groupBy("domain").agg(
+        F.min_by(F.struct(*fields), order).alias("_best"), F.count("*").alias("n_attempts"))
     if domains is None:
-        return best
-    absent = domains.select("domain").join(best, "domain", "left_anti").select(
-        "domain", F.lit("no_url").alias("status"), F.lit("no tiers ran").alias("error"),
-        F.lit(False).alias("gate_ok"), F.lit("status:no_url").alias("gate_reason"),
-        F.lit(0).cast("bigint").alias("chars"), F.lit(0).cast("bigint").alias("n_attempts"))
-    return best.unionByName(absent, allowMissingColumns=True)
+        return best.select("domain", "_best.*", "n_attempts")
+    asked = best.join(domains.select("domain").distinct(), "domain", "full")
+    default = {"status": F.lit("no_url"), "error": F.lit("no tiers ran"), "gate_ok": F.lit(False),
+               "gate_reason": F.lit("status:no_url"), "chars": F.lit(0)}
+    tried = F.col("_best").isNotNull()
+    return asked.select(
+        "domain", *[F.when(tried, F.col(f"_best.{c}")).otherwise(default.get(c, F.lit(None))).alias(c)
+                    for c in fields],
+        F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"))
 
 
 def untried_tiers(domains: DataFrame, attempts: DataFrame, tiers: list[str]) -> DataFrame:

@@ -9,9 +9,9 @@ from leadsieve import constants as C
 from leadsieve.operators import reports as R, selection as Sel, sites as Sites
 from leadsieve.operators.gate import build_digest, dedupe_headings, gate_split, quality_gate
 from leadsieve.operators.verdicts import resolve_failed
-from leadsieve.plans.campaign import crawl_results
+from leadsieve.plans.campaign import crawl_results, gated_sites as gated_sites_of
 from leadsieve.session import scratch_folder, spread
-from leadsieve.sources.pages import ingest_pages, with_text
+from leadsieve.sources.pages import ingest_pages
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
 c = F.col
@@ -120,8 +120,7 @@ SELECT {S.family('gate_reason')} AS family, count(*) AS n, CAST(sum(n_pages) AS
   CAST(sum(chars) AS BIGINT) AS chars FROM judged GROUP BY 1""")
 def _(spark, sf):
     from leadsieve.functions.text import reason_family
-    parsed = with_text(ingest_pages(spread(table(spark, sf, "pages"))).drop("links"))
-    gated = quality_gate(Sites.assemble_sites(parsed, "depth", "page_id"))
+    gated = gated_sites_of(spread(table(spark, sf, "pages")))
     return gated.groupBy(reason_family(c("gate_reason")).alias("family")).agg(
         F.count("*").alias("n"), F.sum(F.size("pages").cast("bigint")).alias("pages"),
         F.sum("chars").cast("bigint").alias("chars"))

@@ -9,6 +9,7 @@ from leadsieve.functions.domains import normalize_domain, path_depth, registrabl
 from leadsieve.functions.text import site_status
 from leadsieve.operators.selection import latest_by
 
+SALTS = 64
 PAGE_FIELDS = ["url", "title", "description", "headings", "text", "http_status"]
 
 
@@ -27,16 +28,25 @@ def domain_rows(leads: DataFrame, url_col: str) -> DataFrame:
                         F.trim(F.coalesce(F.col(url_col), F.lit(""))).alias("raw"))
 
 
-def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES) -> DataFrame:
+def _first_pages(pages: DataFrame, keys: list[str], order: tuple[str, ...], n: int) -> DataFrame:
+    rank = Window.partitionBy(*keys).orderBy(*order)
+    return pages.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= n)
+
+
+def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES,
+                   hot: list[str] = ()) -> DataFrame:
     """One site per domain from its first pages: page list, body size and status.
 
     `order` must be unique within a domain. The page cap is a window limit, which
-    Spark applies inside each task before the shuffle, so a domain with very many
-    pages never sends more than the cap per task.
+    Spark applies inside each task before the shuffle, so a domain never sends more
+    than the cap per task. Domains named `hot` are capped per salt first, so that not
+    even those rows meet in one task.
     """
-    rank = Window.partitionBy("domain").orderBy(*order)
-    first = pages.select("*", F.row_number().over(rank).alias("_rank")).where(
-        F.col("_rank") <= max_pages)
+    if hot:
+        salt = F.when(F.col("domain").isin(list(hot)), F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+        salted = pages.withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        pages = _first_pages(salted, ["domain", "_salt"], order, max_pages).drop("_salt", "_rank")
+    first = _first_pages(pages, ["domain"], order, max_pages)
     listed = first.groupBy("domain").agg(F.array_sort(F.collect_list(
         F.struct("_rank", F.struct(*PAGE_FIELDS).alias("page")))).alias("_pages"))
     sites = listed.select("domain", F.col("_pages.page").alias("pages"))

@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadsieve.operators.decide import decide, incremental_decide
+from leadsieve.functions.domains import normalize_domain
+from leadsieve.operators.decide import incremental_decide
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.rules import prefilter
-from leadsieve.operators.selection import latest_by
+from leadsieve.operators.selection import hot_keys
 from leadsieve.operators.sites import assemble_sites
 from leadsieve.operators.verdicts import (all_verdicts, finalize, merge_verdicts, resolve_failed)
+from leadsieve.session import estimated_bytes
 from leadsieve.sources.pages import ingest_pages, with_text
 from leadsieve.sources.rubric import Rubric
 
+SEARCH_FROM_BYTES = 1 << 30
 
-def crawl_results(pages: DataFrame, tier: str = "plain") -> DataFrame:
-    """Raw pages as gated sites with digest: one shuffle, by domain."""
+
+def hot_hosts(pages: DataFrame) -> list[str]:
+    """Hosts that own a large part of the pages; small tables are not searched."""
+    if estimated_bytes(pages) < SEARCH_FROM_BYTES:
+        return []
+    return hot_keys(pages.select(normalize_domain(F.col("url")).alias("domain")), "domain")
+
+
+def gated_sites(pages: DataFrame, hot: list[str] | None = None) -> DataFrame:
+    """Raw pages as gated sites: one shuffle, by domain."""
+    hot = hot_hosts(pages) if hot is None else hot
     parsed = with_text(ingest_pages(pages).drop("links"))
-    gated = build_digest(quality_gate(assemble_sites(parsed, "depth", "page_id")))
+    return quality_gate(assemble_sites(parsed, "depth", "page_id", hot=hot))
+
+
+def crawl_results(pages: DataFrame, tier: str = "plain") -> DataFrame:
+    """Gated sites with digest, as the crawl log records them."""
+    gated = build_digest(gated_sites(pages))
     return gated.select("domain", "status", "gate_ok", "gate_reason",
                         F.lit(tier).alias("source_tier"), F.size("pages").alias("pages"),
                         "chars", F.lit("").alias("error"), "digest")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.selection import latest_by
 from leadsieve.operators.sites import assemble_sites
+from leadsieve.plans.campaign import hot_hosts
 from leadsieve.sources.pages import ingest_pages, with_text
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
@@ -33,7 +34,7 @@ def _intake(batch: DataFrame, batch_id: int, out_dir: str) -> None:
     # A site is rebuilt from all of its pages, those of earlier batches included.
     known = spark.read.parquet(f"{out_dir}/pages").where(F.col("batch_id") <= batch_id)
     sites = assemble_sites(with_text(known.join(touched, "domain", "left_semi")),
-                           "depth", "page_id")
+                           "depth", "page_id", hot=hot_hosts(known))
     build_digest(quality_gate(sites)).write.mode("overwrite").parquet(
         f"{out_dir}/sites/batch_id={batch_id}")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from leadsieve.functions.html import PAGE_TYPE
 from leadsieve.operators.gate import build_digest, quality_gate
+from leadsieve.operators.selection import hot_keys
 from leadsieve.operators.sites import assemble_sites
 
 COPY = ("Harbor crane rental for inland ports across five river basins. Crews rig, lift and place turbine "
@@ -78,7 +79,9 @@ def test_assembly_caps_pages_per_domain(spark):
         F.col("id").alias("ord"), F.concat(F.lit("https://x.com/"), "id").alias("url"), F.lit("t").alias("title"),
         F.lit("").alias("description"), F.array().cast("array<string>").alias("headings"),
         F.repeat(F.lit("a"), 100).alias("text"), F.lit(200).alias("http_status"))
+    assert hot_keys(pages, "domain", at_least=1000) == ["hot.com"]
     rows = {r.domain: r for r in assemble_sites(pages, "ord").collect()}
+    assert {r.domain: r for r in assemble_sites(pages, "ord", hot=["hot.com", "d1.com"]).collect()} == rows
     assert len(rows) == 51
     assert [p.url for p in rows["hot.com"].pages] == [f"https://x.com/{i}" for i in (0, 3, 6, 9, 12)]
     assert rows["hot.com"].chars == 500 and rows["hot.com"].status == "ok"

@@ -9,6 +9,9 @@ from checks.registry import fixture, query, table
 from leadsieve import constants as C
 from leadsieve.functions.text import rounded
 from leadsieve.operators import decide as J, reports as R, selection as Sel, verdicts as V
+from leadsieve.session import scratch_folder
+from leadsieve.sources.leads import read_leads, write_qualified
+from leadsieve.sources.logs import append_log, read_log
 
 c = F.col
 RUBRIC = [J.Signal(kind, id_, f"{kind} {id_}", weight) for kind, id_, weight, _, _ in SIGNALS]
@@ -198,6 +201,34 @@ def _(spark, sf):
     return fixture(spark, sf, "results").select("domain", J.build_state(c("digest"), c("source_tier")).alias("state"))
 
 
+@query("load_rubric", """
+SELECT campaign, 'rule' AS kind, p_partkey % 8 AS ord, 's' || p_partkey AS id, p_brand AS text, CAST(p_size AS DOUBLE) AS bound
+FROM (SELECT *, 'k' || CAST(floor(p_partkey / 8) AS BIGINT) AS campaign FROM part) WHERE p_size % 2 = 0 AND p_size % 5 <> 0
+UNION ALL SELECT campaign, 'disqualifier', p_partkey % 8, 's' || p_partkey, p_type, NULL
+FROM (SELECT *, 'k' || CAST(floor(p_partkey / 8) AS BIGINT) AS campaign FROM part) WHERE p_size % 2 = 1
+UNION ALL SELECT campaign, 'momentum', p_partkey % 8, 'm' || p_partkey, p_name, NULL
+FROM (SELECT *, 'k' || CAST(floor(p_partkey / 8) AS BIGINT) AS campaign FROM part) WHERE p_size % 3 <> 0""")
+def _(spark, sf):
+    from leadsieve.sources.rubric import explode_rubrics
+    crawl = c("p_size") % 2 == 1
+    rule = F.struct(
+        F.concat(F.lit("s"), "p_partkey").alias("id"), c("p_type").alias("rule"),
+        F.when(crawl, "crawl").otherwise("csv").alias("checkable_from"),
+        F.when(crawl, None).when(c("p_size") % 5 == 0, "").otherwise(c("p_brand")).alias("column"),
+        c("p_size").alias("min"))
+    sign = F.struct(F.concat(F.lit("m"), "p_partkey").alias("id"),
+                    F.when(c("p_size") % 3 == 0, "").otherwise(c("p_name")).alias("signal"))
+    in_order = lambda s: F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", s.alias("x")))), lambda e: e["x"])
+    # Eight entries per document.
+    documents = table(spark, sf, "part").groupBy(
+        F.concat(F.lit("k"), F.floor(c("p_partkey") / 8)).alias("campaign")).agg(
+        F.to_json(F.struct(in_order(rule).alias("disqualifiers"), in_order(sign).alias("momentum_signals"))).alias("rubric"))
+    rules, signals = explode_rubrics(documents)
+    none = F.lit(None).cast("double").alias("bound")
+    return rules.select("campaign", F.lit("rule").alias("kind"), "ord", "id", c("column").alias("text"), c("min").alias("bound")) \
+        .unionByName(signals.select("campaign", "kind", "ord", "id", "text", none))
+
+
 # A blank follows every colon and comma between JSON parts.
 _Q_CHARS = f"""q AS (SELECT CAST(sum(n) + 2 + 2 * (count(*) - 1) AS BIGINT) AS chars, campaign FROM (
     SELECT campaign, length({_json('qid')}) + 2 + length('{{"type":"noul","instructions":' || {_json('instructions')}
@@ -362,6 +393,26 @@ def _(spark, sf):
     return V.qualified(merged(spark, sf))
 
 
+@query("write_qualified", f"""
+WITH {_MERGED} SELECT row_idx, Company, Website, Employees, fitment AS "Fitment", CAST(ranking AS VARCHAR) AS "Ranking",
+  comments AS "Comments", crawl_status AS "Crawl_Status" FROM merged""")
+def _(spark, sf):
+    folder = scratch_folder(spark, "qualified")
+    write_qualified(merged(spark, sf), folder)
+    return read_leads(spark, folder).select("row_idx", "Company", "Website", "Employees", "Fitment", "Ranking",
+                                            "Comments", "Crawl_Status")
+
+
+@query("append_log", "SELECT domain, seq, fitment FROM decisions UNION ALL SELECT domain, seq, 'comment' FROM comments")
+def _(spark, sf):
+    folder, schema = scratch_folder(spark, "log"), "domain string, seq bigint, fitment string"
+    append_log(fixture(spark, sf, "decisions").select("domain", "seq", "fitment"), folder)
+    append_log(fixture(spark, sf, "comments").select("domain", "seq", F.lit("comment").alias("fitment")), folder)
+    # Half-written lines do not count.
+    table(spark, sf, "events").select(F.concat(F.lit('{"domain": "'), "user_id")).write.mode("append").text(folder)
+    return read_log(spark, folder, schema)
+
+
 _REASONS = "reasons AS (SELECT comments AS key, count(*) AS n FROM merged WHERE pre GROUP BY 1 ORDER BY n DESC, key LIMIT 8)"
 
 

@@ -37,7 +37,8 @@ def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES,
                    hot: list[str] = ()) -> DataFrame:
     """One site per domain from its first pages: page list, body size and status.
 
-    `order` must be unique within a domain. The page cap is a window limit, which
+    `order` must be unique within a domain; `places` keeps it, so that a site can take
+    further pages later. The page cap is a window limit, which
     Spark applies inside each task before the shuffle, so a domain never sends more
     than the cap per task. Domains named `hot` are capped per salt first, so that not
     even those rows meet in one task.
@@ -47,13 +48,21 @@ def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES,
         salted = pages.withColumn("_salt", F.coalesce(salt, F.lit(0)))
         pages = _first_pages(salted, ["domain", "_salt"], order, max_pages).drop("_salt", "_rank")
     first = _first_pages(pages, ["domain"], order, max_pages)
-    listed = first.groupBy("domain").agg(F.array_sort(F.collect_list(
-        F.struct("_rank", F.struct(*PAGE_FIELDS).alias("page")))).alias("_pages"))
-    sites = listed.select("domain", F.col("_pages.page").alias("pages"))
-    return sites.select("domain", "pages", body_chars(F.col("pages")).alias("chars")) \
+    listed = first.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct(
+        "_rank", F.struct(*PAGE_FIELDS).alias("page"), F.struct(*order).alias("place"))))
+        .alias("_pages"))
+    sites = listed.select("domain", F.col("_pages.page").alias("pages"),
+                          F.col("_pages.place").alias("places"))
+    return sites.select("*", body_chars(F.col("pages")).alias("chars")) \
         .withColumn("status", site_status(F.col("chars")))
 
 
+def site_pages(sites: DataFrame) -> DataFrame:
+    """The pages of assembled sites as rows again, with their order columns."""
+    pairs = F.explode(F.arrays_zip("pages", "places")).alias("_p")
+    return sites.select("domain", pairs).select("domain", "_p.pages.*", "_p.places.*")
+
+
 def body_chars(pages: Column) -> Column:
     return F.length(F.array_join(pages["text"], ""))
 

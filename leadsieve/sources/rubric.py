@@ -6,7 +6,7 @@ import hashlib
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadsieve.operators.decide import Signal
 from leadsieve.operators.rules import Rule
@@ -66,3 +66,40 @@ def rubric_tables(spark: SparkSession, rubric: Rubric,
                                            "text string, weight string, evidence string"),
             spark.createDataFrame([row], "campaign string, offering string, good string, "
                                          "avg string, unfit string"))
+
+
+_RULE = ("struct<id:string,rule:string,checkable_from:string,column:string,evidence:string,"
+         "comment:string,reject_values:array<string>,accept_values:array<string>,"
+         "reject_contains:array<string>,min:double,max:double>")
+_SIGNAL = "struct<id:string,signal:string,weight:string>"
+RUBRIC_TYPE = (f"struct<offering_summary:string,disqualifiers:array<{_RULE}>,"
+               f"fit_signals:array<{_SIGNAL}>,antifit_signals:array<{_SIGNAL}>,"
+               f"momentum_signals:array<{_SIGNAL}>,tier_definitions:map<string,string>>")
+
+
+def explode_rubrics(documents: DataFrame, json_col: str = "rubric") -> tuple[DataFrame, DataFrame]:
+    """Many rubric documents (campaign, json) as one table of CSV rules and one of signals.
+
+    A rule needs a column to be checked on leads; a crawl rule needs an id, a signal both
+    an id and a text. `ord` keeps the document's order within each kind.
+    """
+    parsed = documents.select("campaign", F.from_json(json_col, RUBRIC_TYPE).alias("r"))
+    listed = parsed.select("campaign", F.posexplode("r.disqualifiers").alias("ord", "d"))
+    given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    rules = listed.where((F.col("d.checkable_from") == "csv") & given("d.column")) \
+        .select("campaign", "ord", "d.*")
+    crawl = listed.where((F.col("d.checkable_from") == "crawl") & given("d.id")).select(
+        "campaign", F.lit("disqualifier").alias("kind"), "ord", "d.id",
+        F.coalesce("d.rule", F.lit("")).alias("text"), F.lit("").alias("weight"),
+        F.coalesce("d.evidence", F.lit("")).alias("evidence"))
+
+    def tagged(kind: str, field: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"r.{field}"), F.array().cast(f"array<{_SIGNAL}>")),
+                           lambda s, i: F.struct(F.lit(kind).alias("kind"), i.alias("ord"), s["id"].alias("id"),
+                                                 s["signal"].alias("text"), s["weight"].alias("weight")))
+
+    every = F.concat(tagged("fit", "fit_signals"), tagged("anti-fit", "antifit_signals"),
+                     tagged("momentum", "momentum_signals"))
+    signals = parsed.select("campaign", F.explode(every).alias("s")).select("campaign", "s.*") \
+        .where(given("id") & given("text")).withColumn("evidence", F.lit(""))
+    return rules, crawl.unionByName(signals)

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.selection import latest_by
-from leadsieve.operators.sites import assemble_sites
+from leadsieve.operators.sites import assemble_sites, site_pages
 from leadsieve.plans.campaign import hot_hosts
+from leadsieve.session import checkpointed
 from leadsieve.sources.pages import ingest_pages, with_text
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
+ORDER = ["depth", "page_id"]
 
 
 def incremental_pages(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
@@ -27,14 +29,20 @@ def incremental_pages(spark: SparkSession, in_dir: str, out_dir: str, checkpoint
 
 
 def _intake(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    spark = batch.sparkSession
-    folder = f"{out_dir}/pages/batch_id={batch_id}"
-    ingest_pages(batch).drop("links").write.mode("overwrite").parquet(folder)
-    touched = spark.read.parquet(folder).select("domain").distinct()
-    # A site is rebuilt from all of its pages, those of earlier batches included.
-    known = spark.read.parquet(f"{out_dir}/pages").where(F.col("batch_id") <= batch_id)
-    sites = assemble_sites(with_text(known.join(touched, "domain", "left_semi")),
-                           "depth", "page_id", hot=hot_hosts(known))
+    """Merge new pages into the sites they belong to.
+
+    A site's first pages are all it needs, so stored sites meet the new pages as they
+    are and older HTML is never read again.
+    """
+    spark, hot = batch.sparkSession, hot_hosts(batch)
+    fresh = checkpointed(with_text(ingest_pages(batch).drop("links")))
+    if batch_id:
+        stored = spark.read.parquet(f"{out_dir}/sites").where(F.col("batch_id") < batch_id) \
+            .join(fresh.select("domain").distinct(), "domain", "left_semi")
+        known = site_pages(latest_by(stored, "domain", "batch_id"))
+        again = fresh.select("domain", "page_id").distinct()
+        fresh = fresh.unionByName(known.join(again, ["domain", "page_id"], "left_anti"))
+    sites = assemble_sites(fresh, *ORDER, hot=hot)
     build_digest(quality_gate(sites)).write.mode("overwrite").parquet(
         f"{out_dir}/sites/batch_id={batch_id}")
 

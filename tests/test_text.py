@@ -138,12 +138,12 @@ def test_path_of(spark):
 
 def test_markdown(spark):
     bs = "\\"
-    md = f"# Title\n\n[Link](http://x){bs}{bs} {bs}{bs} text and 50{bs}% off{bs}.\n"
+    md = f"## Our cranes\n\nSee [the fleet](http://f/){bs}{bs} now, 30{bs}% more{bs}!\n"
     df = spark.createDataFrame([("https://x.com/", md, " T ", "D")],
                                "url string, markdown string, title string, description string")
     page = H.page_from_markdown(df).first()
-    assert (page.title, page.description, page.headings) == ("T", "D", ["Title"])
-    assert page.text == "Title Link text and 50% off."
+    assert (page.title, page.description, page.headings) == ("T", "D", ["Our cranes"])
+    assert page.text == "Our cranes See the fleet now, 30% more!"
     table = "before\n| a | b |\n---\n![i](u) **bold** `code`\n## Second `x`\n#### fourth"
     assert one(spark, H.markdown_text, table) == "before bold code Second x fourth"
     assert one(spark, H.markdown_headings, table) == ["Second x"]

@@ -14,11 +14,17 @@ PAGE_TYPE = ("struct<url:string,title:string,description:string,"
 
 # Attributes of a tag; quotes count only after '='. Possessive, so linear.
 _ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
-_TAG = rf"</?[A-Za-z]{_ATTRS}|<[!?/][^>]*>|<(?:[/!?A-Za-z][^>]*)?\z"
-_UNSEEN = (r"(?is)<!--.*?(?:--!?>|\z)"
-           r"|<(script|style)(?:\s(?:[^>]*[^/>])?)?>.*?(?:</\s*\1\s*>|\z)")
-_TITLE = r"(?is)<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\z)"
-_HIDDEN = rf"(?i)<(/?)(?:{'|'.join(C.HIDDEN_ELEMENTS)})(?=[\s/>]){_ATTRS}(?<!/>)"
+_TAG = rf"<(?:/?[A-Za-z]{_ATTRS}|[!?/][^>]*>|(?:[/!?A-Za-z][^>]*)?\z)"
+# Comments, scripts and styles; also the two marks that the steps below put into the text.
+_UNSEEN = (r"(?is)[\x01\x02<](?:(?<=[\x01\x02])|!--.*?(?:--!?>|\z)"
+           r"|(script|style)(?:\s(?:[^>]*[^/>])?)?>.*?(?:</\s*\1\s*>|\z))")
+_TITLE = r"title(?=[\s/>])[^>]*>.*?(?:</title\s*>|\z)"
+# Start and end tags of hidden elements, and whole titles, told apart by the group found.
+_MARKED = (rf"(?is)<(?:(/?)(?:{'|'.join(C.HIDDEN_ELEMENTS)})(?=[\s/>]){_ATTRS}(?<!/>)"
+           rf"|(t){_TITLE[1:]})")
+_START, _END = "\x02", "/\x02"
+_NAMED_TAGS = rf"(?is)<(?:(?:a|meta)(?=[\s/]){_ATTRS}|{_TITLE})"
+_HEADING = r"<(h[1-3])(?=[\s/>])"
 _ATTR = r"""([^\s=/>"'<]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]*)"""
 
 # Entity tables of the HTML5 standard, as the Python standard library holds them.
@@ -89,25 +95,24 @@ def _untagged(markup: Column) -> Column:
     return F.replace(F.regexp_replace(markup, _TAG, " "), F.lit("<"), F.lit(" < "))
 
 
-def _outside_hidden(marked: Column) -> Column:
-    """The text outside hidden elements.
+def _outside_hidden(html: Column) -> Column:
+    """The markup outside hidden elements and titles.
 
     One depth counter serves all hidden elements: each start adds one and each end
     takes one off, never below zero. An element left open hides the rest.
     """
     def step(state, part):
         depth = (
-            F.when(part.startswith("\x01\x02"), state["depth"] + 1)
-            .when(part.startswith("\x01/\x02"), F.greatest(state["depth"] - 1, F.lit(0)))
+            F.when(part.startswith(_START), state["depth"] + 1)
+            .when(part.startswith(_END), F.greatest(state["depth"] - 1, F.lit(0)))
             .otherwise(state["depth"])
         )
-        shown = F.concat(state["text"], F.lit(" "),
-                         F.regexp_replace(part, "^\x01/?\x02", ""))
+        shown = F.concat(state["text"], F.lit(" "), F.substring_index(part, "\x02", -1))
         return F.struct(depth.alias("depth"),
                         F.when(depth == 0, shown).otherwise(state["text"]).alias("text"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    parts = F.split(marked, "(?=\x01)")
+    parts = F.split(F.regexp_replace(html, _MARKED, "\x01$1$2\x02"), "\x01")
     return F.aggregate(parts, start, step, lambda state: state["text"])
 
 
@@ -120,49 +125,58 @@ def _attribute(tag: Column, *names: str) -> Column:
     return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
-def _descriptions(bare: Column) -> Column:
+def _is(name: str):
+    return lambda tag: tag.rlike(rf"^<(?i:{name})[\s/>]")
+
+
+def _titles(tags: Column) -> Column:
+    """Contents of all titles in one text, undecoded and without inner tags."""
+    inner = F.transform(F.filter(tags, _is("title")), lambda t: F.regexp_replace(
+        t, r"(?is)^<title[^>]*>|</title\s*>\z", ""))
+    return F.regexp_replace(F.array_join(inner, ""), _TAG, "")
+
+
+def _descriptions(tags: Column) -> Column:
     """Contents of the description meta tags, undecoded."""
-    metas = F.filter(F.regexp_extract_all(bare, F.lit(rf"(?i)<meta(?=[\s/]){_ATTRS}"), F.lit(0)),
-                     lambda t: t.rlike("(?i)description"))
+    metas = F.filter(tags, lambda t: _is("meta")(t) & t.rlike("(?i)description"))
     named = F.filter(metas, lambda t: F.lower(
         F.coalesce(F.nullif(_attribute(t, "name"), F.lit("")), _attribute(t, "property")))
         .isin("description", "og:description"))
     return F.transform(named, lambda t: F.coalesce(_attribute(t, "content"), F.lit("")))
 
 
+def _links(tags: Column) -> Column:
+    """The href of every anchor, undecoded."""
+    hrefs = F.transform(F.filter(tags, _is("a")), lambda t: _attribute(t, "href"))
+    return F.filter(hrefs, lambda h: h.isNotNull() & (h != ""))
+
+
 def _headings(shown: Column) -> Column:
     """Contents of h1-h3 elements, undecoded; a new heading start drops an unfinished one."""
-    parts = F.split(shown, r"(?i)(?=<h[1-3][\s/>])")
-    inner = F.transform(parts, lambda p: F.regexp_extract(
-        p, rf"(?is)^<(h[1-3])(?=[\s/>]){_ATTRS}(.*?)</\1\s*>", 2))
+    found = F.regexp_extract_all(shown, F.lit(
+        rf"(?is){_HEADING}.*?(?:</\1\s*>|(?={_HEADING.replace('(h', '(?:h')})|\z)"), F.lit(0))
+    inner = F.transform(found, lambda h: F.regexp_extract(
+        h, rf"(?is)^{_HEADING}{_ATTRS}(.*)</\1\s*>$", 2))
     return F.transform(F.filter(inner, lambda h: h != ""), _untagged)
 
 
-def _links(bare: Column) -> Column:
-    """The href of every anchor, undecoded."""
-    tags = F.regexp_extract_all(bare, F.lit(rf"(?i)<a(?=\s){_ATTRS}"), F.lit(0))
-    hrefs = F.transform(tags, lambda t: _attribute(t, "href"))
-    return F.filter(hrefs, lambda h: h.isNotNull() & (h != ""))
-
-
 def parse_html(df: DataFrame, html: str = "html") -> DataFrame:
     """Replace an HTML column by title, description, headings, text and links.
 
     Each step that later steps read more than once is its own projection, so that it
     is computed once per row. Entities are decoded in one pass over all parts.
     """
-    raw = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), "[\x01\x02]", "")
+    raw = F.coalesce(F.col(html), F.lit(""))
     keep = [c for c in df.columns if c != html]
     bare = df.select(*keep, F.regexp_replace(raw, _UNSEEN, " ").alias("_bare"))
-    marked = F.regexp_replace(F.regexp_replace("_bare", _TITLE, " "), _HIDDEN, "\x01$1\x02")
-    shown = bare.select(*keep, "_bare", _outside_hidden(marked).alias("_shown"))
-    titles = F.array_join(F.regexp_extract_all("_bare", F.lit(_TITLE), F.lit(1)), "")
+    shown = bare.select(
+        *keep, _outside_hidden(F.col("_bare")).alias("_shown"),
+        F.regexp_extract_all("_bare", F.lit(_NAMED_TAGS), F.lit(0)).alias("_tags"))
+    tags = F.col("_tags")
     found = shown.select(
-        *keep,
-        F.array(F.regexp_replace(titles, _TAG, ""), _untagged(F.col("_shown"))).alias("_single"),
-        _descriptions(F.col("_bare")).alias("_descriptions"),
-        _headings(F.col("_shown")).alias("_headings"),
-        _links(F.col("_bare")).alias("_links"),
+        *keep, F.array(_titles(tags), _untagged(F.col("_shown"))).alias("_single"),
+        _descriptions(tags).alias("_descriptions"),
+        _headings(F.col("_shown")).alias("_headings"), _links(tags).alias("_links"),
     )
     lists = ["_single", "_descriptions", "_headings", "_links"]
     sizes = [F.size(c) for c in lists]

@@ -75,10 +75,18 @@ def gate_split(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dedupe_headings(headings: Column) -> Column:
     """Headings without blanks and repeats (case ignored), first spelling and order kept."""
+    texts = "array<string>"
     clean = F.filter(F.transform(headings, collapse), lambda h: h != "")
-    lowered = F.transform(clean, F.lower)
-    firsts = F.filter(clean, lambda h, i: F.array_position(lowered, F.lower(h)) == i + 1)
-    return F.slice(firsts, 1, C.DIGEST_HEADINGS)
+    start = F.struct(F.array().cast(texts).alias("keys"), F.array().cast(texts).alias("kept"))
+
+    def step(state, h):
+        repeated = F.array_contains(state["keys"], F.lower(h))
+        full = F.size(state["kept"]) >= C.DIGEST_HEADINGS
+        return F.when(repeated | full, state).otherwise(F.struct(
+            F.array_append(state["keys"], F.lower(h)).alias("keys"),
+            F.array_append(state["kept"], h).alias("kept")))
+
+    return F.aggregate(clean, start, step, lambda state: state["kept"])
 
 
 def _short(col: Column, chars: int) -> Column:

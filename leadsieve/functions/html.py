@@ -14,7 +14,7 @@ PAGE_TYPE = ("struct<url:string,title:string,description:string,"
 
 # Attributes of a tag; quotes count only after '='. Possessive, so linear.
 _ATTRS = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
-_TAG = rf"<(?:/?[A-Za-z]{_ATTRS}|[!?/][^>]*>|(?:[/!?A-Za-z][^>]*)?\z)"
+_TAG = rf"<(?:/?[A-Za-z]{_ATTRS}|[!?/][^>]*>|\z)"
 # Comments, scripts and styles; also the two marks that the steps below put into the text.
 _UNSEEN = (r"(?is)[\x01\x02<](?:(?<=[\x01\x02])|!--.*?(?:--!?>|\z)"
            r"|(script|style)(?:\s(?:[^>]*[^/>])?)?>.*?(?:</\s*\1\s*>|\z))")
@@ -22,7 +22,12 @@ _TITLE = r"title(?=[\s/>])[^>]*>.*?(?:</title\s*>|\z)"
 # Start and end tags of hidden elements, and whole titles, told apart by the group found.
 _MARKED = (rf"(?is)<(?:(/?)(?:{'|'.join(C.HIDDEN_ELEMENTS)})(?=[\s/>]){_ATTRS}(?<!/>)"
            rf"|(t){_TITLE[1:]})")
-_START, _END = "\x02", "/\x02"
+_START, _END = "\x01\x02", "\x01/\x02"
+# Text and title marks between other marks; a start with its end, nested up to three deep.
+_FILL = r"[^\x01]*+(?:\x01t[^\x01]*+)*+"
+_PAIR = f"{_START}{_FILL}{_END}"
+_PAIR = f"{_START}{_FILL}(?:{_PAIR}{_FILL})*+{_END}"
+_PAIR = f"{_START}{_FILL}(?:{_PAIR}{_FILL})*+{_END}"
 _NAMED_TAGS = rf"(?is)<(?:(?:a|meta)(?=[\s/]){_ATTRS}|{_TITLE})"
 _HEADING = r"<(h[1-3])(?=[\s/>])"
 _ATTR = r"""([^\s=/>"'<]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]*)"""
@@ -95,16 +100,31 @@ def _untagged(markup: Column) -> Column:
     return F.replace(F.regexp_replace(markup, _TAG, " "), F.lit("<"), F.lit(" < "))
 
 
-def _outside_hidden(html: Column) -> Column:
+def _without_pairs(html: Column) -> Column:
+    """Marked markup without hidden elements that are closed."""
+    marked = F.regexp_replace(html, _MARKED, "\x01$1$2\x02")
+    return F.regexp_replace(marked, _PAIR, " ")
+
+
+def _outside_hidden(marked: Column) -> Column:
     """The markup outside hidden elements and titles.
 
     One depth counter serves all hidden elements: each start adds one and each end
-    takes one off, never below zero. An element left open hides the rest.
+    takes one off, never below zero. So once the closed elements are gone, stray ends
+    mean nothing and the first start left open hides the rest. Deeper nests than the
+    pattern covers are counted part by part.
     """
+    before = F.substring_index(marked, _START, 1)
+    open_rest = F.regexp_replace(before, "\x01[/t]\x02", " ")
+    deep = marked.contains(_START) & F.substr(marked, F.length(before) + 1).contains(_END)
+    return F.when(deep, _counted(marked)).otherwise(open_rest)
+
+
+def _counted(marked: Column) -> Column:
     def step(state, part):
         depth = (
-            F.when(part.startswith(_START), state["depth"] + 1)
-            .when(part.startswith(_END), F.greatest(state["depth"] - 1, F.lit(0)))
+            F.when(part.startswith(_START[1:]), state["depth"] + 1)
+            .when(part.startswith(_END[1:]), F.greatest(state["depth"] - 1, F.lit(0)))
             .otherwise(state["depth"])
         )
         shown = F.concat(state["text"], F.lit(" "), F.substring_index(part, "\x02", -1))
@@ -112,8 +132,7 @@ def _outside_hidden(html: Column) -> Column:
                         F.when(depth == 0, shown).otherwise(state["text"]).alias("text"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    parts = F.split(F.regexp_replace(html, _MARKED, "\x01$1$2\x02"), "\x01")
-    return F.aggregate(parts, start, step, lambda state: state["text"])
+    return F.aggregate(F.split(marked, "\x01"), start, step, lambda state: state["text"])
 
 
 def _attribute(tag: Column, *names: str) -> Column:
@@ -125,6 +144,17 @@ def _attribute(tag: Column, *names: str) -> Column:
     return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
+def _closed(html: Column) -> Column:
+    """The markup without a tag left open at its end.
+
+    From here on every tag start finds a '>', so no pattern scans to the end in vain.
+    """
+    tail = F.substring_index(html, ">", -1)
+    head = F.left(html, F.length(html) - F.length(tail))
+    return F.when(tail.contains("<"), F.concat(
+        head, F.regexp_replace(tail, r"(?s)<[/!?A-Za-z].*\z", ""))).otherwise(html)
+
+
 def _is(name: str):
     return lambda tag: tag.rlike(rf"^<(?i:{name})[\s/>]")
 
@@ -168,10 +198,11 @@ def parse_html(df: DataFrame, html: str = "html") -> DataFrame:
     """
     raw = F.coalesce(F.col(html), F.lit(""))
     keep = [c for c in df.columns if c != html]
-    bare = df.select(*keep, F.regexp_replace(raw, _UNSEEN, " ").alias("_bare"))
-    shown = bare.select(
-        *keep, _outside_hidden(F.col("_bare")).alias("_shown"),
+    bare = df.select(*keep, F.regexp_replace(_closed(raw), _UNSEEN, " ").alias("_bare"))
+    marked = bare.select(
+        *keep, _without_pairs(F.col("_bare")).alias("_marked"),
         F.regexp_extract_all("_bare", F.lit(_NAMED_TAGS), F.lit(0)).alias("_tags"))
+    shown = marked.select(*keep, _outside_hidden(F.col("_marked")).alias("_shown"), "_tags")
     tags = F.col("_tags")
     found = shown.select(
         *keep, F.array(_titles(tags), _untagged(F.col("_shown"))).alias("_single"),

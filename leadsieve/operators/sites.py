@@ -105,10 +105,14 @@ def resolve_cascade(attempts: DataFrame, tiers: list[str],
     default = {"status": F.lit("no_url"), "error": F.lit("no tiers ran"), "gate_ok": F.lit(False),
                "gate_reason": F.lit("status:no_url"), "chars": F.lit(0)}
     tried = F.col("_best").isNotNull()
-    return asked.select(
-        "domain", *[F.when(tried, F.col(f"_best.{c}")).otherwise(default.get(c, F.lit(None))).alias(c)
-                    for c in fields],
-        F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"))
+
+    def value(name: str) -> Column:
+        given = F.col(f"_best.{name}") if name in fields else F.lit(None)
+        return F.when(tried, given).otherwise(default.get(name, F.lit(None))).alias(name)
+
+    names = fields + [c for c in default if c not in fields]
+    return asked.select("domain", *map(value, names),
+                        F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"))
 
 
 def untried_tiers(domains: DataFrame, attempts: DataFrame, tiers: list[str]) -> DataFrame:

@@ -145,13 +145,13 @@ d AS (SELECT {S.host_of('url')} AS domain, page_id AS seq FROM p),
 keyed AS (SELECT domain, seq, {S.registrable('domain')} AS site FROM d),
 owners AS (SELECT site, domain FROM keyed WHERE site <> '' QUALIFY row_number() OVER (PARTITION BY site ORDER BY seq DESC) = 1)
 SELECT page_id, owners.domain FROM p JOIN owners ON {S.registrable(S.host_of('p.url'))} = owners.site
-WHERE page_id % 5 <> 0""")
+WHERE p.url NOT LIKE '%utm_source%'""")
 def _(spark, sf):
     from leadsieve.functions.domains import host_of
     pages = table(spark, sf, "pages").select(
         "page_id", F.replace("url", F.lit(".example."), F.lit(".")).alias("url"),
-        # Every fifth page came back empty.
-        F.when(c("page_id") % 5 == 0, "").otherwise("copy").alias("text"))
+        # Some pages came back empty.
+        F.when(c("url").contains("utm_source"), "").otherwise("copy").alias("text"))
     wanted = pages.select(host_of(c("url")).alias("domain"), c("page_id").alias("seq"))
     return Sites.assign_pages(pages, wanted).select("page_id", "domain")
 

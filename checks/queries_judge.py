@@ -435,8 +435,9 @@ def _(spark, sf):
 
 
 _PAIRS = f"""man AS {S.latest(f"(SELECT * FROM verdicts WHERE row_idx IS NULL AND {_JUDGE} = 'manual')", 'domain')}, {_DEC},
-  pairs AS (SELECT m.domain, upper(left(trim(m.fitment), 1)) || lower(substr(trim(m.fitment), 2)) AS manual_fitment,
-    m.ranking AS manual_ranking, m.comments, d.fitment AS model_fitment, CAST(d.ranking AS VARCHAR) AS model_ranking, d.why,
+  pairs AS (SELECT m.domain, array_to_string(list_transform(string_split(lower(coalesce(m.fitment, 'None')), ' '),
+      lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS manual_fitment,
+    coalesce(m.ranking, 'None') AS manual_ranking, m.comments, d.fitment AS model_fitment, CAST(d.ranking AS VARCHAR) AS model_ranking, d.why,
     p_good, d.note <> '' AS flagged FROM man m JOIN dec d USING (domain))"""
 
 
@@ -503,7 +504,7 @@ def _(spark, sf):
 
 @query("comment_sheet", f"""
 WITH {_DEC}, {_SAID}, {_DONE}, {context_sql()},
-open AS (SELECT * FROM dec WHERE domain NOT IN (SELECT domain FROM said) AND domain NOT IN (SELECT domain FROM done)
+open AS (SELECT * FROM dec WHERE domain NOT IN (SELECT domain FROM comments) AND domain NOT IN (SELECT domain FROM done)
   ORDER BY seq LIMIT 25)
 SELECT o.domain, o.seq, fitment || ' / ' || ranking AS verdict, why, '' AS disqualifier, 'text of ' || found_fit AS fit,
   '' AS anti_fit, 'text of ' || found_mom AS momentum, note AS review, r.source_tier, r.chars, r.digest, x.context

@@ -179,7 +179,10 @@ def _(spark, sf):
 
 
 @query("cap_escalations", """
-SELECT domain, seq FROM wanted QUALIFY row_number() OVER (ORDER BY seq)
-  <= greatest(1, floor(0.3 * count(*) OVER ()))""")
+WITH todo AS (SELECT domain, seq FROM wanted WHERE domain NOT IN (SELECT domain FROM attempts WHERE gate_ok))
+SELECT domain, seq FROM todo QUALIFY row_number() OVER (ORDER BY seq)
+  <= greatest(1, floor(0.3 * (SELECT count(*) FROM wanted)))""")
 def _(spark, sf):
-    return Sel.cap_share(fixture(spark, sf, "wanted"), "seq", share=C.ESCALATION_SHARE)
+    wanted = fixture(spark, sf, "wanted")
+    todo = Sel.pending(wanted, fixture(spark, sf, "attempts").where("gate_ok"))
+    return Sel.cap_share(todo.select("domain", "seq"), "seq", share=C.ESCALATION_SHARE, of=wanted)

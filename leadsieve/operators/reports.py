@@ -11,7 +11,7 @@ from leadsieve.functions.domains import normalize_domain
 from leadsieve.functions.text import reason_family
 from leadsieve.operators.profile import lead_context
 from leadsieve.operators.selection import latest_by
-from leadsieve.operators.verdicts import domain_verdicts, judge_of, missing_comments
+from leadsieve.operators.verdicts import domain_verdicts, judge_of
 from leadsieve.session import checkpointed
 
 
@@ -91,8 +91,8 @@ def merge_report(merged: DataFrame, top: int = 8) -> DataFrame:
 
 # --- two judges ---------------------------------------------------------------
 
-def _grade(col: Column) -> Column:
-    return F.initcap(F.lower(F.trim(col)))
+def _label(col: Column) -> Column:
+    return F.coalesce(col.cast("string"), F.lit("None"))
 
 
 def judged_by_both(verdicts: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -101,10 +101,10 @@ def judged_by_both(verdicts: DataFrame, decisions: DataFrame) -> DataFrame:
         judge_of(F.col("judge"), F.col("source_tier")) == "manual"), "domain")
     model = latest_by(decisions, "domain")
     return manual.select(
-        "domain", _grade(F.col("fitment")).alias("manual_fitment"),
-        F.col("ranking").cast("string").alias("manual_ranking"), "comments").join(
+        "domain", F.initcap(F.lower(_label(F.col("fitment")))).alias("manual_fitment"),
+        _label(F.col("ranking")).alias("manual_ranking"), "comments").join(
         model.select("domain", F.col("fitment").alias("model_fitment"),
-                     F.col("ranking").cast("string").alias("model_ranking"), "why",
+                     _label(F.col("ranking")).alias("model_ranking"), "why",
                      F.col("fitment_probabilities")["Good"].alias("p_good"),
                      (F.size("needs_review") > 0).alias("flagged")), "domain")
 
@@ -211,7 +211,10 @@ def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
                   verdicts: DataFrame, leads: DataFrame, url_col: str,
                   n: int = C.REVIEW_BATCH) -> DataFrame:
     """The next n decided domains without a comment: verdict, signals, notes, context, digest."""
-    batch = checkpointed(missing_comments(decisions, comments, verdicts).orderBy("seq").limit(n))
+    open_decisions = latest_by(decisions, "domain") \
+        .join(comments.select("domain"), "domain", "left_anti") \
+        .join(domain_verdicts(verdicts).select("domain"), "domain", "left_anti")
+    batch = checkpointed(open_decisions.orderBy("seq").limit(n))
 
     def texts(kind: str) -> Column:
         mine = F.filter("signals_present", lambda s: s["kind"] == kind)

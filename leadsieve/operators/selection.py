@@ -64,11 +64,11 @@ def chunk(df: DataFrame, *order: str, size: int) -> DataFrame:
         *df.columns)
 
 
-def cap_share(df: DataFrame, *order: str, share: float, cap: int | None = None) -> DataFrame:
-    """The first part of the rows: `cap` if given, else a share of all, at least one."""
-    indexed = with_row_index(df, *order, name="_pos", total="_total")
-    limit = F.lit(cap) if cap else F.greatest(F.lit(1), F.floor(F.col("_total") * F.lit(share)))
-    return indexed.where(F.col("_pos") < limit).select(*df.columns)
+def cap_share(todo: DataFrame, *order: str, share: float, of: DataFrame | None = None,
+              cap: int | None = None) -> DataFrame:
+    """The first rows to do: `cap` if given, else a share of all rows `of`, at least one."""
+    limit = cap or max(1, int(share * (todo if of is None else of).count()))
+    return with_row_index(todo, *order, name="_pos").where(F.col("_pos") < limit).drop("_pos")
 
 
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:

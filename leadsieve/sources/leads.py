@@ -60,20 +60,12 @@ _CSV = dict(header=True, quote='"', escape='"', emptyValue="", nullValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def write_qualified(merged: DataFrame, path: str) -> None:
-    """Deliver the merged leads as one UTF-8 CSV with BOM, in input order.
+def write_qualified(merged: DataFrame, path: str, one_file: bool = False) -> None:
+    """Deliver the merged leads as UTF-8 CSV with BOM, in input order over sorted files.
 
-    The delivery format asks for a single file; `write_qualified_parts` writes many.
+    `one_file` is for receivers that take a single file; one task then writes it all.
     """
     out = qualified(merged).orderBy("row_idx").drop("row_idx")
-    _with_bom(out).coalesce(1).write.mode("errorifexists").csv(path, **_CSV)
-
-
-def write_qualified_parts(merged: DataFrame, path: str) -> None:
-    """The same rows as sorted part files, for tables one task should not write."""
-    out = qualified(merged).orderBy("row_idx").drop("row_idx")
-    out.write.mode("errorifexists").csv(path, **_CSV)
-
-
-def _with_bom(df: DataFrame) -> DataFrame:
-    return df.toDF(BOM + df.columns[0], *df.columns[1:])
+    marked = out.toDF(BOM + out.columns[0], *out.columns[1:])
+    files = marked.coalesce(1) if one_file else marked
+    files.write.mode("errorifexists").csv(path, **_CSV)

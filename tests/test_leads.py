@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leadsieve.operators import profile as P, selection as Sel, sites as Sites
 from leadsieve.operators.rules import Rule, prefilter, rule_hits
-from leadsieve.sources.leads import read_leads, write_qualified, write_qualified_parts
+from leadsieve.sources.leads import read_leads, write_qualified
 from leadsieve.sources.logs import append_log, read_log, read_table
 
 c = F.col
@@ -59,14 +59,17 @@ def test_read_leads_numbers_many_files_in_order(spark, tmp_path):
 
 def test_delivery_keeps_every_cell(spark, leads, tmp_path):
     out = str(tmp_path / "out")
-    write_qualified(leads.withColumn("Fitment", F.lit("Good")).withColumn("_tier", F.lit("x")), out)
+    write_qualified(leads.withColumn("Fitment", F.lit("Good")).withColumn("_tier", F.lit("x")), out, one_file=True)
     (part,) = (tmp_path / "out").glob("part-*.csv")
     assert part.read_bytes().startswith(b"\xef\xbb\xbfCompany,")
     with open(part, encoding="utf-8-sig", newline="") as fh:
         rows = list(csv.reader(fh))
     assert rows[0] == ["Company", "Website", "Country", "Employees", "Fitment"]
     assert [tuple(r) for r in rows[1:]] == [(*r, "Good") for r in ROWS]
-    write_qualified_parts(leads, str(tmp_path / "parts"))
+    write_qualified(leads.repartition(3), str(tmp_path / "parts"))
+    for multi in (True, False):
+        again = read_leads(spark, str(tmp_path / "parts"), sep=",", multi_line=multi)
+        assert again.columns == ["row_idx", "Company", "Website", "Country", "Employees"]
     again = read_leads(spark, str(tmp_path / "parts"), sep=",").orderBy("row_idx").collect()
     assert [tuple(r)[1:] for r in again] == ROWS
 

@@ -1,4 +1,4 @@
 """All registered queries of this subpackage."""
 
-from leadsieve.llm import queries_dedup  # noqa: F401
+from leadsieve.llm import queries_dedup, queries_tokens  # noqa: F401
 from leadsieve.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -1,6 +1,6 @@
 """Registered queries: exact dedup."""
 
-from leadsieve.llm import exact_dedup
+from leadsieve.llm import exact_dedup, ngram_join
 from leadsieve.llm.registry import oracle, query, table
 
 
@@ -18,3 +18,8 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 """)
+
+
+@query
+def op8_ngram_join(spark, sf):
+    return ngram_join.link(table(spark, sf, "documents")).drop("print")

@@ -1,6 +1,6 @@
-"""Registered queries: toxicity."""
+"""Registered queries: toxicity and mixing."""
 
-from leadsieve.llm import toxicity
+from leadsieve.llm import mixing, toxicity
 from leadsieve.llm.registry import query, table
 
 
@@ -8,3 +8,13 @@ from leadsieve.llm.registry import query, table
 def op5_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+#: Shares of tokens by domain.
+TARGETS = {"quality=1,toxic=0": 0.9, "quality=0,toxic=0": 0.08, "quality=1,toxic=1": 0.02}
+
+
+@query
+def op6_mixing(spark, sf):
+    docs = table(spark, sf, "documents")
+    return mixing.mix(docs, mixing.fit(docs, table(spark, sf, "labels")), TARGETS)

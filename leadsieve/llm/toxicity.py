@@ -12,7 +12,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,17 +32,14 @@ BLOCK = 64
 PRIOR = 0.5
 REJECT = 0.7
 EVIDENCE = 3
-
-#: Beginnings of longer words that are terms too, so that forms of a word count together.
-STEMS = (4, 5)
+NONE = -1
 
 _EDGES = ".,;:!?\"'()[]{}<>«»¡¿|*_-"
 
 
-def terms_of(piece: str) -> list[str]:
-    """Terms of a word: itself without marks at its ends, and with ^ its beginnings."""
-    word = piece.strip(_EDGES)
-    return [word, *["^" + word[:n] for n in STEMS if len(word) > n]] if word else []
+def term_of(word: str) -> str:
+    """A word without marks at its ends."""
+    return word.strip(_EDGES)
 
 
 def words_of(text: str) -> list[str]:
@@ -179,7 +175,7 @@ def _terms(texts: DataFrame, terms: int) -> dict[str, int]:
 
     def run(batches):
         for batch in slices(batches):
-            lists = [list({t for w in set(words_of(x)) for t in terms_of(w)}) for x in batch.column(0).to_pylist()]
+            lists = [list({t for t in map(term_of, set(words_of(x))) if t}) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string())), batch.column(1)], names=["terms", "label"])
 
     sizes = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -199,13 +195,13 @@ def _terms(texts: DataFrame, terms: int) -> dict[str, int]:
 
 
 def _finder(terms: dict[str, int]) -> Kept:
-    """word -> numbers of its terms that are in the vocabulary."""
-    return Kept(lambda word: tuple(terms[t] for t in terms_of(word) if t in terms))
+    """word -> the number of its term, or none."""
+    return Kept(lambda word: terms.get(term_of(word), NONE))
 
 
 def term_counts(text: str, of_piece: Kept) -> tuple[tuple[int, int], ...]:
-    found = list(filter(None, map(of_piece.__getitem__, words_of(text))))
-    return tuple(sorted(Counter(chain.from_iterable(found)).items())) if found else ()
+    found = [t for t in map(of_piece.__getitem__, words_of(text)) if t >= 0]
+    return tuple(sorted(Counter(found).items())) if found else ()
 
 
 def _frequencies(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[int, np.ndarray]:

@@ -118,12 +118,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                  pa.array([m[1] for m in made], pa.list_(pa.int32()))], names=["domain", "stats", "bins"])
 
     got = (texts.select("domain", "text").mapInArrow(run, "domain string, stats array<double>, bins array<int>")
-           .orderBy("domain", "stats").toPandas())  # at most `examples` rows
-    domains = sorted(got["domain"].unique())
+           .orderBy("domain", "stats").collect())  # at most `examples` rows
+    domains = sorted({r["domain"] for r in got})
     if not domains:
         return Classifier(["all"], np.zeros(STATS), np.ones(STATS), np.zeros((STATS + BINS + 1, 1)))
-    truth = got["domain"].map({d: k for k, d in enumerate(domains)}).to_numpy()
-    return _trained(np.stack(got["stats"]), list(got["bins"]), truth, domains)
+    truth = np.array([domains.index(r["domain"]) for r in got])
+    return _trained(np.array([r["stats"] for r in got]), [np.array(r["bins"], dtype=int) for r in got], truth, domains)
 
 
 def with_posterior(docs: DataFrame, model: Classifier, text: str = "text", column: str = "posterior") -> DataFrame:

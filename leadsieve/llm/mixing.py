@@ -27,8 +27,10 @@ BINS = 1024
 #: Posteriors are multiples of 1 / GRID.
 GRID = 1000
 RIDGE = 0.01
-STEPS = 60
-CLOSE = 1e-6
+STEPS = 40
+CLOSE = 1e-5
+#: Steps after which the state of the fit is written, so that plans stay small.
+WRITE_EVERY = 8
 
 _KINDS = np.full(256, 8, dtype=np.int64)
 for _k, _set in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n", ".,", "!?", "|")):
@@ -152,20 +154,24 @@ class Rates:
     most: float
     ridge: float
 
-    def of(self, posterior, ahead: bool = False):
-        """Column of the rate of a posterior (an array column); ahead: of the point where the next gradient is taken."""
+    def next(self, posterior, g, b, r, y):
+        """Columns of rate and look-ahead point after a step with gradient g and momentum b."""
+        pull = sum((posterior[k] * g[k] for k in range(self.size)), F.lit(0.0))
+        moved = y - F.lit(self.rate) * (pull + F.lit(self.ridge) * (y - F.lit(1.0)))
+        held = F.greatest(F.lit(self.least), F.least(F.lit(self.most), moved))
+        return held, held + b * (held - r)
+
+    def of(self, posterior):
+        """Column of the rate of a posterior (an array column): all steps of the fit on it."""
         if not self.steps:
             return F.lit(1.0)
 
         def step(state, g):
-            pull = sum((posterior[k] * g["g"][k] for k in range(self.size)), F.lit(0.0))
-            moved = state["y"] - F.lit(self.rate) * (pull + F.lit(self.ridge) * (state["y"] - F.lit(1.0)))
-            held = F.greatest(F.lit(self.least), F.least(F.lit(self.most), moved))
-            return F.struct(held.alias("r"), (held + g["b"] * (held - state["r"])).alias("y"))
+            r, y = self.next(posterior, g["g"], g["b"], state["r"], state["y"])
+            return F.struct(r.alias("r"), y.alias("y"))
 
         past = F.array(*[F.struct(F.array(*map(F.lit, g)).alias("g"), F.lit(b).alias("b")) for g, b in self.steps])
-        start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-        return F.aggregate(past, start, step)["y" if ahead else "r"]
+        return F.aggregate(past, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), step)["r"]
 
 
 def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None,
@@ -185,17 +191,22 @@ def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total
     goal = weights / weights.sum()
     rates.rate = 1 / ((have / wanted) ** 2 + ridge)
     momentum, last = 1.0, None
-    for _ in range(steps):
-        at = rates.of(F.col("posterior"), ahead=True)
-        sums = cells.select("posterior", (F.col("tokens") * at).alias("used")).agg(
-            *[F.sum(F.col("used") * F.col("posterior")[k]).alias(f"s{k}") for k in range(size)]).first()
+    state = cells.select("posterior", "tokens", F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+    for count in range(1, steps + 1):
+        used = F.col("tokens") * F.col("y")
+        sums = state.agg(*[F.sum(used * F.col("posterior")[k]).alias(f"s{k}") for k in range(size)]).first()
         off = np.array([sums[k] for k in range(size)]) / wanted - goal
         after = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
-        rates.steps.append(((off * have / wanted).tolist(), float((momentum - 1) / after)))
+        pull, ahead = (off * have / wanted).tolist(), float((momentum - 1) / after)
+        rates.steps.append((pull, ahead))
         momentum = after
         if last is not None and np.abs(off - last).max() < CLOSE:
             break
         last = off
+        r, y = rates.next(F.col("posterior"), [F.lit(g) for g in pull], F.lit(ahead), F.col("r"), F.col("y"))
+        state = state.select("posterior", "tokens", r.alias("r"), y.alias("y"))
+        if count % WRITE_EVERY == 0:
+            state = staged(state, "rates")
     return rates
 
 

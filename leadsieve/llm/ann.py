@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from leadsieve.llm.common import staged
 
 TABLES = 10
-PROBES = 8
+PROBES = 20
 #: Axes that make a bucket; a bucket holds about rows / (2 * dimension) ** hashes vectors.
 HASHES = 1
 VECTORS_IN_BLOCK = 4096
 QUERIES_IN_BLOCK = 1024
 SEED = 20240301
+#: Candidates beyond the limit that are scored exactly in a block.
+SPARE = 8
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -134,16 +136,22 @@ def _nearest(limit: int):
         ids, names, out = stored["vec_id"].to_numpy(), asked["vec_id"].to_numpy(), []
         products = q @ v.T
         products[names[:, None] == ids[None, :]] = -np.inf
+        # The order of summation moves the last digits: a few more than the limit are scored anew, and where the last of
+        # them still ties with the limit, all of that row.
+        few = min(limit + SPARE, len(ids))
+        near = np.argpartition(-products, few - 1, axis=1)[:, :few]
+        rough = -np.sort(-np.take_along_axis(products, near, axis=1), axis=1)
+        scores = np.where(np.take_along_axis(products, near, axis=1) == -np.inf, -np.inf,
+                          (v[near] * q[:, None, :]).sum(axis=2))
         for k in range(len(q)):
-            row = products[k]
-            # The order of summation moves the last digits: whatever may be among the nearest is scored anew.
-            least = np.partition(row, -limit)[-limit] if len(row) > limit else -np.inf
-            near = np.flatnonzero((row >= least - 1e-9 * (1 + abs(least))) & (row > -np.inf)) if np.isfinite(least) \
-                else np.flatnonzero(row > -np.inf)
-            scores = (v[near] * q[k]).sum(axis=1)
-            best = np.lexsort((ids[near], -scores))[:limit]
-            out.append(pd.DataFrame({"query_id": names[k], "vec_id": ids[near][best], "score": scores[best]}))
-        return pd.concat(out)
+            at, score = near[k], scores[k]
+            if few > limit and rough[k, -1] > -np.inf and rough[k, limit - 1] - rough[k, -1] < 1e-9 * (1 + abs(rough[k, -1])):
+                at = np.flatnonzero(products[k] > -np.inf)
+                score = (v[at] * q[k]).sum(axis=1)
+            best = np.lexsort((ids[at], -score))[:limit]
+            best = best[score[best] > -np.inf]
+            out.append((np.full(len(best), names[k]), ids[at][best], score[best]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     return run
 

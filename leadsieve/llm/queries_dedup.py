@@ -1,6 +1,6 @@
-"""Registered queries: exact dedup."""
+"""Registered queries: exact, line and near-duplicate removal."""
 
-from leadsieve.llm import exact_dedup, ngram_join
+from leadsieve.llm import exact_dedup, line_dedup, ngram_join
 from leadsieve.llm.registry import oracle, query, table
 
 
@@ -23,3 +23,22 @@ FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id
 @query
 def op8_ngram_join(spark, sf):
     return ngram_join.link(table(spark, sf, "documents")).drop("print")
+
+
+@query
+def op4_line_dedup(spark, sf):
+    return line_dedup.deduplicate_lines(table(spark, sf, "documents"))
+
+
+oracle("op4_line_dedup", """
+WITH l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+    n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS follows FROM l),
+    h AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 >= 8
+            AND row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS copied,
+        follows IS NOT NULL AND row_number() OVER (PARTITION BY line, follows ORDER BY doc_id, pos) > 1 AS begins FROM n),
+    g AS (SELECT *, copied OR begins OR coalesce(lag(begins) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM h)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+FROM g GROUP BY doc_id
+""")

@@ -73,15 +73,21 @@ def slices(batches: Iterator, rows: int = 256) -> Iterator:
 
 
 def per_text(docs: DataFrame, doc_id: str, text: str, fields: str, tool: Callable, row: Callable) -> DataFrame:
-    """doc_id and what row(tool(), text) gives, for each document; null text is empty text."""
+    """doc_id and what row(tool(), text) gives, for each document; null text is empty text.
+
+    fields may be long, string and array<int>.
+    """
     import pyarrow as pa
     narrow = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     schema = T.StructType([narrow.schema["doc_id"], *T.StructType.fromDDL(fields).fields])
+    plain = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    kinds = [plain[f.dataType.simpleString()] for f in schema.fields[1:]]
 
     def run(batches):
         made = tool()
         for batch in slices(batches):
             columns = zip(*[row(made, t) for t in batch.column(1).to_pylist()], strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c)) for c in columns]], names=schema.names)
+            own = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *own], names=schema.names)
 
     return narrow.mapInArrow(run, schema)

@@ -73,7 +73,8 @@ class Tables:
         return out
 
     def probes(self, queries: np.ndarray, count: int) -> np.ndarray:
-        """The buckets nearest to each row (rows x tables x count)."""
+        """The buckets nearest to each row (rows x tables x count, or all buckets if there are fewer)."""
+        count = min(count, (2 * self.size) ** self.hashes)
         placed = self.on_sphere(queries, query=True)
         out = np.zeros((len(queries), len(self.signs), count), dtype=np.int64)
         for t in range(len(self.signs)):

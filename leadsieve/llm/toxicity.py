@@ -23,11 +23,12 @@ from leadsieve.llm.pieces import Kept, slices
 
 #: Labelled rows of each class to learn from, at most; the smallest by a hash of their id.
 EXAMPLES = 10_000
-#: Terms at most, and the least likelihood ratio (G squared) of one.
+#: Terms at most; the least likelihood ratio (G squared) of one, and how many times as common it is with label 1.
 TERMS = 5_000
 LEAST_G2 = 20.0
+LEAST_LIFT = 8.0
 NEIGHBOURS = 16
-BLOCK = 64
+BLOCK = 256
 #: Weight of the prior in a vote, in examples of similarity 1.
 PRIOR = 0.5
 REJECT = 0.7
@@ -68,9 +69,10 @@ class Model:
         self.index = Index([self.vector(e[0]) for e in self.entries], len(self.idf))
         raw, hit, weight = [], [], []
         for vector, negatives, positives, _ in self.entries:
+            found = self.index.nearest(self.vector(vector), self.neighbours)
             for label, count in enumerate((negatives, positives)):
                 if count:
-                    raw.append(self.vote(vector, without=label))
+                    raw.append(self.vote(vector, found, without=label))
                     hit.append(label)
                     weight.append(count * self.weights[label])
         self.steps = _isotonic(np.array(raw), np.array(hit, dtype=float), np.array(weight), self.prior)
@@ -85,10 +87,10 @@ class Model:
         norm = math.sqrt(sum(w * w for _, w in raw))
         return [(t, w / norm) for t, w in raw]
 
-    def vote(self, counts, without: int | None = None) -> float:
-        """Share of positives among the nearest entries, by similarity; without: one example of that label is left out."""
+    def vote(self, counts, found: list[tuple[int, float]], without: int | None = None) -> float:
+        """Share of positives among the found entries, by similarity; without: one example of that label is left out."""
         total, positive = PRIOR, PRIOR * self.prior
-        for entry, near in self.index.nearest(self.vector(counts), self.neighbours):
+        for entry, near in found:
             vector, negatives, positives, _ = self.entries[entry]
             if without is not None and vector == counts:
                 negatives, positives = negatives - (without == 0), positives - (without == 1)
@@ -100,9 +102,8 @@ class Model:
     def _score(self, counts) -> tuple[float, tuple]:
         if not counts:
             return _share(self.weights, self.bare, self.prior), ()
-        near = self.index.nearest(self.vector(counts), EVIDENCE)
-        return float(np.interp(self.vote(counts), *self.steps)), tuple(
-            self.entries[e][3] for e, _ in near if self.entries[e][3] is not None)
+        near = self.index.nearest(self.vector(counts), self.neighbours)
+        return float(np.interp(self.vote(counts, near), *self.steps)), tuple(self.entries[e][3] for e, _ in near[:EVIDENCE])
 
 
 def _share(weights, counts, prior: float = 0.5) -> float:
@@ -132,17 +133,22 @@ class Index:
         bounds = sum(w * self.most[t] for t, w in query)
         if not self.count or not np.any(bounds > 0):
             return []
-        best: list[tuple[float, int]] = []
+        scores, entries, least = np.zeros(0), np.zeros(0, dtype=np.int64), 0.0
         for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][0] - 1e-12:
+            if bounds[block] <= 0 or bounds[block] < least:
                 break
-            scores = np.zeros(BLOCK)
+            here = np.zeros(BLOCK)
             for t, w in query:
                 if (found := self.postings.get((t, int(block)))) is not None:
-                    scores[found[0]] += w * found[1]
-            best += [(float(scores[p]), int(block) * BLOCK + int(p)) for p in np.flatnonzero(scores)]
-            best = sorted(best, key=lambda s: (-round(s[0], 12), s[1]))[:k]
-        return [(e, s) for s, e in best]
+                    here[found[0]] += w * found[1]
+            places = np.flatnonzero((here > 0) & (here >= least))
+            if len(places):
+                scores = np.concatenate([scores, here[places]])
+                entries = np.concatenate([entries, int(block) * BLOCK + places])
+                best = np.lexsort((entries, -np.round(scores, 12)))[:k]
+                scores, entries = scores[best], entries[best]
+                least = scores[-1] - 1e-12 if len(scores) == k else 0.0
+        return list(zip(entries.tolist(), scores.tolist(), strict=True))
 
 
 def _isotonic(raw: np.ndarray, hit: np.ndarray, weight: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +195,7 @@ def _terms(texts: DataFrame, terms: int) -> dict[str, int]:
     p, n, used = F.col("p"), F.col("n"), F.col("p") + F.col("n")
     g2 = 2 * (part(p, used * with_1 / both) + part(n, used * with_0 / both)
               + part(with_1 - p, (both - used) * with_1 / both) + part(with_0 - n, (both - used) * with_0 / both))
-    best = counted.filter(p / with_1 > n / with_0).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
+    best = counted.filter(p / with_1 > LEAST_LIFT * n / with_0).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
     names = [r["term"] for r in best.orderBy(F.desc("g2"), "term").limit(terms).select("term").collect()]
     return {t: k for k, t in enumerate(sorted(names))}
 

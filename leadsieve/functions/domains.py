@@ -13,7 +13,7 @@ def normalize_domain(col: Column) -> Column:
 
     Blank tokens such as N/A hold no dot, so they fail the pattern like any other word.
     International names go through the JVM's IDNA 2003 encoder; that branch is only
-    evaluated for cells with non-ASCII characters.
+    evaluated for hosts with non-ASCII characters.
     """
     cell = strip(F.coalesce(col, F.lit("")))
     cell = F.trim(F.trim(cell, F.lit('"')), F.lit("'"))
@@ -26,7 +26,7 @@ def normalize_domain(col: Column) -> Column:
     def valid(name: Column) -> Column:
         return F.regexp_extract(name, r"^[a-z0-9.-]+\.[a-z]{2,}$", 0)
 
-    return F.when(col.rlike(r"[^\x00-\x7f]"), F.coalesce(valid(encoded), F.lit(""))) \
+    return F.when(host.rlike(r"[^\x00-\x7f]"), F.coalesce(valid(encoded), F.lit(""))) \
         .otherwise(valid(host))
 
 

@@ -8,16 +8,16 @@ from leadsieve.session import checkpointed
 
 
 def latest_by(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """The last record of each key; rows with a blank key are dropped.
+    """The last record of each key; rows with a blank key are dropped, null order values come first.
 
     An aggregate, so a key with many records is reduced before the shuffle.
     """
-    return _one_by(df, key, F.max_by(F.struct(*df.columns), F.col(seq)))
+    return _one_by(df, key, F.max_by(F.struct(*df.columns), F.struct(F.col(seq).isNotNull(), F.col(seq))))
 
 
 def first_by(df: DataFrame, key: str, seq: str) -> DataFrame:
-    """The first record of each key; rows with a blank key are dropped."""
-    return _one_by(df, key, F.min_by(F.struct(*df.columns), F.col(seq)))
+    """The first record of each key; rows with a blank key are dropped, null order values come last."""
+    return _one_by(df, key, F.min_by(F.struct(*df.columns), F.struct(F.col(seq).isNull(), F.col(seq))))
 
 
 def _one_by(df: DataFrame, key: str, pick: Column) -> DataFrame:

@@ -147,3 +147,17 @@ def test_markdown(spark):
     table = "before\n| a | b |\n---\n![i](u) **bold** `code`\n## Second `x`\n#### fourth"
     assert one(spark, H.markdown_text, table) == "before bold code Second x fourth"
     assert one(spark, H.markdown_headings, table) == ["Second x"]
+
+
+def test_only_the_host_decides_on_idna(spark):
+    from leadsieve.functions.domains import normalize_domain
+    long = "a" * 64 + ".com"
+    df = spark.createDataFrame([("a..com/\u00fc",), ("a..com/u",), (long + "/\u00fc",), ("b\u00fc.de",)], "cell string")
+    assert [r[0] for r in df.select(normalize_domain(df["cell"])).collect()] == ["a..com", "a..com", long, "b\u00fc.de".encode("idna").decode()]
+
+
+def test_keys_whose_order_is_null_keep_a_record(spark):
+    from leadsieve.operators.selection import first_by, latest_by
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 1, "z")], "k string, seq int, v string")
+    for pick in (first_by, latest_by):
+        assert {(r.k, r.v) for r in pick(df, "k", "seq").collect()} == {("a", "x"), ("b", "z")}

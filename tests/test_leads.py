@@ -152,8 +152,10 @@ def test_logs(spark, tmp_path):
     assert read_log(spark, path, schema).count() == 0
     append_log(spark.createDataFrame([("a", 1)], schema), path)
     append_log(spark.createDataFrame([("b", 2)], schema), path)
-    (tmp_path / "log" / "noise.json").write_text('\n{"domain": "c", "n": 3}\nnot json\n{"domain": \n')
-    assert sorted(tuple(r) for r in read_log(spark, path, schema).collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    (tmp_path / "log" / "noise.json").write_text('\n{"domain": "c", "n": 3}\nnot json\n{"domain": \n'
+                                                '{"domain": "d", "n": "4"}\n{"domain": 5, "n": "x"}\n')
+    assert sorted(tuple(r) for r in read_log(spark, path, schema).collect()) == [
+        ("5", None), ("a", 1), ("b", 2), ("c", 3), ("d", 4)]
     table = str(tmp_path / "table")
     assert read_table(spark, table, schema).count() == 0
     append_log(spark.createDataFrame([("a", 1)], schema), table, "parquet")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadsieve import constants as C
 from leadsieve.functions.text import fixed, rounded
+from leadsieve.operators.selection import latest_by
 
 PREFIX = {"disqualifier": "dq__", "fit": "fit__", "anti-fit": "anti__", "momentum": "mom__"}
 SHORT = {"disqualifier": "dq", "fit": "fit", "anti-fit": "anti", "momentum": "mom"}
@@ -38,11 +39,16 @@ class Thresholds:
         return self.disqualifies if kind == "disqualifier" else self.present
 
 
+def distinct_signals(signals: list[Signal]) -> list[Signal]:
+    """One signal per question: a later one with the same kind and id takes the place of an earlier one."""
+    return list({s.qid: s for s in signals}.values())
+
+
 def signals_table(spark: SparkSession, signals: list[Signal],
                   limits: Thresholds = Thresholds()) -> DataFrame:
     """The rubric's signals as a small table with rubric order and threshold."""
     rows = [(s.qid, s.kind, s.id, s.text, s.weight, i, limits.bar(s.kind))
-            for i, s in enumerate(signals)]
+            for i, s in enumerate(distinct_signals(signals))]
     return spark.createDataFrame(rows, "qid string, kind string, id string, text string, "
                                        "weight string, ord int, threshold double")
 
@@ -69,7 +75,7 @@ def answers_wide(answers: DataFrame, signals: list[Signal]) -> DataFrame:
         mine = F.col("qid") == s.qid
         return F.max_by(F.when(mine, F.col("noul")), F.when(mine, F.col("seq"))).alias(f"p_{s.qid}")
 
-    return answers.groupBy("domain").agg(*[latest(s) for s in signals])
+    return answers.groupBy("domain").agg(*[latest(s) for s in distinct_signals(signals)])
 
 
 def complete_answers(wide: DataFrame, signals: list[Signal]) -> DataFrame:
@@ -80,6 +86,8 @@ def complete_answers(wide: DataFrame, signals: list[Signal]) -> DataFrame:
 def signal_rollup(wide: DataFrame, signals: list[Signal],
                   limits: Thresholds = Thresholds()) -> DataFrame:
     """Per kind: hits, strong hits, first hit in rubric order; and the list of hits."""
+    signals = distinct_signals(signals)
+
     def hit(s: Signal) -> Column:
         return _p(s) >= limits.bar(s.kind)
 
@@ -119,7 +127,7 @@ def decide(answers: DataFrame, grades: DataFrame, signals: list[Signal],
     """The decision for every domain with complete answers.
 
     answers: (domain, qid, noul, seq). grades: (domain, choice, p_good, p_avg, p_unfit,
-    confidence), one row per domain.
+    confidence, seq); the latest of a domain counts. Without `seq`, one row per domain.
     """
     return decide_wide(answers_wide(answers, signals), grades, signals, limits)
 
@@ -127,7 +135,10 @@ def decide(answers: DataFrame, grades: DataFrame, signals: list[Signal],
 def decide_wide(wide: DataFrame, grades: DataFrame, signals: list[Signal],
                 limits: Thresholds = Thresholds()) -> DataFrame:
     """`decide` on answers that are one row per domain already."""
-    rolled = signal_rollup(complete_answers(wide, signals), signals, limits)
+    signals = distinct_signals(signals)
+    if "seq" in grades.columns:
+        grades = latest_by(grades, "domain").drop("seq")
+    rolled =signal_rollup(complete_answers(wide, signals), signals, limits)
     p = [F.coalesce(F.col(c), F.lit(0.0)) for c in ("p_good", "p_avg", "p_unfit")]
     largest = F.when((p[0] >= p[1]) & (p[0] >= p[2]), "Good").when(p[1] >= p[2], "Avg") \
         .otherwise("Unfit")

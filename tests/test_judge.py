@@ -61,6 +61,17 @@ def grades_of(spark, table):
     return spark.createDataFrame(rows, "domain string, choice string, p_good double, p_avg double, p_unfit double, confidence double")
 
 
+def test_latest_grade_and_last_signal_count(spark):
+    graded = {"x": ({"fit__port": .9}, AVG, .8, None)}
+    again = {"x": ({}, GOOD, .8, None)}
+    grades = grades_of(spark, graded).withColumn("seq", F.lit(1)).unionByName(
+        grades_of(spark, again).withColumn("seq", F.lit(2)))
+    signals = [*PARSED.signals, J.Signal("fit", "port", "Owns a port", "moderate")]
+    rows = J.decide(answers_of(spark, graded), grades, signals).collect()
+    assert [(r.domain, r.fitment) for r in rows] == [("x", "Good")]
+    assert [s.text for s in rows[0].signals_present] == ["Owns a port"]
+
+
 def test_decision_table(spark):
     got = {r.domain: r for r in J.decide(answers_of(spark, TABLE), grades_of(spark, TABLE), PARSED.signals).collect()}
     for name, (*_, fitment, ranking, review) in TABLE.items():

@@ -210,11 +210,15 @@ def _with_context(batch: DataFrame, leads: DataFrame, url_col: str) -> DataFrame
 def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
                   verdicts: DataFrame, leads: DataFrame, url_col: str,
                   n: int = C.REVIEW_BATCH) -> DataFrame:
-    """The next n decided domains without a comment: verdict, signals, notes, context, digest."""
-    open_decisions = latest_by(decisions, "domain") \
+    """The next n decided domains without a comment: verdict, signals, notes, context, digest.
+
+    Domains come in the order of their first decision; what the sheet shows is the latest.
+    """
+    first = decisions.groupBy("domain").agg(F.min("seq").alias("_first"))
+    open_decisions = latest_by(decisions, "domain").join(first, "domain") \
         .join(comments.select("domain"), "domain", "left_anti") \
         .join(domain_verdicts(verdicts).select("domain"), "domain", "left_anti")
-    batch = checkpointed(open_decisions.orderBy("seq").limit(n))
+    batch = checkpointed(open_decisions.orderBy("_first", "domain").limit(n).drop("_first"))
 
     def texts(kind: str) -> Column:
         mine = F.filter("signals_present", lambda s: s["kind"] == kind)

@@ -26,6 +26,18 @@ SELECT row_idx, c_name AS Company,
        c_mktsegment AS Industry
 FROM lead_hosts JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
+# All given pages, and hosts that show no text, have a blank homepage, or a blank subpage.
+FIXTURES["crawled_pages"] = """
+SELECT page_id, url, html FROM pages
+UNION ALL SELECT 10000000 + r_regionkey, 'https://js' || CAST(r_regionkey AS STRING) || '.com/',
+       '<html><body><noscript>please enable javascript</noscript></body></html>' FROM region
+UNION ALL SELECT 20000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/',
+       '<html><body></body></html>' FROM nation
+UNION ALL SELECT 30000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/about', html
+FROM nation JOIN pages ON page_id = n_nationkey
+UNION ALL SELECT 40000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/empty',
+       '<html><body> </body></html>' FROM nation"""
+
 FIXTURES["page_rows"] = """
 SELECT 'c' || CAST(conv_id AS STRING) || '.com' AS domain, CAST(turn AS BIGINT) AS ord,
        'https://c' || CAST(conv_id AS STRING) || '.com/' || CASE WHEN turn = 0 THEN ''

@@ -11,7 +11,7 @@ from leadsieve.operators.gate import build_digest, dedupe_headings, gate_split,
 from leadsieve.operators.verdicts import resolve_failed
 from leadsieve.plans.campaign import crawl_results, gated_sites as gated_sites_of
 from leadsieve.session import scratch_folder, spread
-from leadsieve.sources.pages import ingest_pages
+from leadsieve.sources.pages import ingest_pages, page_keys
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
 c = F.col
@@ -90,8 +90,12 @@ def _(spark, sf):
         "doc_id", F.array_join(dedupe_headings(heads), " | ").alias("headings"))
 
 
-_PAGE_SITES = (S.parsed_pages() + ", filled AS (SELECT * FROM parsed WHERE domain <> '' AND text <> ''), "
-               + S.site_ctes("filled", "depth, page_id"))
+def _page_sites(source="crawled_pages"):
+    return (S.parsed_pages(source) + ", keyed_pages AS (SELECT * FROM parsed WHERE domain <> ''), "
+            + S.site_ctes("keyed_pages", "depth, page_id"))
+
+
+_PAGE_SITES = _page_sites()
 _PAGE_GATE = f"judged AS (SELECT *, {S.gate_case()} AS gate_reason FROM measured)"
 
 
@@ -110,24 +114,38 @@ WITH {_PAGE_SITES}, {_PAGE_GATE}, {S.digest_ctes()}
 SELECT domain, st AS status, gate_reason = 'pass' AS gate_ok, gate_reason, n_pages AS pages, chars, digest
 FROM judged JOIN digests USING (domain)""")
 def _(spark, sf):
-    return crawl_results(spread(table(spark, sf, "pages"))).select(
+    return crawl_results(fixture(spark, sf, "crawled_pages")).select(
         "domain", "status", "gate_ok", "gate_reason", "pages", "chars", "digest")
 
 
+@query("crawl_requested", f"""
+WITH {_PAGE_SITES}, {_PAGE_GATE}, asked AS (
+  SELECT domain FROM keyed_pages WHERE NOT starts_with(domain, 'js') UNION SELECT 'none' || n_nationkey || '.com' FROM nation)
+SELECT domain, coalesce(st, 'thin') AS status, coalesce(gate_reason = 'pass', FALSE) AS gate_ok,
+  coalesce(gate_reason, 'no_pages') AS gate_reason, coalesce(n_pages, 0) AS pages, coalesce(chars, 0) AS chars,
+  CASE WHEN gate_reason IS NULL THEN 'no pages' ELSE '' END AS error FROM asked LEFT JOIN judged USING (domain)""")
+def _(spark, sf):
+    pages = fixture(spark, sf, "crawled_pages")
+    asked = page_keys(pages).select("domain").where("not startswith(domain, 'js')").unionAll(
+        table(spark, sf, "nation").select(F.concat(F.lit("none"), "n_nationkey", F.lit(".com"))))
+    return crawl_results(pages, requested=asked).select(
+        "domain", "status", "gate_ok", "gate_reason", "pages", "chars", "error")
+
+
 @query("gate_report", f"""
 WITH {_PAGE_SITES}, {_PAGE_GATE}
 SELECT {S.family('gate_reason')} AS family, count(*) AS n, CAST(sum(n_pages) AS BIGINT) AS pages,
   CAST(sum(chars) AS BIGINT) AS chars FROM judged GROUP BY 1""")
 def _(spark, sf):
     from leadsieve.functions.text import reason_family
-    gated = gated_sites_of(spread(table(spark, sf, "pages")))
+    gated = gated_sites_of(fixture(spark, sf, "crawled_pages"))
     return gated.groupBy(reason_family(c("gate_reason")).alias("family")).agg(
         F.count("*").alias("n"), F.sum(F.size("pages").cast("bigint")).alias("pages"),
         F.sum("chars").cast("bigint").alias("chars"))
 
 
 @query("incremental_pages", f"""
-WITH {_PAGE_SITES}, {_PAGE_GATE}
+WITH {_page_sites("pages")}, {_PAGE_GATE}
 SELECT domain, gate_reason, n_pages AS pages, chars FROM judged""")
 def _(spark, sf):
     folder = scratch_folder(spark, "intake")

@@ -99,8 +99,9 @@ def site_ctes(pages: str, order: str) -> str:
     blank = "coalesce(array_to_string(headings, ' '), '')"
     heads = (f"list_filter(list_transform(headings, lambda h: {collapse('h')}), lambda h: h <> '')")
     return f"""
-    top5 AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY {order}) AS rk
+    picked AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY {order}) AS rk
              FROM {pages} QUALIFY rk <= {C.MAX_PAGES}),
+    top5 AS (SELECT * FROM picked WHERE rk = 1 OR coalesce(text, '') <> ''),
     site AS (SELECT domain, count(*) AS n_pages, CAST(sum(length(text)) AS BIGINT) AS chars,
                     string_agg(text, ' ' ORDER BY rk) AS words,
                     string_agg(title || ' ' || description || ' ' || {blank}, ' ' ORDER BY rk) AS meta,

@@ -26,16 +26,6 @@ def _one_by(df: DataFrame, key: str, pick: Column) -> DataFrame:
     return keyed.groupBy(F.col(key).alias("_key")).agg(pick.alias("_row")).select("_row.*")
 
 
-def hot_keys(df: DataFrame, key: str, at_least: int = 1_000_000, most: int = 1000) -> list:
-    """The heaviest keys, for splitting their work: at most `most`, each with many rows.
-
-    A count over one column. Which keys are named decides only how work is split,
-    never what comes out.
-    """
-    counts = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= at_least)
-    return [r[0] for r in counts.orderBy(F.desc("n")).limit(most).collect()]
-
-
 def with_row_index(df: DataFrame, *order: str, name: str = "row_idx",
                    total: str | None = None) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the order of unique columns.

@@ -28,38 +28,55 @@ def domain_rows(leads: DataFrame, url_col: str) -> DataFrame:
                         F.trim(F.coalesce(F.col(url_col), F.lit(""))).alias("raw"))
 
 
-def _first_pages(pages: DataFrame, keys: list[str], order: tuple[str, ...], n: int) -> DataFrame:
+def _first(rows: DataFrame, keys: list[str], order: tuple[str, ...], n: int) -> DataFrame:
     rank = Window.partitionBy(*keys).orderBy(*order)
-    return pages.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= n)
+    return rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES,
-                   hot: list[str] = ()) -> DataFrame:
+def first_pages(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES) -> DataFrame:
+    """The rows of the first pages of each domain.
+
+    The cap is a window limit, which Spark applies inside each task before the shuffle, so
+    a domain sends at most the cap per task. The tasks are dealt over salts, so that even
+    these rows of a domain with pages in every task meet in parts first.
+    """
+    salted = pages.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    parts = _first(salted, ["domain", "_salt"], order, max_pages).drop("_salt")
+    return _first(parts, ["domain"], order, max_pages)
+
+
+def assemble_sites(pages: DataFrame, *order: str, max_pages: int = C.MAX_PAGES) -> DataFrame:
     """One site per domain from its first pages: page list, body size and status.
 
-    `order` must be unique within a domain; `places` keeps it, so that a site can take
-    further pages later. The page cap is a window limit, which
-    Spark applies inside each task before the shuffle, so a domain never sends more
-    than the cap per task. Domains named `hot` are capped per salt first, so that not
-    even those rows meet in one task.
+    `order` must be unique within a domain. The first page is the homepage and always
+    stays; blank ones among the others are left out. `places` and `blank_places` keep the
+    order columns of both, so that a site can take further pages later.
     """
-    if hot:
-        salt = F.when(F.col("domain").isin(list(hot)), F.pmod(F.xxhash64(*order), F.lit(SALTS)))
-        salted = pages.withColumn("_salt", F.coalesce(salt, F.lit(0)))
-        pages = _first_pages(salted, ["domain", "_salt"], order, max_pages).drop("_salt", "_rank")
-    first = _first_pages(pages, ["domain"], order, max_pages)
+    return list_sites(first_pages(pages, *order, max_pages=max_pages), *order)
+
+
+def list_sites(first: DataFrame, *order: str) -> DataFrame:
+    """`assemble_sites` on pages that are capped per domain already."""
     listed = first.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct(
-        "_rank", F.struct(*PAGE_FIELDS).alias("page"), F.struct(*order).alias("place"))))
-        .alias("_pages"))
-    sites = listed.select("domain", F.col("_pages.page").alias("pages"),
-                          F.col("_pages.place").alias("places"))
+        F.struct(*order).alias("place"), F.struct(*PAGE_FIELDS).alias("page")))).alias("_pages"))
+
+    def shown(p: Column, i: Column) -> Column:
+        return (i == 0) | (F.coalesce(p["page"]["text"], F.lit("")) != "")
+
+    split = listed.select("domain", F.filter("_pages", shown).alias("_shown"),
+                          F.filter("_pages", lambda p, i: ~shown(p, i)).alias("_blank"))
+    sites = split.select("domain", F.col("_shown.page").alias("pages"),
+                         F.col("_shown.place").alias("places"),
+                         F.col("_blank.place").alias("blank_places"))
     return sites.select("*", body_chars(F.col("pages")).alias("chars")) \
         .withColumn("status", site_status(F.col("chars")))
 
 
 def site_pages(sites: DataFrame) -> DataFrame:
-    """The pages of assembled sites as rows again, with their order columns."""
-    pairs = F.explode(F.arrays_zip("pages", "places")).alias("_p")
+    """The pages of assembled sites as rows again, with their order columns; blank ones have no content."""
+    none = F.lit(None).cast(sites.schema["pages"].dataType.elementType)
+    blank = F.transform("blank_places", lambda p: F.struct(none.alias("pages"), p.alias("places")))
+    pairs = F.explode(F.concat(F.arrays_zip("pages", "places"), blank)).alias("_p")
     return sites.select("domain", pairs).select("domain", "_p.pages.*", "_p.places.*")
 
 

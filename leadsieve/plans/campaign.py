@@ -4,40 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from leadsieve.functions.domains import normalize_domain
 from leadsieve.operators.decide import incremental_decide
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.rules import prefilter
-from leadsieve.operators.selection import hot_keys
-from leadsieve.operators.sites import assemble_sites
+from leadsieve.operators.sites import list_sites
 from leadsieve.operators.verdicts import (all_verdicts, finalize, merge_verdicts, resolve_failed)
-from leadsieve.session import estimated_bytes
-from leadsieve.sources.pages import ingest_pages, with_text
+from leadsieve.sources.pages import ORDER, ingest_first_pages
 from leadsieve.sources.rubric import Rubric
 
-SEARCH_FROM_BYTES = 1 << 30
+def gated_sites(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """Raw pages as gated sites; with `requested` (domain), one for each of its domains and no others.
 
+    A requested domain without pages is `thin` and fails the gate with `no_pages`.
+    """
+    sites = list_sites(ingest_first_pages(pages, requested), *ORDER)
+    if requested is not None:
+        found = requested.select("domain").distinct().join(sites, "domain", "left")
+        none = F.array().cast(sites.schema["pages"].dataType)
+        sites = found.withColumns({"pages": F.coalesce("pages", none), "chars": F.coalesce("chars", F.lit(0)),
+                                   "status": F.coalesce("status", F.lit("thin"))})
+    return quality_gate(sites)
 
-def hot_hosts(pages: DataFrame) -> list[str]:
-    """Hosts that own a large part of the pages; small tables are not searched."""
-    if estimated_bytes(pages) < SEARCH_FROM_BYTES:
-        return []
-    return hot_keys(pages.select(normalize_domain(F.col("url")).alias("domain")), "domain")
 
-
-def gated_sites(pages: DataFrame, hot: list[str] | None = None) -> DataFrame:
-    """Raw pages as gated sites: one shuffle, by domain."""
-    hot = hot_hosts(pages) if hot is None else hot
-    parsed = with_text(ingest_pages(pages).drop("links"))
-    return quality_gate(assemble_sites(parsed, "depth", "page_id", hot=hot))
-
-
-def crawl_results(pages: DataFrame, tier: str = "plain") -> DataFrame:
-    """Gated sites with digest, as the crawl log records them."""
-    gated = build_digest(gated_sites(pages))
+def crawl_results(pages: DataFrame, tier: str = "plain", requested: DataFrame | None = None) -> DataFrame:
+    """Gated sites with digest, as the crawl log records them; see `gated_sites` for `requested`."""
+    gated = build_digest(gated_sites(pages, requested))
     return gated.select("domain", "status", "gate_ok", "gate_reason",
                         F.lit(tier).alias("source_tier"), F.size("pages").alias("pages"),
-                        "chars", F.lit("").alias("error"), "digest")
+                        "chars", F.when(F.size("pages") == 0, "no pages").otherwise("").alias("error"),
+                        "digest")
 
 
 def judge(results: DataFrame, answers: DataFrame, grades: DataFrame, comments: DataFrame,

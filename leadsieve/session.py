@@ -27,11 +27,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a scan out to all cores when it has fewer splits than cores.
 

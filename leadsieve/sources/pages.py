@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadsieve.functions.domains import normalize_domain
 from leadsieve.functions.html import parse_html
-from leadsieve.operators.sites import page_order
+from leadsieve.operators.sites import first_pages, page_order
+
+
+#: What orders the pages of a domain; the first one is its homepage.
+ORDER = ["depth", "page_id"]
+
+
+def page_keys(pages: DataFrame) -> DataFrame:
+    """(url, html, ...) with host and depth; pages with an unusable URL are dropped. Nothing is parsed."""
+    keyed = pages.withColumn("domain", normalize_domain(F.col("url"))).where("domain <> ''")
+    status = F.col("http_status") if "http_status" in pages.columns else F.lit(200)
+    return keyed.withColumn("http_status", status).withColumn("depth", page_order(F.col("url")))
 
 
 def ingest_pages(pages: DataFrame) -> DataFrame:
@@ -14,17 +25,17 @@ def ingest_pages(pages: DataFrame) -> DataFrame:
 
     The filter runs on the narrow URL before any HTML is parsed.
     """
-    keyed = pages.withColumn("domain", normalize_domain(F.col("url"))).where("domain <> ''")
-    status = F.col("http_status") if "http_status" in pages.columns else F.lit(200)
-    return parse_html(keyed.withColumn("http_status", status)
-                      .withColumn("depth", page_order(F.col("url"))))
+    return parse_html(page_keys(pages))
 
 
-def with_text(pages: DataFrame) -> DataFrame:
-    """Pages that hold text.
+def ingest_first_pages(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """The first pages of each (requested) domain, parsed.
 
-    Written as a generator so that the optimizer does not move the test below the
-    parser, which would parse each page twice.
+    They are chosen by narrow keys, so all other pages are neither parsed nor ranked with
+    their HTML.
     """
-    row = F.struct(*pages.columns)
-    return pages.select(F.inline(F.filter(F.array(row), lambda p: p["text"] != "")))
+    keyed = page_keys(pages)
+    if requested is not None:
+        keyed = keyed.join(requested.select("domain").distinct(), "domain", "left_semi")
+    chosen = first_pages(keyed.select("domain", *ORDER), *ORDER)
+    return parse_html(keyed.join(chosen, ["domain", *ORDER], "left_semi")).drop("links")

@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.selection import latest_by
-from leadsieve.operators.sites import assemble_sites, site_pages
-from leadsieve.plans.campaign import hot_hosts
-from leadsieve.session import checkpointed
-from leadsieve.sources.pages import ingest_pages, with_text
+from leadsieve.operators.sites import PAGE_FIELDS, assemble_sites, list_sites, site_pages
+from leadsieve.sources.logs import path_exists
+from leadsieve.sources.pages import ORDER, ingest_first_pages, page_keys
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
-ORDER = ["depth", "page_id"]
 
 
 def incremental_pages(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
@@ -20,8 +18,12 @@ def incremental_pages(spark: SparkSession, in_dir: str, out_dir: str, checkpoint
     """Parse and gate the pages that landed since the last run, then stop.
 
     Every batch has its own folder and is overwritten when replayed, so a lost run or
-    executor changes nothing and a re-run without new files does nothing.
+    executor changes nothing and a re-run without new files does nothing. A new checkpoint
+    folder would count batches from 0 again and replace stored ones, so it is refused
+    where sites are stored already.
     """
+    if path_exists(spark, f"{out_dir}/sites") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{out_dir} holds sites, but the checkpoint folder {checkpoint} is new")
     pages = spark.readStream.schema(schema).parquet(in_dir)
     query = pages.writeStream.foreachBatch(lambda df, batch: _intake(df, batch, out_dir)) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -34,15 +36,17 @@ def _intake(batch: DataFrame, batch_id: int, out_dir: str) -> None:
     A site's first pages are all it needs, so stored sites meet the new pages as they
     are and older HTML is never read again.
     """
-    spark, hot = batch.sparkSession, hot_hosts(batch)
-    fresh = checkpointed(with_text(ingest_pages(batch).drop("links")))
+    spark = batch.sparkSession
+    fresh = ingest_first_pages(batch).select("domain", *PAGE_FIELDS, *ORDER)
     if batch_id:
+        landed = page_keys(batch).select("domain", "page_id").distinct()
         stored = spark.read.parquet(f"{out_dir}/sites").where(F.col("batch_id") < batch_id) \
-            .join(fresh.select("domain").distinct(), "domain", "left_semi")
+            .join(landed.select("domain").distinct(), "domain", "left_semi")
         known = site_pages(latest_by(stored, "domain", "batch_id"))
-        again = fresh.select("domain", "page_id").distinct()
-        fresh = fresh.unionByName(known.join(again, ["domain", "page_id"], "left_anti"))
-    sites = assemble_sites(fresh, *ORDER, hot=hot)
+        fresh = fresh.unionByName(known.join(landed, ["domain", "page_id"], "left_anti"))
+        sites = assemble_sites(fresh, *ORDER)
+    else:
+        sites = list_sites(fresh, *ORDER)
     build_digest(quality_gate(sites)).write.mode("overwrite").parquet(
         f"{out_dir}/sites/batch_id={batch_id}")
 

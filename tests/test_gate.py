@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from leadsieve.functions.html import PAGE_TYPE
 from leadsieve.operators.gate import build_digest, quality_gate
-from leadsieve.operators.selection import hot_keys
-from leadsieve.operators.sites import assemble_sites
+from leadsieve.operators.sites import assemble_sites, first_pages
+from leadsieve.plans.campaign import crawl_results
 
 COPY = ("Harbor crane rental for inland ports across five river basins. Crews rig, lift and place turbine "
         "blades, locomotives, pressure vessels and bridge girders under certified engineering plans. Founded "
@@ -79,9 +79,7 @@ def test_assembly_caps_pages_per_domain(spark):
         F.col("id").alias("ord"), F.concat(F.lit("https://x.com/"), "id").alias("url"), F.lit("t").alias("title"),
         F.lit("").alias("description"), F.array().cast("array<string>").alias("headings"),
         F.repeat(F.lit("a"), 100).alias("text"), F.lit(200).alias("http_status"))
-    assert hot_keys(pages, "domain", at_least=1000) == ["hot.com"]
-    rows = {r.domain: r for r in assemble_sites(pages, "ord").collect()}
-    assert {r.domain: r for r in assemble_sites(pages, "ord", hot=["hot.com", "d1.com"]).collect()} == rows
+    rows = {r.domain: r for r in assemble_sites(pages.repartition(40), "ord").collect()}
     assert len(rows) == 51
     assert [p.url for p in rows["hot.com"].pages] == [f"https://x.com/{i}" for i in (0, 3, 6, 9, 12)]
     assert rows["hot.com"].chars == 500 and rows["hot.com"].status == "ok"
@@ -90,7 +88,32 @@ def test_assembly_caps_pages_per_domain(spark):
 def test_assembly_limits_inside_each_task(spark):
     pages = sites(spark, CASES).select("domain", F.lit(1).alias("ord"), F.inline("pages"))
     plan = assemble_sites(pages, "ord")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 1
+    # By domain and salt, then by domain; the page list needs no shuffle of its own.
+    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_rows_of_a_hot_host_stay_at_the_cap_per_task(spark):
+    pages = spark.range(0, 200_000, 1, 40).select(F.lit("hot.com").alias("domain"), F.col("id").alias("ord"))
+    first = first_pages(pages, "ord")
+    assert [r.ord for r in first.orderBy("ord").collect()] == [0, 1, 2, 3, 4]
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert any("_salt" in line and "Partial" in line for line in limits)
+
+
+def test_homepage_stays_and_blank_subpages_go(spark):
+    html = f"<html><title>Acme</title><p>{COPY}</p></html>"
+    pages = spark.createDataFrame(
+        [(1, "https://a.com/", "<html><noscript>please enable javascript</noscript></html>"),
+         (2, "https://b.com/", "<html></html>"), (3, "https://b.com/about", html), (4, "https://b.com/empty", "<p> </p>"),
+         (5, "https://c.com/", html)], "page_id bigint, url string, html string")
+    asked = spark.createDataFrame([("a.com",), ("b.com",), ("b.com",), ("d.com",)], "domain string")
+    rows = {r.domain: r for r in crawl_results(pages, requested=asked).collect()}
+    assert set(rows) == {"a.com", "b.com", "d.com"}
+    assert (rows["a.com"].pages, rows["a.com"].gate_reason) == (1, "thin:0_chars")
+    assert rows["b.com"].pages == 2 and rows["b.com"].chars == len(COPY)
+    assert (rows["d.com"].gate_reason, rows["d.com"].status, rows["d.com"].error) == ("no_pages", "thin", "no pages")
+    assert {r.domain for r in crawl_results(pages).collect()} == {"a.com", "b.com", "c.com"}
 
 
 @pytest.mark.parametrize("tier", ["plain", "browser"])

@@ -57,7 +57,9 @@ def chunk(df: DataFrame, *order: str, size: int) -> DataFrame:
 def cap_share(todo: DataFrame, *order: str, share: float, of: DataFrame | None = None,
               cap: int | None = None) -> DataFrame:
     """The first rows to do: `cap` if given, else a share of all rows `of`, at least one."""
-    limit = cap or max(1, int(share * (todo if of is None else of).count()))
+    if cap:
+        return todo.orderBy(*order).limit(cap)
+    limit = max(1, int(share * (todo if of is None else of).count()))
     return with_row_index(todo, *order, name="_pos").where(F.col("_pos") < limit).drop("_pos")
 
 

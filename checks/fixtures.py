@@ -105,7 +105,7 @@ SELECT CASE WHEN user_id % 10 = 0 THEN 'x' ELSE 'c' END || CAST(user_id AS STRIN
        CASE WHEN event_id % 6 = 0 THEN '  ' ELSE ' note on ' || props || ' ' END AS comments,
        CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS STRING) ELSE props END AS evidence,
        CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS BOOLEAN) ELSE event_id % 5 = 1 END AS disagree
-FROM events WHERE event_type = 'click' AND value > 100"""
+FROM events WHERE event_type = 'click'"""
 
 FIXTURES["verdicts"] = """
 SELECT c_custkey AS row_idx, 'c' || CAST(c_custkey AS STRING) || '.com' AS domain, c_custkey AS seq,
@@ -114,7 +114,7 @@ SELECT c_custkey AS row_idx, 'c' || CAST(c_custkey AS STRING) || '.com' AS domai
        FALSE AS needs_review, FALSE AS disagree
 FROM customer WHERE c_acctbal < 0
 UNION ALL
-SELECT CAST(NULL AS BIGINT), 'c' || CAST(user_id AS STRING) || '.com', event_id,
+SELECT CAST(NULL AS BIGINT), CASE WHEN user_id % 3 = 0 THEN 'w' ELSE 'c' END || CAST(user_id AS STRING) || '.com', event_id,
        CASE event_id % 7 WHEN 0 THEN 'good' WHEN 1 THEN ' AVG ' WHEN 2 THEN 'Unfit' WHEN 3 THEN 'maybe'
          WHEN 4 THEN '' WHEN 5 THEN 'Good' ELSE 'Avg' END,
        CASE event_id % 9 WHEN 0 THEN '1' WHEN 1 THEN ' 2 ' WHEN 2 THEN '3' WHEN 3 THEN '0'
@@ -123,7 +123,7 @@ SELECT CAST(NULL AS BIGINT), 'c' || CAST(user_id AS STRING) || '.com', event_id,
        CASE WHEN event_id % 4 = 0 THEN '' ELSE 'ok' END, CASE WHEN event_id % 3 = 0 THEN '' ELSE 'plain' END,
        CASE WHEN event_id % 3 = 0 THEN 'model' WHEN event_id % 3 = 1 THEN '' ELSE 'manual' END,
        event_id % 3 = 0 AND event_id % 2 = 0, event_id % 6 = 3
-FROM events WHERE event_type = 'purchase' AND value > 150"""
+FROM events WHERE event_type = 'purchase'"""
 
 # Signals of the stand-in rubric: kind, id, weight, factor, offset. The probability of a
 # signal for document d is ((d * factor + offset) mod 100) / 100.

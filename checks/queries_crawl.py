@@ -77,7 +77,7 @@ def _(spark, sf):
 
 
 @query("dedupe_headings", f"""
-WITH heads AS (SELECT doc_id, string_split(lang || '| ' || upper(lang) || '|' || source || '||' || replace(substr(text, 1, 200), ' ', '|'), '|') AS hs FROM documents),
+WITH heads AS (SELECT doc_id, string_split(lang || '| ' || upper(lang) || '|' || source || '||' || replace(text, ' ', '|'), '|') AS hs FROM documents),
 each AS (SELECT doc_id, {S.collapse('u.h')} AS h, u.i AS i FROM (
   SELECT doc_id, unnest(list_transform(hs, lambda h, i: {{'h': h, 'i': i}})) AS u FROM heads)),
 firsts AS (SELECT doc_id, lower(h) AS l, arg_min(h, i) AS h, min(i) AS i FROM each WHERE h <> '' GROUP BY ALL),
@@ -85,7 +85,7 @@ kept AS (SELECT * FROM firsts QUALIFY row_number() OVER (PARTITION BY doc_id ORD
 SELECT doc_id, string_agg(h, ' | ' ORDER BY i) AS headings FROM kept GROUP BY doc_id""")
 def _(spark, sf):
     heads = F.split(F.expr("lang || '| ' || upper(lang) || '|' || source || '||' "
-                           "|| replace(substr(text, 1, 200), ' ', '|')"), r"\|")
+                           "|| replace(text, ' ', '|')"), r"\|")
     return table(spark, sf, "documents").select(
         "doc_id", F.array_join(dedupe_headings(heads), " | ").alias("headings"))
 

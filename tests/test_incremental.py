@@ -1,5 +1,7 @@
 """Pages that land over time."""
 
+import pytest
+
 from leadsieve.plans.campaign import crawl_results
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
@@ -20,3 +22,13 @@ def test_new_pages_rebuild_their_site_once(spark, tmp_path):
     got = sorted(tuple(r) for r in current_sites(spark, out).select(*columns).collect())
     assert got == sorted(tuple(r) for r in crawl_results(pages).select(*columns).collect())
     assert half < {g[0] for g in got} or half == {g[0] for g in got}
+
+
+def test_new_checkpoint_on_stored_sites_is_refused(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(1, "https://a.com/", "<p>text</p>")], "page_id bigint, url string, html string") \
+        .write.parquet(landing)
+    incremental_pages(spark, landing, out, f"{out}/progress")
+    with pytest.raises(ValueError):
+        incremental_pages(spark, landing, out, f"{out}/other")
+    assert current_sites(spark, out).count() == 1

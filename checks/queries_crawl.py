@@ -10,7 +10,7 @@ from leadsieve.operators import reports as R, selection as Sel, sites as Sites
 from leadsieve.operators.gate import build_digest, dedupe_headings, gate_split, quality_gate
 from leadsieve.operators.verdicts import resolve_failed
 from leadsieve.plans.campaign import crawl_results, gated_sites as gated_sites_of
-from leadsieve.session import scratch_folder, spread
+from leadsieve.session import scratch_folder
 from leadsieve.sources.pages import ingest_pages, page_keys
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
@@ -104,7 +104,7 @@ WITH {S.parsed_pages()}
 SELECT domain, count(*) AS n_pages, CAST(sum(length(text)) AS BIGINT) AS chars,
   CAST(sum(len(links)) AS BIGINT) AS n_links FROM parsed WHERE domain <> '' GROUP BY domain""")
 def _(spark, sf):
-    return ingest_pages(spread(table(spark, sf, "pages"))).groupBy("domain").agg(
+    return ingest_pages(table(spark, sf, "pages")).groupBy("domain").agg(
         F.count("*").alias("n_pages"), F.sum(F.length("text")).alias("chars"),
         F.sum(F.size("links").cast("bigint")).alias("n_links"))
 

@@ -12,6 +12,7 @@ from leadsieve.operators import decide as J, reports as R, selection as Sel, ver
 from leadsieve.session import scratch_folder
 from leadsieve.sources.leads import read_leads, write_qualified
 from leadsieve.sources.logs import append_log, read_log
+from leadsieve.sources.rubric import with_sha
 
 c = F.col
 RUBRIC = [J.Signal(kind, id_, f"{kind} {id_}", weight) for kind, id_, weight, _, _ in SIGNALS]
@@ -286,10 +287,12 @@ def _(spark, sf):
     return R.stale_decisions(fixture(spark, sf, "decisions"), "aaaa").select("domain", "rubric_sha")
 
 
-@query("rubric_sha", "SELECT p_partkey, left(sha1(p_name || p_type), 12) AS sha FROM part")
+@query("rubric_sha", """
+SELECT p_partkey, left(sha1('{"offering_summary": "' || p_name || '", "tier": ["' || p_type || '"]}'), 12) AS sha FROM part""")
 def _(spark, sf):
-    return table(spark, sf, "part").select(
-        "p_partkey", F.left(F.sha1(F.concat("p_name", "p_type")), F.lit(12)).alias("sha"))
+    # Keys in another order, which the fingerprint does not depend on.
+    document = F.to_json(F.struct(F.array("p_type").alias("tier"), F.col("p_name").alias("offering_summary")))
+    return with_sha(table(spark, sf, "part").select("p_partkey", document.alias("content")), column="sha").drop("content")
 
 
 @query("finalize", f"""

@@ -6,7 +6,6 @@ from checks import sql as S
 from checks.registry import fixture, query, table
 from leadsieve import constants as C
 from leadsieve.functions import domains as D, html as H, text as X
-from leadsieve.session import spread
 from leadsieve.sources.pages import ingest_pages
 
 c = F.col
@@ -48,13 +47,13 @@ def _(spark, sf):
 
 @query("collapse", f"SELECT doc_id, md5({S.collapse('text')}) AS digest, length({S.collapse('text')}) AS n FROM documents")
 def _(spark, sf):
-    flat = spread(table(spark, sf, "documents")).select("doc_id", X.collapse(c("text")).alias("t"))
+    flat = table(spark, sf, "documents").select("doc_id", X.collapse(c("text")).alias("t"))
     return flat.select("doc_id", F.md5("t").alias("digest"), F.length("t").alias("n"))
 
 
 @query("distinct_content_words", f"SELECT doc_id, {S.words('text')} AS n_words FROM documents")
 def _(spark, sf):
-    return spread(table(spark, sf, "documents")).select("doc_id", X.content_words(c("text")).alias("n_words"))
+    return table(spark, sf, "documents").select("doc_id", X.content_words(c("text")).alias("n_words"))
 
 
 _PLANTED = ("text || CASE doc_id % 9 WHEN 1 THEN ' Coming Soon, buy this domain' WHEN 2 THEN ' Parked DOMAIN' "
@@ -63,7 +62,7 @@ _PLANTED = ("text || CASE doc_id % 9 WHEN 1 THEN ' Coming Soon, buy this domain'
 
 @query("first_phrase", f"SELECT doc_id, {S.first_phrase(f'lower({_PLANTED})', C.PARKED_PHRASES)} AS phrase FROM documents")
 def _(spark, sf):
-    lowered = spread(table(spark, sf, "documents")).select("doc_id", F.lower(F.expr(_PLANTED)).alias("t"))
+    lowered = table(spark, sf, "documents").select("doc_id", F.lower(F.expr(_PLANTED)).alias("t"))
     return lowered.select("doc_id", X.first_phrase(c("t"), C.PARKED_PHRASES).alias("phrase"))
 
 
@@ -172,7 +171,7 @@ WITH {S.parsed_pages()}
 SELECT page_id, domain, depth, title, description, array_to_string(headings, ' | ') AS headings,
   length(text) AS n_text, md5(text) AS text_md5, array_to_string(links, ' ') AS links FROM parsed""")
 def _(spark, sf):
-    pages = ingest_pages(spread(table(spark, sf, "pages")))
+    pages = ingest_pages(table(spark, sf, "pages"))
     return pages.select("page_id", "domain", "depth", "title", "description",
                         F.array_join("headings", " | ").alias("headings"), F.length("text").alias("n_text"),
                         F.md5("text").alias("text_md5"), F.array_join("links", " ").alias("links"))
@@ -205,11 +204,11 @@ SELECT doc_id, url, left({S.collapse('title')}, {C.TITLE_CHARS}) AS title, descr
     lambda l: {S.strip(_md_escape(_MD_HEAD))}), lambda h: h <> '' AND length(h) < 200)[1:20], ' | ') AS headings
 FROM markdown""")
 def _(spark, sf):
-    pages = H.page_from_markdown(spread(fixture(spark, sf, "markdown")))
+    pages = H.page_from_markdown(fixture(spark, sf, "markdown"))
     return pages.select("doc_id", "url", "title", "description", F.md5("text").alias("text_md5"),
                         F.length("text").alias("n_text"), F.array_join("headings", " | ").alias("headings"))
 
 
 @query("markdown_to_text", f"SELECT doc_id, {S.collapse(_md_escape(_MD_TEXT))} AS text FROM markdown")
 def _(spark, sf):
-    return spread(fixture(spark, sf, "markdown")).select("doc_id", H.markdown_text(c("markdown")).alias("text"))
+    return fixture(spark, sf, "markdown").select("doc_id", H.markdown_text(c("markdown")).alias("text"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -21,22 +20,26 @@ def _value(name: str) -> Column:
 
 
 def _first_values(leads: DataFrame, n: int) -> DataFrame:
-    """The first n non-blank values of every column.
+    """The first n non-blank values of every column, from one pass over the leads.
 
-    A top-n per column: each task keeps n rows, so nothing is sorted or shuffled whole.
+    The window limit keeps n rows per column and task before the shuffle.
     """
-    firsts = [leads.select("row_idx", F.lit(name).alias("column"), _value(name).alias("value"))
-              .where("value <> ''").orderBy("row_idx").limit(n) for name in _columns(leads)]
-    return reduce(DataFrame.unionAll, firsts)
+    rank = Window.partitionBy("column").orderBy("row_idx")
+    return _cells(leads, _columns(leads)).withColumn("_r", F.row_number().over(rank)) \
+        .where(F.col("_r") <= n).drop("_r")
 
 
-def value_counts(leads: DataFrame, columns: list[str]) -> DataFrame:
-    """How often each non-blank value of the columns occurs, and where it occurs first."""
+def _cells(leads: DataFrame, columns: list[str]) -> DataFrame:
+    """The non-blank values of the columns as rows (row_idx, column, value)."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _value(c).alias("value"))
                                 for c in columns]))
-    return leads.select("row_idx", pairs.alias("_p")).select("row_idx", "_p.*") \
-        .where("value <> ''").groupBy("column", "value").agg(
-            F.count("*").alias("n"), F.min("row_idx").alias("first"))
+    return leads.select("row_idx", pairs.alias("_p")).select("row_idx", "_p.*").where("value <> ''")
+
+
+def value_counts(leads: DataFrame, columns: list[str]) -> DataFrame:
+    """How often each non-blank value of the columns occurs, and where it occurs first."""
+    return _cells(leads, columns).groupBy("column", "value").agg(
+        F.count("*").alias("n"), F.min("row_idx").alias("first"))
 
 
 def profile_columns(leads: DataFrame, samples: int = 3, top: int = 4) -> DataFrame:
@@ -76,14 +79,18 @@ def header_score(name: str) -> int:
     return next((n for rx, n in C.WEBSITE_HEADER_SCORES if re.search(rx, name, re.I)), 0)
 
 
-def score_url_columns(leads: DataFrame) -> DataFrame:
-    """How likely each column holds the website; `best` marks the first maximum."""
+def score_url_columns(leads: DataFrame, sample: int | None = C.HOST_SAMPLE) -> DataFrame:
+    """How likely each column holds the website; `best` marks the first maximum.
+
+    The share of hosts is taken over the first `sample` values of a column, None for all.
+    """
     names = _columns(leads)
     headers = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(i).alias("ord"), F.lit(header_score(c)).alias("hint"))
         for i, c in enumerate(names)]))
     table = leads.sparkSession.range(1).select(headers.alias("h")).select("h.*")
-    sampled = _first_values(leads, C.HOST_SAMPLE).select(
+    values = _first_values(leads, sample) if sample else _cells(leads, names)
+    sampled = values.select(
         "column", normalize_domain(F.col("value")).alias("host"))
     shares = sampled.groupBy("column").agg(
         F.count_if(F.col("host") != "").alias("hosts"), F.count("*").alias("sampled"))

@@ -186,13 +186,15 @@ def decision_report(decisions: DataFrame) -> DataFrame:
 # --- work sheets ------------------------------------------------------------------
 
 def next_batch(sites: DataFrame, done: DataFrame, leads: DataFrame, url_col: str,
-               n: int = C.REVIEW_BATCH) -> DataFrame:
+               n: int = C.REVIEW_BATCH, failed: bool = False) -> DataFrame:
     """The next n passed domains without a verdict, in lead order, with context and digest.
 
-    sites: (domain, first_row, gate_ok, digest, ...). The n chosen rows are checkpointed,
-    so the sites are read once, and only they meet the leads.
+    sites: (domain, first_row, gate_ok, digest, ...). `failed` takes domains that did not
+    pass the gate instead. The n chosen rows are checkpointed, so the sites are read once,
+    and only they meet the leads.
     """
-    batch = checkpointed(sites.where("gate_ok").join(
+    wanted = ~F.coalesce("gate_ok", F.lit(False)) if failed else F.col("gate_ok")
+    batch = checkpointed(sites.where(wanted).join(
         domain_verdicts(done).select("domain"), "domain", "left_anti")
         .orderBy("first_row").limit(n))
     return _with_context(batch, leads, url_col)
@@ -200,7 +202,7 @@ def next_batch(sites: DataFrame, done: DataFrame, leads: DataFrame, url_col: str
 
 def _with_context(batch: DataFrame, leads: DataFrame, url_col: str) -> DataFrame:
     """Add the lead context to a batch of a fixed number of domains."""
-    chosen = F.broadcast(batch.select(F.col("domain").alias("_wanted")))
+    chosen = batch.select(F.col("domain").alias("_wanted"))
     keyed = leads.withColumn("_wanted", normalize_domain(F.col(f"`{url_col}`")))
     mine = keyed.join(chosen, "_wanted", "left_semi").drop("_wanted")
     context = lead_context(mine, url_col).select("domain", "context")
@@ -228,7 +230,6 @@ def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
         "domain", "seq", F.concat_ws(" / ", "fitment", F.col("ranking").cast("string")).alias("verdict"),
         "why", *[texts(k).alias(k.replace("-", "_")) for k in ("disqualifier", "fit", "anti-fit", "momentum")],
         F.array_join("needs_review", "; ").alias("review"))
-    # The sheet holds n rows, so it is the broadcast side.
-    found = sites.join(F.broadcast(sheet.select("domain")), "domain", "left_semi") \
+    found = sites.join(sheet.select("domain"), "domain", "left_semi") \
         .select("domain", "source_tier", "chars", "digest")
     return _with_context(sheet.join(found, "domain", "left"), leads, url_col)

@@ -40,8 +40,7 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_idx",
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", "_first", F.sum("_n").over(Window.partitionBy()).alias("_total"),
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # One row per partition of the sort, so small whatever the table holds.
-    numbered = placed.join(F.broadcast(offsets), "_part")
+    numbered = placed.join(offsets, "_part")
     extra = [F.col("_total").alias(total)] if total else []
     return numbered.select((F.col("_id") - F.col("_first") + F.col("_before")).alias(name),
                            *df.columns, *extra)
@@ -56,11 +55,15 @@ def chunk(df: DataFrame, *order: str, size: int) -> DataFrame:
 
 def cap_share(todo: DataFrame, *order: str, share: float, of: DataFrame | None = None,
               cap: int | None = None) -> DataFrame:
-    """The first rows to do: `cap` if given, else a share of all rows `of`, at least one."""
+    """The first rows to do: `cap` if given, else a share of all rows `of`, at least one.
+
+    Order columns are unique and not null; only they are numbered.
+    """
     if cap:
         return todo.orderBy(*order).limit(cap)
     limit = max(1, int(share * (todo if of is None else of).count()))
-    return with_row_index(todo, *order, name="_pos").where(F.col("_pos") < limit).drop("_pos")
+    first = with_row_index(todo.select(*order), *order, name="_pos").where(F.col("_pos") < limit)
+    return todo.join(first.drop("_pos"), list(order), "left_semi")
 
 
 def top_k(df: DataFrame, col: str, k: int) -> DataFrame:

@@ -92,7 +92,8 @@ def assign_pages(pages: DataFrame, domains: DataFrame) -> DataFrame:
     """
     owners = latest_by(domains.select("domain", "seq", registrable(F.col("domain")).alias("site")),
                        "site")
-    keyed = pages.where(F.col("text") != "").withColumn("site", registrable(host_of(F.col("url"))))
+    keyed = pages.where(F.col("text") != "") \
+        .withColumn("site", registrable(host_of(F.col("url")))).where(F.col("site") != "")
     return keyed.join(owners.select("site", "domain"), "site").drop("site")
 
 

@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from leadsieve.operators.decide import incremental_decide
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.rules import prefilter
-from leadsieve.operators.sites import list_sites
-from leadsieve.operators.verdicts import (all_verdicts, finalize, merge_verdicts, resolve_failed)
+from leadsieve.operators.selection import latest_by
+from leadsieve.operators.sites import domain_rows, list_sites, skip_disqualified
+from leadsieve.operators.verdicts import (all_verdicts, domain_verdicts, finalize, merge_verdicts,
+                                          resolve_failed)
 from leadsieve.sources.pages import ORDER, ingest_first_pages
 from leadsieve.sources.rubric import Rubric
 
+
 def gated_sites(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """Raw pages as gated sites; with `requested` (domain), one for each of its domains and no others.
 
@@ -35,23 +38,69 @@ def crawl_results(pages: DataFrame, tier: str = "plain", requested: DataFrame |
                         "digest")
 
 
+def requested_domains(leads: DataFrame, url_col: str, rubric: Rubric) -> DataFrame:
+    """The domains to crawl for the leads (domain, first_row): those with a row that no rule rejects."""
+    return skip_disqualified(domain_rows(leads, url_col), prefilter(leads, rubric.rules, url_col))
+
+
+def decide_new(results: DataFrame, answers: DataFrame, grades: DataFrame, rubric: Rubric,
+               decisions: DataFrame | None = None, verdicts: DataFrame | None = None,
+               model: str = "", rejudge: bool = False) -> DataFrame:
+    """Records for the decision log: passed domains that `decisions`, the log so far, does not hold.
+
+    Domains with a domain-level verdict are left out, unless `rejudge`. Records of one run share
+    a seq above all stored ones. model and input_tokens come from the grades where these hold them.
+    """
+    passed = latest_by(_numbered(results.where("gate_ok")), "domain")
+    log = passed.select("domain", "seq").limit(0) if decisions is None else decisions
+    done = None if rejudge or verdicts is None else domain_verdicts(verdicts)
+    usage = [c for c in ("model", "input_tokens") if c in grades.columns]
+    decided = incremental_decide(passed, answers, grades.drop(*usage), log, rubric.signals, done)
+    asked = latest_by(_numbered(grades), "domain").select("domain", *usage)
+    run = F.lit(1) if decisions is None else \
+        log.agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).scalar()
+    facts = passed.select("domain", F.col("status").alias("crawl_status"), "source_tier")
+    given = {"model": F.coalesce("model", F.lit(model)) if "model" in usage else F.lit(model),
+             "rubric_sha": F.lit(rubric.sha), "decided_at": F.current_timestamp(),
+             "seq": run.cast("bigint")}
+    return decided.join(facts, "domain").join(asked, "domain").withColumns(given)
+
+
 def judge(results: DataFrame, answers: DataFrame, grades: DataFrame, comments: DataFrame,
-          rubric: Rubric) -> DataFrame:
-    """Model verdicts of passed sites whose answers and comment are complete."""
-    passed = results.where("gate_ok")
-    decided = incremental_decide(passed, answers, grades, passed.select("domain").limit(0),
-                                 rubric.signals)
-    decided = decided.join(passed.select("domain", F.col("status").alias("crawl_status"),
-                                         "source_tier"), "domain").withColumn("seq", F.lit(0))
-    none = decided.limit(0).select("domain", F.lit(None).cast("bigint").alias("row_idx"))
-    return finalize(decided, comments, none)
+          rubric: Rubric, decisions: DataFrame | None = None,
+          verdicts: DataFrame | None = None) -> DataFrame:
+    """Model verdicts of passed sites whose decision and comment are complete.
+
+    `decisions` is the stored log, which then is all that counts; without it, what can be
+    decided is decided here. `verdicts` are stored ones, whose domains are not finalized again.
+    """
+    if decisions is None:
+        decisions = decide_new(results, answers, grades, rubric, verdicts=verdicts)
+    if verdicts is None:
+        verdicts = decisions.limit(0).select("domain", F.lit(None).cast("bigint").alias("row_idx"))
+    return finalize(decisions, comments, verdicts)
 
 
 def qualify(leads: DataFrame, url_col: str, rubric: Rubric, results: DataFrame,
-            model_verdicts: DataFrame) -> DataFrame:
-    """Every lead with its verdict: pre-filter, failed sites and model verdicts merged."""
-    early = prefilter(leads, rubric.rules, url_col)
-    models = model_verdicts.withColumn("row_idx", F.lit(None).cast("bigint"))
-    failed = resolve_failed(results, models)
-    verdicts = all_verdicts(early, failed, models).withColumn("seq", F.lit(0))
-    return merge_verdicts(leads, verdicts, results.withColumn("seq", F.lit(0)), url_col)
+            model_verdicts: DataFrame, manual: DataFrame | None = None) -> DataFrame:
+    """Every lead with its verdict: pre-filter, failed sites, model and manual verdicts merged.
+
+    Where both judges know a domain, the larger `seq` counts; a log without the column has 0,
+    and of equal numbers the manual verdict counts. Pre-filter verdicts belong to rows and come first.
+    """
+    early = _numbered(prefilter(leads, rubric.rules, url_col))
+    models = _numbered(model_verdicts)
+    logs = [models.withColumn("row_idx", F.lit(None).cast("bigint"))]
+    if manual is not None:
+        logs.append(_numbered(manual))
+        if "row_idx" not in manual.columns:
+            logs[-1] = logs[-1].withColumn("row_idx", F.lit(None).cast("bigint"))
+    # Twice the number, and one more for manual verdicts: they win ties.
+    ranked = [log.withColumn("seq", F.col("seq") * 2 + k) for k, log in enumerate(logs)]
+    told = all_verdicts(*ranked)
+    failed = _numbered(resolve_failed(results, told))
+    return merge_verdicts(leads, all_verdicts(early, failed, told), _numbered(results), url_col)
+
+
+def _numbered(log: DataFrame) -> DataFrame:
+    return log if "seq" in log.columns else log.withColumn("seq", F.lit(0).cast("bigint"))

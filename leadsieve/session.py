@@ -27,16 +27,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it has fewer splits than cores.
-
-    Meant for CPU-heavy row work on few files. Large inputs have more splits than
-    cores and pass through unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     _checkpoint_dir(spark)

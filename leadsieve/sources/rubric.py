@@ -7,6 +7,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from leadsieve.operators.decide import Signal
 from leadsieve.operators.rules import Rule
@@ -30,6 +31,26 @@ def rubric_sha(content: dict) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
 
 
+def with_sha(rubrics: DataFrame, content: str = "content", column: str = "rubric_sha") -> DataFrame:
+    """Add the fingerprint of each rubric document (JSON text); text that is no JSON gets null."""
+    import pyarrow as pa
+    schema = StructType([*rubrics.schema.fields, StructField(column, StringType())])
+    place = rubrics.columns.index(content)
+
+    def sha(text: str | None) -> str | None:
+        try:
+            return rubric_sha(json.loads(text))
+        except (TypeError, ValueError):
+            return None
+
+    def run(batches):
+        for batch in batches:
+            made = pa.array([sha(t) for t in batch.column(place).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=schema.names)
+
+    return rubrics.mapInArrow(run, schema)
+
+
 def parse_rubric(content: dict) -> Rubric:
     """A rule needs a column to be checked on leads, a crawl rule an id, a signal both
     an id and a text."""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import sql as S
 from checks.fixtures import PREFIXES, SIGNALS
-from checks.queries_leads import context_sql
+from checks.queries_leads import HIT_COMMENT, RULES, _hit_sql, context_sql
 from checks.registry import fixture, query, table
 from leadsieve import constants as C
 from leadsieve.functions.text import rounded
@@ -12,7 +12,8 @@ from leadsieve.operators import decide as J, reports as R, selection as Sel, ver
 from leadsieve.session import scratch_folder
 from leadsieve.sources.leads import read_leads, write_qualified
 from leadsieve.sources.logs import append_log, read_log
-from leadsieve.sources.rubric import with_sha
+from leadsieve.plans.campaign import qualify
+from leadsieve.sources.rubric import Rubric, with_sha
 
 c = F.col
 RUBRIC = [J.Signal(kind, id_, f"{kind} {id_}", weight) for kind, id_, weight, _, _ in SIGNALS]
@@ -396,6 +397,29 @@ def _(spark, sf):
     return V.qualified(merged(spark, sf))
 
 
+# Rule verdicts of rows, failed sites without a verdict, and the domain verdicts of both judges.
+_GIVEN = f"""{_hit_sql()}, recent AS {S.latest('results', 'domain')},
+  given AS (SELECT row_idx, '' AS domain, 0 AS seq, 'Unfit' AS fitment, '3' AS ranking, {HIT_COMMENT} AS comments,
+    'not_crawled' AS crawl_status, 'prefilter' AS source_tier, 'rule' AS judge, FALSE AS needs_review, FALSE AS disagree
+    FROM hits WHERE hit IS NOT NULL
+  UNION ALL SELECT NULL, domain, 0, 'Unfit', '3', {S.comment_for('gate_reason')}, status,
+    coalesce(nullif(source_tier, ''), 'none'), 'rule', FALSE, FALSE
+    FROM recent WHERE NOT gate_ok AND domain NOT IN (SELECT domain FROM verdicts WHERE row_idx IS NULL)
+  UNION ALL SELECT * FROM verdicts WHERE row_idx IS NULL)"""
+
+
+@query("qualify", f"""
+WITH {_GIVEN}, {_MERGED.replace("FROM verdicts", "FROM given")}
+SELECT row_idx, Company, Website, Country, Employees, Industry, fitment AS "Fitment", ranking AS "Ranking",
+  comments AS "Comments", crawl_status AS "Crawl_Status", judge FROM merged""")
+def _(spark, sf):
+    log = V.domain_verdicts(fixture(spark, sf, "verdicts"))
+    by_model = c("judge") == "model"
+    all_leads = qualify(fixture(spark, sf, "leads"), "Website", Rubric(rules=RULES), fixture(spark, sf, "results"),
+                        log.where(by_model), log.where(~by_model))
+    return V.qualified(all_leads.withColumn("judge", c("_judge")))
+
+
 @query("write_qualified", f"""
 WITH {_MERGED} SELECT row_idx, Company, Website, Employees, fitment AS "Fitment", CAST(ranking AS VARCHAR) AS "Ranking",
   comments AS "Comments", crawl_status AS "Crawl_Status" FROM merged""")

@@ -34,6 +34,10 @@ def _hit_sql():
     return f"hits AS (SELECT *, {why} AS hit FROM leads)"
 
 
+HIT_COMMENT = """left(CASE WHEN hit LIKE 'tiny|%' THEN 'Below minimum headcount ' || repeat('x', 90)
+       ELSE split_part(hit, '|', 2) END, 90)"""
+
+
 @query("with_row_index", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS row_idx,
   count(*) OVER () AS total FROM orders""")
@@ -79,8 +83,7 @@ def _(spark, sf):
 @query("prefilter", f"""
 WITH {_hit_sql()}
 SELECT row_idx, {S.domain('Website')} AS domain, 'Unfit' AS fitment, '3' AS ranking,
-  left(CASE WHEN hit LIKE 'tiny|%' THEN 'Below minimum headcount ' || repeat('x', 90)
-       ELSE split_part(hit, '|', 2) END, 90) AS comments,
+  {HIT_COMMENT} AS comments,
   'pre-filter rule ' || split_part(hit, '|', 1) || ': ' || split_part(hit, '|', 2) AS evidence,
   'not_crawled' AS crawl_status, 'prefilter' AS source_tier, 'rule' AS judge
 FROM hits WHERE hit IS NOT NULL

@@ -98,8 +98,10 @@ def qualify(leads: DataFrame, url_col: str, rubric: Rubric, results: DataFrame,
     # Twice the number, and one more for manual verdicts: they win ties.
     ranked = [log.withColumn("seq", F.col("seq") * 2 + k) for k, log in enumerate(logs)]
     told = all_verdicts(*ranked)
-    failed = _numbered(resolve_failed(results, told))
-    return merge_verdicts(leads, all_verdicts(early, failed, told), _numbered(results), url_col)
+    crawled = latest_by(_numbered(results).select("domain", "gate_ok", "gate_reason", "source_tier",
+                                                  "status", "seq"), "domain")
+    failed = _numbered(resolve_failed(crawled, told))
+    return merge_verdicts(leads, all_verdicts(early, failed, told), crawled, url_col)
 
 
 def _numbered(log: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadsieve import constants as C
 from leadsieve.operators import decide as J, reports as R, sites as Sites, verdicts as V
 from leadsieve.operators.selection import pending
-from leadsieve.plans.campaign import judge, qualify
+from leadsieve.plans.campaign import decide_new, judge, qualify, requested_domains
 from leadsieve.sources.rubric import load_rubric, parse_rubric, rubric_sha, rubric_tables
 
 c = F.col
@@ -257,6 +257,32 @@ def test_round_trip(spark):
     assert report["judge", "model"] == 2 and report["judge", "rule"] == 2 and report["rows", "disagree"] == 1
 
 
+def test_stored_decisions_and_manual_verdicts(spark, tmp_path):
+    results = spark.createDataFrame([(d, True, "ok", "pass", "plain") for d in ("acme.com", "brandly.com")],
+                                    "domain string, gate_ok boolean, status string, gate_reason string, source_tier string")
+    table = {d: ({"fit__port": .9, "mom__hiring": .85}, GOOD, .8, None) for d in ("acme.com", "brandly.com")}
+    args = answers_of(spark, table), grades_of(spark, table)
+    manual = spark.createDataFrame([("acme.com", "Avg", "2", "By hand", "ok", "plain", "", 5)],
+                                   "domain string, fitment string, ranking string, comments string, crawl_status string, "
+                                   "source_tier string, judge string, seq bigint").withColumn("row_idx", F.lit(None).cast("bigint"))
+    first = decide_new(results, *args, PARSED, verdicts=manual, model="m-1")
+    first.write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert [(r.domain, r.seq, r.model, r.rubric_sha) for r in log.collect()] == [("brandly.com", 1, "m-1", PARSED.sha)]
+    assert decide_new(results, *args, PARSED, log, manual).count() == 0
+    again = decide_new(results, *args, PARSED, log, manual, rejudge=True)
+    assert [(r.domain, r.seq) for r in again.collect()] == [("acme.com", 2)]
+    comments = spark.createDataFrame([("brandly.com", "Studio", "", None, 1, None)],
+                                     "domain string, comments string, evidence string, disagree boolean, seq bigint, fitment string")
+    models = judge(results, *args, comments, PARSED, log, manual)
+    leads = spark.createDataFrame([(0, "acme.com", "France"), (1, "brandly.com", "France"), (2, "far.com", "Peru")],
+                                  "row_idx bigint, Website string, Country string")
+    rows = qualify(leads, "Website", PARSED, results, models, manual).orderBy("row_idx").collect()
+    assert [(r.Fitment, r.Comments, r["_judge"]) for r in rows[:2]] == [("Avg", "By hand", "manual"), ("Good", "Studio", "model")]
+    assert rows[2].Comments.startswith("Country = Peru")
+    assert {r.domain for r in requested_domains(leads, "Website", PARSED).collect()} == {"acme.com", "brandly.com"}
+
+
 def test_decisions_are_not_repeated(spark):
     sites = spark.createDataFrame([(n, True) for n in TABLE], "domain string, gate_ok boolean")
     args = answers_of(spark, TABLE), grades_of(spark, TABLE)

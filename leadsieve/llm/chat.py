@@ -136,16 +136,18 @@ def windows(conversations: DataFrame, path: str, budget: int = BUDGET, history_b
     gives no rows.
     """
     import pyarrow as pa
-    rows = _turns(conversations, path, conv_id, turn, role, text)
-    kind = rows.schema["conv_id"]
+    turns = _turns(conversations, path, conv_id, turn, role, text)
+    kind = turns.schema["conv_id"]
+    # Spans are found on narrow rows; texts join once the windows are known.
+    rows = turns.select("conv_id", "row", "part", "tokens", (F.col("role") == "system").alias("is_system"))
     rows = _before(rows, {"number": F.lit(1), "sofar": F.col("tokens")}, {})
-    rows = rows.withColumn("system", (F.col("number") == 0) & (F.col("role") == "system"))
-    # The system turn's tokens and text for each part of its conversation.
+    rows = rows.withColumn("system", (F.col("number") == 0) & F.col("is_system"))
+    # The system turn for each part of its conversation.
     first = rows.filter("system").select(F.col("conv_id").alias("s_conv"), F.col("tokens").alias("s_tokens"),
-                                         F.col("text").alias("s_text"))
+                                         F.col("row").alias("s_row"))
     parts = rows.select("part", "conv_id").distinct()
     known = parts.join(first, parts["conv_id"].eqNullSafe(first["s_conv"])).select(
-        F.col("part").alias("s_part"), "s_conv", "s_tokens", "s_text")
+        F.col("part").alias("s_part"), "s_conv", "s_tokens", "s_row")
     rows = rows.join(known, (rows["part"] == known["s_part"]) & rows["conv_id"].eqNullSafe(known["s_conv"]), "left")
     # Spans by half of what is left: a turn that begins in a half ends within the whole.
     half = F.greatest(F.lit(1), F.floor((F.lit(budget - history_budget) - F.coalesce("s_tokens", F.lit(0))) / 2))
@@ -161,18 +163,26 @@ def windows(conversations: DataFrame, path: str, budget: int = BUDGET, history_b
                              "tail": F.sum("tokens").over(tail)})
     repeats = (~F.col("system")) & (F.col("last") - F.col("number") < history_turns) & (F.col("tail") <= history_budget) \
         & (F.col("last") + 1 < F.col("count_all"))
-    shows = (F.col("first") == F.col("number")) & (F.col("number") > 0) & F.col("s_text").isNotNull()
+    shows = (F.col("first") == F.col("number")) & (F.col("number") > 0) & F.col("s_row").isNotNull()
 
-    def piece(window, repeated, number, role_, text_, tokens):
+    def piece(window, repeated, number, tokens, head):
         return F.struct(window.alias("window"), F.lit(repeated).alias("repeated"), number.alias("number"),
-                        role_.alias("role"), text_.alias("text"), tokens.alias("tokens"))
+                        tokens.alias("tokens"), F.lit(head).alias("head"))
 
-    own = (F.col("number"), F.col("role"), F.col("text"), F.col("tokens"))
+    own = (F.col("number"), F.col("tokens"), False)
     pieces = F.array_compact(F.array(
         piece(F.col("first"), False, *own), F.when(repeats, piece(F.col("last") + 1, True, *own)),
-        F.when(shows, piece(F.col("first"), True, F.lit(0).cast("long"), F.lit("system"), F.col("s_text"), F.col("s_tokens")))))
-    made = (rows.select("conv_id", F.explode(pieces).alias("p")).select("conv_id", "p.*")
-            .groupBy("conv_id", "window").agg(  # turns of one window, which the budget bounds
+        F.when(shows, piece(F.col("first"), True, F.lit(0).cast("long"), F.col("s_tokens"), True))))
+    shown = staged(rows.select("conv_id", "part", "row", F.explode(pieces).alias("p"))
+                   .select("conv_id", "part", "row", "p.*"), "pieces")
+    texts = turns.select(F.col("row").alias("t_row"), "role", "text")
+    # A system turn repeats in each window of its conversation, so its text comes by part and not by row.
+    heads = known.join(texts, F.col("s_row") == F.col("t_row")).select("s_part", "s_conv", "role", "text")
+    whole_pieces = [
+        shown.filter("not head").join(texts, F.col("row") == F.col("t_row")),
+        shown.filter("head").join(heads, (shown["part"] == heads["s_part"]) & shown["conv_id"].eqNullSafe(heads["s_conv"]))]
+    plain, system = [p.select("conv_id", "window", "repeated", "number", "tokens", "role", "text") for p in whole_pieces]
+    made = (plain.unionAll(system).groupBy("conv_id", "window").agg(  # turns of one window, which the budget bounds
                 F.array_sort(F.collect_list(F.struct("number", "repeated", "role", "text"))).alias("turns"),
                 F.sum("tokens").alias("n_tokens")))
     schema = T.StructType([kind, *T.StructType.fromDDL(

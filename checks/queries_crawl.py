@@ -277,3 +277,13 @@ def _(spark, sf):
     crawled = fixture(spark, sf, "results").join(Sites.collect_domains(leads, "Website"), "domain")
     batch = R.next_batch(crawled, fixture(spark, sf, "verdicts"), leads, "Website")
     return batch.select("domain", "first_row", "digest", "context")
+
+
+@query("next_batch_failed", f"""
+WITH {context_sql()} SELECT r.domain, x.first_row, r.gate_reason, x.context FROM results r JOIN contexts x USING (domain)
+WHERE NOT gate_ok AND domain NOT IN (SELECT domain FROM verdicts WHERE row_idx IS NULL) ORDER BY x.first_row LIMIT 25""")
+def _(spark, sf):
+    leads = fixture(spark, sf, "leads")
+    crawled = fixture(spark, sf, "results").join(Sites.collect_domains(leads, "Website"), "domain")
+    batch = R.next_batch(crawled, fixture(spark, sf, "verdicts"), leads, "Website", failed=True)
+    return batch.select("domain", "first_row", "gate_reason", "context")

@@ -2,13 +2,16 @@
 
 A table rotates vectors by three rounds of random signs and fast Hadamard transforms and hashes each to the signed axis
 nearest to it; `hashes` of these make a bucket. For largest inner products vectors are first put on a sphere by one more
-component, so that the nearest axis depends on direction and length alike. A query looks into the buckets of its nearest
-axes in every table. Where they meet, inner products are exact. Buckets are cut into blocks of bounded size on both
+component, so that the nearest axis depends on direction and length alike; each range of lengths has a sphere of its own,
+so that a few long vectors don't push all others to the extra axis. A query looks into the buckets of its nearest
+axes in every table, and at every vector of a range that holds only a few. Where they meet, inner products are exact.
+Queries that find fewer than the limit that way meet all vectors. Buckets are cut into blocks of bounded size on both
 sides, whose pairs are independent units of work; nothing is capped.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
@@ -22,6 +25,9 @@ TABLES = 10
 PROBES = 20
 #: Axes that make a bucket; a bucket holds about rows / (2 * dimension) ** hashes vectors.
 HASHES = 1
+#: Lengths of one range differ by this factor at most; ranges of so few vectors aren't hashed.
+RANGE = 1.1
+SCANNED = 1024
 VECTORS_IN_BLOCK = 4096
 QUERIES_IN_BLOCK = 1024
 SEED = 20240301
@@ -39,6 +45,12 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Length of each row (rows x 1); squares of very large or small components stay within a double."""
+    most = np.abs(vectors).max(axis=1, keepdims=True)
+    return most * np.linalg.norm(vectors / most, axis=1, keepdims=True)
+
+
 class Tables:
     """The rotations of all tables for vectors of one dimension; largest: the length of the longest vector."""
 
@@ -51,10 +63,11 @@ class Tables:
 
     def on_sphere(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         out = np.zeros((len(vectors), self.size))
-        if query:
-            out[:, :self.dimension] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        else:
-            out[:, :self.dimension] = vectors / self.largest
+        own = lengths(vectors)
+        out[:, :self.dimension] = vectors / own
+        if not query:  # on the sphere of its range, whose radius is the longest a vector of the range can be
+            steps = np.maximum(0, (np.log(self.largest) - np.log(own)) / np.log(RANGE))
+            out[:, :self.dimension] *= RANGE ** (np.floor(steps) - steps)
             out[:, self.dimension] = np.sqrt(np.maximum(0, 1 - (out ** 2).sum(axis=1)))
         return out
 
@@ -121,6 +134,20 @@ def _hashed(rows: DataFrame, tables: Tables, probes: int) -> DataFrame:
     return rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector binary, table int, bucket long")
 
 
+def _whole(rows: DataFrame) -> DataFrame:
+    """As _hashed, with all rows in one bucket of a table of its own."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in flat], pa.binary())],
+                                             names=["vec_id", "vector"])
+
+    return rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector binary").select(
+        "vec_id", "vector", F.lit(-1).alias("table"), F.lit(0).cast("long").alias("bucket"))
+
+
 def _in_blocks(own: DataFrame, sizes: DataFrame, mine: str, other: str) -> DataFrame:
     """A row's block by its id, next to every block of the other side."""
     return (own.join(sizes, ["table", "bucket"])
@@ -139,14 +166,21 @@ def _nearest(limit: int):
         products[names[:, None] == ids[None, :]] = -np.inf
         # The order of summation moves the last digits: a few more than the limit are scored anew, and where the last of
         # them still ties with the limit, all of that row.
-        few = min(limit + SPARE, len(ids))
+        few, repeated = min(limit + SPARE, len(ids)), len(np.unique(ids)) < len(ids)
         near = np.argpartition(-products, few - 1, axis=1)[:, :few]
         rough = -np.sort(-np.take_along_axis(products, near, axis=1), axis=1)
         scores = np.where(np.take_along_axis(products, near, axis=1) == -np.inf, -np.inf,
                           (v[near] * q[:, None, :]).sum(axis=2))
         for k in range(len(q)):
             at, score = near[k], scores[k]
-            if few > limit and rough[k, -1] > -np.inf and rough[k, limit - 1] - rough[k, -1] < 1e-9 * (1 + abs(rough[k, -1])):
+            if repeated:  # a row per id, its best
+                at = np.flatnonzero(products[k] > -np.inf)
+                score = (v[at] * q[k]).sum(axis=1)
+                order = np.lexsort((ids[at], -score))
+                at, score = at[order], score[order]
+                firsts = np.sort(np.unique(ids[at], return_index=True)[1])
+                at, score = at[firsts], score[firsts]
+            elif few > limit and rough[k, -1] > -np.inf and rough[k, limit - 1] - rough[k, -1] < 1e-9 * (1 + abs(rough[k, -1])):
                 at = np.flatnonzero(products[k] > -np.inf)
                 score = (v[at] * q[k]).sum(axis=1)
             best = np.lexsort((ids[at], -score))[:limit]
@@ -157,9 +191,22 @@ def _nearest(limit: int):
     return run
 
 
+def _met(stored: DataFrame, probed: DataFrame, limit: int, vectors_in_block: int, queries_in_block: int) -> DataFrame:
+    """query_id, vec_id, score: at least the nearest `limit` of each query among the rows of its buckets."""
+    count = lambda own, block: F.ceil(F.count(F.lit(1)) / block).cast("int").alias(own)
+    sizes = stored.groupBy("table", "bucket").agg(count("vblocks", vectors_in_block)).join(
+        probed.groupBy("table", "bucket").agg(count("qblocks", queries_in_block)), ["table", "bucket"])
+    sizes = staged(sizes, "sizes")
+    key = ["table", "bucket", "vblock", "qblock"]
+    left, right = _in_blocks(stored, sizes, "vblock", "qblock"), _in_blocks(probed, sizes, "qblock", "vblock")
+    near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        _nearest(limit), "query_id long, vec_id long, score double")
+    return near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+
 def search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
            tables: int = TABLES, probes: int = PROBES, hashes: int = HASHES, vectors_in_block: int = VECTORS_IN_BLOCK,
-           queries_in_block: int = QUERIES_IN_BLOCK) -> DataFrame:
+           queries_in_block: int = QUERIES_IN_BLOCK, scanned: int = SCANNED) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the nearest rows of vectors found for each row of queries.
 
     Nearest means the largest inner product, in double precision; ties go to the smaller vec_id. Rows with the query's own
@@ -168,25 +215,37 @@ def search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vec_id: str
     two rows, of which a query reports the nearer. Other columns are ignored. Empty tables give no rows.
     """
     rows = staged(usable(vectors, vec_id, vector), "vectors")
-    shape = (rows.groupBy(F.size("vector").alias("d"))
-             .agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("most"))
+    most = F.array_max(F.transform("vector", F.abs))
+    rows = rows.withColumn("most", most).withColumn(
+        "length", F.col("most") * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + F.pow(x / F.col("most"), 2))))
+    shape = (rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("most"))
              .orderBy(F.desc("n"), "d").first())
     spark = vectors.sparkSession
     if shape is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    made = Tables(shape["d"], float(np.sqrt(shape["most"])) * (1 + 1e-12), tables, hashes)
-    rows = rows.filter(F.size("vector") == shape["d"])
-    asked = usable(queries, vec_id, vector).filter(F.size("vector") == shape["d"])
-    stored = staged(_hashed(rows, made, 0), "buckets")
-    probed = staged(_hashed(asked, made, probes), "probes")
-    count = lambda own, block: F.ceil(F.count(F.lit(1)) / block).cast("int").alias(own)
-    sizes = stored.groupBy("table", "bucket").agg(count("vblocks", vectors_in_block)).join(
-        probed.groupBy("table", "bucket").agg(count("qblocks", queries_in_block)), ["table", "bucket"])
-    sizes = staged(sizes, "sizes")
-    key = ["table", "bucket", "vblock", "qblock"]
-    left, right = _in_blocks(stored, sizes, "vblock", "qblock"), _in_blocks(probed, sizes, "qblock", "vblock")
-    near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-        _nearest(limit), "query_id long, vec_id long, score double")
-    near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    made = Tables(shape["d"], shape["most"] * (1 + 1e-12), tables, hashes)
+    steps = (F.log(F.lit(made.largest)) - F.log("length")) / float(np.log(RANGE))
+    rows = rows.filter(F.size("vector") == shape["d"]).withColumn("range", F.greatest(F.lit(0), F.floor(steps).cast("int")))
+    asked = staged(usable(queries, vec_id, vector).filter(F.size("vector") == shape["d"]), "queries")
+    ranges = rows.groupBy("range").count().collect()  # a range per step of the lengths' logarithm
+    short = [r["range"] for r in ranges if r["count"] <= scanned]
+    hashed = len(short) < len(ranges)
+    stored, probed = [], []
+    if hashed:
+        stored.append(_hashed(rows.filter(~F.col("range").isin(short)), made, 0))
+        probed.append(_hashed(asked, made, probes))
+    if short:
+        stored.append(_whole(rows.filter(F.col("range").isin(short))))
+        probed.append(_whole(asked))
+    stored = staged(functools.reduce(DataFrame.unionByName, stored), "buckets")
+    probed = staged(functools.reduce(DataFrame.unionByName, probed), "probes")
+    near = _met(stored, probed, limit, vectors_in_block, queries_in_block)
+    if hashed:
+        near = staged(near, "near")
+        full = near.groupBy("query_id").count().filter(F.col("count") >= limit).select(F.col("query_id").alias("vec_id"))
+        left = staged(asked.join(full, "vec_id", "left_anti"), "unfinished")
+        if not left.isEmpty():
+            rest = _met(staged(_whole(rows), "all"), staged(_whole(left), "rest"), limit, vectors_in_block, queries_in_block)
+            near = near.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(rest)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= limit).select("query_id", "rank", "vec_id", "score")

@@ -42,6 +42,39 @@ def test_recall_of_the_default_setting(spark):
     assert hits / total >= 0.9
 
 
+def recall_of(spark, made, **how):
+    table = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(made)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in ann.search(table, table.filter("vec_id % 20 = 0"), **how).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = total = 0
+    for q in range(0, len(made), 20):
+        score = made @ made[q]
+        score[q] = -np.inf
+        near = np.argsort(-score)[:min(20, len(made) - 1)]
+        hits, total = hits + len(got[q] & set(near.tolist())), total + len(near)
+        assert len(got[q]) == len(near)
+    return hits / total
+
+
+@pytest.mark.parametrize("lengths, least", [("one long", 0.9), ("spread", 0.9)])
+def test_recall_with_uneven_lengths(spark, lengths, least):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").limit(1200).collect()
+    made, draw = np.array([r.embedding for r in rows], dtype=np.float64), np.random.default_rng(3)
+    if lengths == "one long":
+        made[7] *= 10
+    else:
+        made *= np.exp(draw.normal(size=(len(made), 1)))
+    assert recall_of(spark, made, scanned=40) >= least
+
+
+def test_small_tables_and_queries_with_few_hits_are_whole(spark):
+    made = np.random.default_rng(2).normal(size=(15, 64))
+    assert recall_of(spark, made) == 1 and recall_of(spark, made, scanned=0) == 1
+    made = np.random.default_rng(2).normal(size=(60, 64))
+    assert recall_of(spark, made, scanned=0, tables=1, probes=1) == 1
+
+
 def test_fast_transform_is_the_matrix():
     matrix = np.array([[1.0]])
     for _ in range(4):

@@ -1,14 +1,16 @@
 """Mixing to target weights with soft membership.
 
 A classifier learnt from a bounded sample of the labelled table gives each document its posterior over domains. Rates r,
-the expected number of times a document is used, are fitted by projected-gradient least squares: expected token totals
-sum(r * tokens * posterior) shall be the targets, and rates stay near 1 (a small ridge, weighted by tokens). A step needs
-only the totals by domain, so Spark sums them, and each document's rate follows from its own posterior and the few numbers
-of the steps so far. Documents with one posterior share a rate, so the sums run over one row per posterior.
+the expected number of times a document is used, are fitted by bounded least squares: expected token totals
+sum(r * tokens * posterior) shall be the targets, and rates stay near 1 (a ridge far below the smallest domain, weighted by
+tokens). The best rates are 1 less a pull by domain times the posterior, held within the bounds; the pulls are found by
+Newton steps along gradients projected on the rates that are free. A step needs only sums by domain, which Spark makes.
+Documents with one posterior share a rate, so the sums run over one row per posterior.
 """
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,16 +23,22 @@ from pyspark.sql import functions as F
 from leadsieve.llm.common import fingerprint, staged, whole
 from leadsieve.llm.pieces import Kept
 
+log = logging.getLogger(__name__)
+
 #: Labelled documents to learn from at most, the smallest by a hash of their id.
 EXAMPLES = 8_000
 BINS = 1024
 #: Posteriors are multiples of 1 / GRID.
 GRID = 1000
-RIDGE = 0.01
+#: Weight of the ridge, as a part of the smallest domain's or target's share.
+RIDGE = 1e-3
 STEPS = 40
-CLOSE = 1e-5
-#: Steps after which the state of the fit is written, so that plans stay small.
-WRITE_EVERY = 8
+#: The fit ends once no domain's step is wider than this part of the smallest share.
+CLOSE = 1e-6
+#: Parts of a Newton step that are tried at once.
+TRIED = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+#: A target missed by more than this part of it is told in the log.
+MISSED = 0.01
 
 _KINDS = np.full(256, 8, dtype=np.int64)
 for _k, _set in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n", ".,", "!?", "|")):
@@ -145,68 +153,87 @@ def with_posterior(docs: DataFrame, model: Classifier, text: str = "text", colum
 
 @dataclass
 class Rates:
-    """The steps of the fit, from which a posterior's rate follows."""
+    """The pull of each domain, from which a posterior's rate follows; tokens wanted and reached by domain."""
 
-    size: int
-    steps: list[tuple[list[float], float]]
-    rate: float
+    pulls: list[float]
     least: float
-    most: float
-    ridge: float
-
-    def next(self, posterior, g, b, r, y):
-        """Columns of rate and look-ahead point after a step with gradient g and momentum b."""
-        pull = sum((posterior[k] * g[k] for k in range(self.size)), F.lit(0.0))
-        moved = y - F.lit(self.rate) * (pull + F.lit(self.ridge) * (y - F.lit(1.0)))
-        held = F.greatest(F.lit(self.least), F.least(F.lit(self.most), moved))
-        return held, held + b * (held - r)
+    most: float | None
+    wanted: dict[str, float]
+    reached: dict[str, float]
 
     def of(self, posterior):
-        """Column of the rate of a posterior (an array column): all steps of the fit on it."""
-        if not self.steps:
-            return F.lit(1.0)
+        """Column of the rate of a posterior (an array column)."""
+        rate = sum((posterior[k] * -pull for k, pull in enumerate(self.pulls)), F.lit(1.0))
+        rate = F.greatest(F.lit(float(self.least)), rate)
+        return rate if self.most is None else F.least(F.lit(float(self.most)), rate)
 
-        def step(state, g):
-            r, y = self.next(posterior, g["g"], g["b"], state["r"], state["y"])
-            return F.struct(r.alias("r"), y.alias("y"))
 
-        past = F.array(*[F.struct(F.array(*map(F.lit, g)).alias("g"), F.lit(b).alias("b")) for g, b in self.steps])
-        return F.aggregate(past, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), step)["r"]
+def _tried(cells: DataFrame, tries: list[np.ndarray], wanted: float, least: float, most: float | None) -> list[tuple]:
+    """For pulls: the part of the fit's height that documents make, their token shares by domain, and the free part of them."""
+    import pyarrow as pa
+    size = len(tries[0])
+    width = 1 + size + size * size
+
+    def run(batches):
+        out = np.zeros((len(tries), width))
+        for batch in batches:
+            posterior = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            weight = batch.column(1).to_numpy(zero_copy_only=False) / wanted
+            for k, pulls in enumerate(tries):
+                pull = posterior @ pulls
+                held = np.clip(1 - pull, least, most)
+                out[k, 0] -= (weight * ((held - 1) ** 2 / 2 + pull * held)).sum()
+                out[k, 1:1 + size] += (weight * held) @ posterior
+                free = weight * (held == 1 - pull)
+                out[k, 1 + size:] += ((posterior * free[:, None]).T @ posterior).reshape(-1)
+        yield pa.RecordBatch.from_pydict({"at": np.arange(out.size), "value": out.reshape(-1)})
+
+    out = np.zeros(len(tries) * width)
+    for r in cells.select("posterior", F.col("tokens").cast("double")).mapInArrow(run, "at long, value double").groupBy("at").agg(
+            F.sum("value").alias("value")).collect():
+        out[r["at"]] = r["value"]
+    return [(o[0], o[1:1 + size], o[1 + size:].reshape(size, size)) for o in out.reshape(len(tries), width)]
 
 
 def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None,
-          least: float = 0.0, most: float = 8.0, ridge: float = RIDGE, steps: int = STEPS) -> Rates:
+          least: float = 0.0, most: float | None = None, ridge: float = RIDGE, steps: int = STEPS) -> Rates:
     """Rates for cells (posterior, tokens): posteriors and the tokens of all documents that have them.
 
     targets: weight by domain; domains without one get 0, and weights are scaled to sum to 1. total: tokens wanted, those
-    there by default. least and most bound the rates. Only sums by domain come to the driver.
+    there by default. least and most bound the rates. Targets that can't be reached within them are missed by as little
+    as least squares can; the result has the tokens wanted and reached, and the log tells of targets missed.
+    Only sums by domain come to the driver.
     """
     size = len(domains)
-    have = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    sums = cells.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * F.col("posterior")[k]).alias(f"s{k}")
+                                                   for k in range(size)]).first()
+    have = sums["n"] or 0
     weights = np.array([float(targets.get(d, 0.0)) for d in domains])
-    rates = Rates(size, [], 0.0, least, most, ridge)
     if not have or not weights.sum():
-        return rates
+        return Rates([], 1.0, None, {}, {})
+    there, goal = np.array([sums[f"s{k}"] for k in range(size)]), weights / weights.sum()
     wanted = float(total or have)
-    goal = weights / weights.sum()
-    rates.rate = 1 / ((have / wanted) ** 2 + ridge)
-    momentum, last = 1.0, None
-    state = cells.select("posterior", "tokens", F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    for count in range(1, steps + 1):
-        used = F.col("tokens") * F.col("y")
-        sums = state.agg(*[F.sum(used * F.col("posterior")[k]).alias(f"s{k}") for k in range(size)]).first()
-        off = np.array([sums[k] for k in range(size)]) / wanted - goal
-        after = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
-        pull, ahead = (off * have / wanted).tolist(), float((momentum - 1) / after)
-        rates.steps.append((pull, ahead))
-        momentum = after
-        if last is not None and np.abs(off - last).max() < CLOSE:
+    small = min((there[there > 0] / wanted).min(), goal[goal > 0].min())
+    ridge = ridge * small
+    lift = lambda pulls, made: made[0] + pulls @ goal + ridge / 2 * pulls @ pulls
+    pulls = np.zeros(size)
+    made = _tried(cells, [pulls], wanted, least, most)[0]
+    for _ in range(steps):
+        slope = goal - made[1] + ridge * pulls
+        if np.abs(slope).max() <= CLOSE * small:
+            break
+        way = -np.linalg.solve(made[2] + ridge * np.eye(size), slope)
+        tries = [pulls + part * way for part in TRIED]
+        found = _tried(cells, tries, wanted, least, most)
+        best = min(range(len(tries)), key=lambda k: lift(tries[k], found[k]))
+        if not lift(tries[best], found[best]) < lift(pulls, made):
             break
-        last = off
-        r, y = rates.next(F.col("posterior"), [F.lit(g) for g in pull], F.lit(ahead), F.col("r"), F.col("y"))
-        state = state.select("posterior", "tokens", r.alias("r"), y.alias("y"))
-        if count % WRITE_EVERY == 0:
-            state = staged(state, "rates")
+        pulls, made = tries[best], found[best]
+    rates = Rates(pulls.tolist(), least, most, dict(zip(domains, (goal * wanted).tolist(), strict=True)),
+                  dict(zip(domains, (made[1] * wanted).tolist(), strict=True)))
+    for d in domains:
+        if abs(rates.reached[d] - rates.wanted[d]) > MISSED * (rates.wanted[d] or small * wanted):
+            log.warning("domain %s: %.0f tokens wanted, %.0f reached", d, rates.wanted[d], rates.reached[d])
     return rates
 
 

@@ -59,6 +59,22 @@ def test_rates_meet_targets(spark):
     assert totals == pytest.approx([0.6, 0.4], abs=0.02) and all(r.rate >= 0 for r in rows)
 
 
+@pytest.mark.parametrize("cells", [
+    [([1.0, 0.0, 0.0, 0.0], 86000), ([0.0, 1.0, 0.0, 0.0], 12800), ([0.0, 0.0, 1.0, 0.0], 1000), ([0.0, 0.0, 0.0, 1.0], 200)],
+    [([0.98, 0.02, 0.0, 0.0], 86000), ([0.1, 0.9, 0.0, 0.0], 12800), ([0.05, 0.0, 0.95, 0.0], 1000), ([0.0, 0.0, 0.0, 1.0], 200)]])
+def test_rates_meet_the_targets_of_rare_domains(spark, cells):
+    table = spark.createDataFrame(cells, "posterior array<double>, tokens long")
+    targets = {"a": 0.9, "b": 0.08, "c": 0.02}
+    rates = mixing.solve(table, ["a", "b", "c", "d"], targets)
+    rows = table.withColumn("rate", rates.of(table["posterior"])).collect()
+    totals = [sum(r.rate * r.tokens * r.posterior[k] for r in rows) / 100000 for k in range(4)]
+    assert totals[:3] == pytest.approx([0.9, 0.08, 0.02], rel=0.01) and totals[3] < 1e-4 and all(r.rate >= 0 for r in rows)
+    assert [rates.reached[d] / 100000 for d in "abcd"] == pytest.approx(totals, abs=1e-9)
+    few = spark.createDataFrame([([1.0, 0.0], 99900), ([0.0, 1.0], 100)], "posterior array<double>, tokens long")
+    rates = mixing.solve(few, ["a", "b"], {"a": 0.97, "b": 0.03})  # a rate of 30
+    assert rates.reached["b"] == pytest.approx(rates.wanted["b"], rel=0.01)
+
+
 def test_mixing_keeps_every_row_with_rates_of_one_or_more(spark):
     rows, labels = labelled(spark)
     docs = documents(spark, rows + ROWS)

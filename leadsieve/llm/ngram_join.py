@@ -239,6 +239,12 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     same, empty set. Null ids come last; repeated rows stay rows. Columns besides the two are ignored. An empty table
     gives no rows.
     """
+    return _classed(docs, doc_id, text, words, similarity, recall, block_sets, block_grams).drop("label")
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str, words: int = WORDS, similarity: float = SIMILARITY,
+             recall: float = RECALL, block_sets: int = BLOCK_SETS, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """As link, and label: the class itself, which an id that several classes share doesn't tell."""
     bands, rows = bands_for(similarity, recall)
     signed = staged(_signed(docs, doc_id, text, words, bands, rows), "signatures")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print"))
@@ -264,9 +270,9 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     heads = known.filter("label is not null").groupBy("label").agg(F.min("copy_id").alias("head"))
     known = known.join(heads, "label", "left").select(
         "set_id", "copy_id", F.col("copies").alias("n_copies"), F.coalesce("head", "copy_id").alias("class_id"),
-        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "set_id").alias("label"))
     return signed.select("doc_id", "print", "set_id").join(known, "set_id").select(
-        "doc_id", "class_id", "n_links", "copy_id", "n_copies", "print")
+        "doc_id", "class_id", "n_links", "copy_id", "n_copies", "print", "label")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -274,8 +280,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     Of several texts with that id in one class, the one with the smallest fingerprint stays, once.
     """
-    found = staged(link(docs, doc_id, text, **how), "classes")
-    same = found.groupBy("class_id", "doc_id", "print").agg(F.count(F.lit(1)).alias("same"))
-    heads = same.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id", "doc_id").agg(
-        F.min(F.struct("print", "same")).alias("best"))
-    return keep_rows(docs, heads.select("doc_id", "best.print", "best.same"), doc_id, text)
+    found = staged(_classed(docs, doc_id, text, **how), "classes")
+    same = found.groupBy("label", "doc_id", "print").agg(F.count(F.lit(1)).alias("same"))
+    heads = same.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "same")).alias("best"))
+    return keep_rows(docs, heads.select("best.doc_id", "best.print", "best.same"), doc_id, text)

@@ -70,6 +70,14 @@ def test_one_row_of_each_class_stays(spark):
     assert ngram_join.link(empty(spark)).count() == 0
 
 
+def test_unlike_texts_under_one_id_or_without_id_stay(spark):
+    texts = [" ".join(f"{name}{j}" for j in range(40)) for name in ("red", "blue", "green", "brown", "black")]
+    rows = [(None, texts[0], None), (None, texts[1], None), (None, texts[1], None), (None, texts[2], None), (7, texts[3], None),
+            (7, texts[4], None), (8, texts[4] + " end", None)]
+    left = ngram_join.drop_near_copies(documents(spark, rows))
+    assert Counter(r.text for r in left.collect()) == Counter(texts)
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_for(0.8, 0.999)
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8 ** rows) ** bands >= 0.999

@@ -10,8 +10,10 @@ from leadsieve.llm.common import staged
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-#: Shares of tokens by domain. Rates are 1 at least, so that no clean document is lost: domains that fall short repeat.
+#: Shares of tokens by domain. Rates are 1 at least, so that no clean document is lost: domains that fall short repeat,
+#: as often as the shares need.
 TARGETS = {"quality=1,toxic=0": 0.95, "quality=0,toxic=0": 0.05}
+RATES = {"least": 1.0, "most": 4.0, "reach": True}
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of domains below their target share repeat."""
-    return mixing.mixed_rows(docs, mixing.fit(docs, _labels(spark, sf_dir)), TARGETS, least=1.0, most=4.0)
+    return mixing.mixed_rows(docs, mixing.fit(docs, _labels(spark, sf_dir)), TARGETS, **RATES)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

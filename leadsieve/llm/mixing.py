@@ -39,6 +39,8 @@ CLOSE = 1e-6
 TRIED = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
 #: A target missed by more than this part of it is told in the log.
 MISSED = 0.01
+#: Room above the rate a domain needs when no document is shared between domains.
+REACH = 1.5
 
 _KINDS = np.full(256, 8, dtype=np.int64)
 for _k, _set in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n", ".,", "!?", "|")):
@@ -196,11 +198,13 @@ def _tried(cells: DataFrame, tries: list[np.ndarray], wanted: float, least: floa
 
 
 def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None,
-          least: float = 0.0, most: float | None = None, ridge: float = RIDGE, steps: int = STEPS) -> Rates:
+          least: float = 0.0, most: float | None = None, ridge: float = RIDGE, steps: int = STEPS,
+          reach: bool = False) -> Rates:
     """Rates for cells (posterior, tokens): posteriors and the tokens of all documents that have them.
 
     targets: weight by domain; domains without one get 0, and weights are scaled to sum to 1. total: tokens wanted, those
-    there by default. least and most bound the rates. Targets that can't be reached within them are missed by as little
+    there by default. least and most bound the rates. reach: total and most are raised as far as rates of at least `least`
+    need for domains with a target to have their shares; what documents hold of domains without one isn't counted. Targets that can't be reached within them are missed by as little
     as least squares can; the result has the tokens wanted and reached, and the log tells of targets missed.
     Only sums by domain come to the driver.
     """
@@ -213,6 +217,10 @@ def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total
         return Rates([], 1.0, None, {}, {})
     there, goal = np.array([sums[f"s{k}"] for k in range(size)]), weights / weights.sum()
     wanted = float(total or have)
+    if reach:
+        aimed = (goal > 0) & (there > 0)
+        wanted = max([wanted, *(least * there[aimed] / goal[aimed])])
+        most = most if most is None else max([most, *(REACH * wanted * goal[aimed] / there[aimed])])
     small = min((there[there > 0] / wanted).min(), goal[goal > 0].min())
     ridge = ridge * small
     lift = lambda pulls, made: made[0] + pulls @ goal + ridge / 2 * pulls @ pulls

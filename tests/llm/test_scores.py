@@ -1,5 +1,6 @@
 import math
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from cases import ROWS, documents, empty
@@ -75,6 +76,17 @@ def test_rates_meet_the_targets_of_rare_domains(spark, cells):
     assert rates.reached["b"] == pytest.approx(rates.wanted["b"], rel=0.01)
 
 
+@pytest.mark.parametrize("good, poor", [(0.872, 0.128), (0.5, 0.5), (0.97, 0.03)])
+def test_the_pipeline_reaches_its_shares_without_loss(spark, good, poor):
+    names = ["quality=0,toxic=0", "quality=1,toxic=0"]
+    cells = spark.createDataFrame([([0.0, 1.0], int(good * 100000)), ([1.0, 0.0], int(poor * 50000)), ([0.9, 0.1], int(poor * 50000))],
+                                  "posterior array<double>, tokens long")
+    rates = mixing.solve(cells, names, corpus_pipeline.TARGETS, **corpus_pipeline.RATES)
+    rows = cells.withColumn("rate", rates.of(cells["posterior"])).collect()
+    totals = np.array([sum(r.rate * r.tokens * r.posterior[k] for r in rows) for k in (0, 1)])
+    assert totals / totals.sum() == pytest.approx([0.05, 0.95], rel=0.02) and all(r.rate >= 1 for r in rows)
+
+
 def test_mixing_keeps_every_row_with_rates_of_one_or_more(spark):
     rows, labels = labelled(spark)
     docs = documents(spark, rows + ROWS)

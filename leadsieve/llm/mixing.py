@@ -30,8 +30,10 @@ EXAMPLES = 8_000
 BINS = 1024
 #: Posteriors are multiples of 1 / GRID.
 GRID = 1000
-#: Weight of the ridge, as a part of the smallest domain's or target's share.
+#: Weight of the ridge, as a part of the smallest domain's or target's share; it falls tenfold, down to the second, as long as
+#: targets are missed.
 RIDGE = 1e-3
+LEAST_RIDGE = 1e-7
 STEPS = 40
 #: The fit ends once no domain's step is wider than this part of the smallest share.
 CLOSE = 1e-6
@@ -222,20 +224,27 @@ def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total
         wanted = max([wanted, *(least * there[aimed] / goal[aimed])])
         most = most if most is None else max([most, *(REACH * wanted * goal[aimed] / there[aimed])])
     small = min((there[there > 0] / wanted).min(), goal[goal > 0].min())
-    ridge = ridge * small
+    ridge, last = ridge * small, LEAST_RIDGE * small
+    near = MISSED * np.where(goal > 0, goal, small)
     lift = lambda pulls, made: made[0] + pulls @ goal + ridge / 2 * pulls @ pulls
     pulls = np.zeros(size)
     made = _tried(cells, [pulls], wanted, least, most)[0]
     for _ in range(steps):
         slope = goal - made[1] + ridge * pulls
         if np.abs(slope).max() <= CLOSE * small:
-            break
+            if ridge <= last or (np.abs(made[1] - goal) <= near).all():
+                break
+            ridge /= 10
+            slope = goal - made[1] + ridge * pulls
         way = -np.linalg.solve(made[2] + ridge * np.eye(size), slope)
         tries = [pulls + part * way for part in TRIED]
         found = _tried(cells, tries, wanted, least, most)
         best = min(range(len(tries)), key=lambda k: lift(tries[k], found[k]))
         if not lift(tries[best], found[best]) < lift(pulls, made):
-            break
+            if ridge <= last:
+                break
+            ridge /= 10
+            continue
         pulls, made = tries[best], found[best]
     rates = Rates(pulls.tolist(), least, most, dict(zip(domains, (goal * wanted).tolist(), strict=True)),
                   dict(zip(domains, (made[1] * wanted).tolist(), strict=True)))

@@ -87,6 +87,12 @@ def test_the_pipeline_reaches_its_shares_without_loss(spark, good, poor):
     assert totals / totals.sum() == pytest.approx([0.05, 0.95], rel=0.02) and all(r.rate >= 1 for r in rows)
 
 
+def test_the_ridge_falls_until_leaking_domains_meet_their_target(spark):
+    table = spark.createDataFrame([([0.95, 0.05], 80000), ([0.99, 0.01], 2000), ([0.5, 0.5], 18000)], "posterior array<double>, tokens long")
+    rates = mixing.solve(table, ["a", "b"], {"a": 0.98, "b": 0.02})
+    assert [rates.reached[d] for d in "ab"] == pytest.approx([rates.wanted[d] for d in "ab"], rel=0.02)
+
+
 def test_mixing_keeps_every_row_with_rates_of_one_or_more(spark):
     rows, labels = labelled(spark)
     docs = documents(spark, rows + ROWS)

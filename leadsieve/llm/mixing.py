@@ -225,7 +225,7 @@ def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total
         most = most if most is None else max([most, *(REACH * wanted * goal[aimed] / there[aimed])])
     small = min((there[there > 0] / wanted).min(), goal[goal > 0].min())
     ridge, last = ridge * small, LEAST_RIDGE * small
-    near = MISSED * np.where(goal > 0, goal, small)
+    near = np.where(goal > 0, MISSED * goal, np.inf)  # a domain without a target would take all else from few documents
     lift = lambda pulls, made: made[0] + pulls @ goal + ridge / 2 * pulls @ pulls
     pulls = np.zeros(size)
     made = _tried(cells, [pulls], wanted, least, most)[0]

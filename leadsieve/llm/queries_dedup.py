@@ -1,6 +1,6 @@
-"""Registered queries: exact, line and near-duplicate removal."""
+"""Registered queries: exact, line and near-duplicate removal, spelling variants."""
 
-from leadsieve.llm import exact_dedup, line_dedup, ngram_join
+from leadsieve.llm import exact_dedup, line_dedup, ngram_join, simhash, spelling
 from leadsieve.llm.registry import oracle, query, table
 
 
@@ -42,3 +42,13 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
 FROM g GROUP BY doc_id
 """)
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    return spelling.group_variants(table(spark, sf, "documents"))
+
+
+@query
+def op13_simhash(spark, sf):
+    return simhash.group_near(table(spark, sf, "documents"))

@@ -108,12 +108,18 @@ class Grams:
         Those around the edit; those before it from the first place on whose gram might grow into it; and those after it
         that a gram through the edit might cover.
         """
-        most = 0
+        most, lo, hi = 0, 0, 0
         for i in range(len(word) + 1):
+            # No gram further away is met; both ends only move on.
+            while lo < len(cuts) and cuts[lo][0] <= i - self.longest:
+                lo += 1
+            while hi < len(cuts) and cuts[hi][0] < i + self.longest:
+                hi += 1
+            around = cuts[lo:hi]
             grows = next((p for p in range(max(0, i - self.longest + 1), i - SHORT + 1) if word[p:i] in self.begun), i)
-            before = sum(p >= grows for p, e in cuts if e <= i)
-            inserted = before + sum(p < i or word[i:e] in self.inner for p, e in cuts if e > i)
-            replaced = before + sum(p <= i or word[i + 1:e] in self.inner for p, e in cuts if e > i) if i < len(word) else 0
+            before = sum(p >= grows for p, e in around if e <= i)
+            inserted = before + sum(p < i or word[i:e] in self.inner for p, e in around if e > i)
+            replaced = before + sum(p <= i or word[i + 1:e] in self.inner for p, e in around if e > i) if i < len(word) else 0
             most = max(most, inserted, replaced)
         return most
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadsieve.llm.common import staged, whole
-from leadsieve.llm.pieces import slices
+from leadsieve.llm.pieces import Kept, slices
 
 #: Letters of a word at least, and its occurrences over all documents.
 LETTERS = 5
@@ -45,7 +45,6 @@ BLOCK_LETTERS = 1 << 20
 CELLS = 1 << 22
 #: Words that a task counts before it sends them on.
 HELD = 400_000
-POSTING = "key long, visits int, word string, n long, need int, cuts binary, letters int"
 
 
 def counted_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", letters: int = LETTERS, least: int = LEAST,
@@ -156,158 +155,199 @@ def dictionary(words: DataFrame, common: int = COMMON, extended: int = EXTENDED)
     return Grams(places)
 
 
-def _key(level: int, gram: str, length: int, place: int) -> int:
-    return xxhash.xxh64_intdigest(f"{level} {length} {place} {gram}") - (1 << 63)
-
-
-def _listed(grams: Grams, word: str, n: int) -> Iterator[tuple]:
-    """The word's postings: under its own length, and as a visitor of the words one letter longer."""
+def _listed(grams: Grams, marks: Kept, word: str) -> Iterator[tuple]:
+    """(level, need, marks of its grams by place, listed grams, their places), for each level the word is listed at."""
     pairs = [(p, p + SHORT) for p in range(len(word) - SHORT + 1)]
     cuts = grams.cut(word)
     need = len(cuts) - grams.changed(word, cuts)
-    levels = [(1, cuts, need, cuts if need < 1 else grams.rare_first(word, cuts)[:len(cuts) - need + 1])]
+    levels = [(1, need, cuts, cuts if need < 1 else grams.rare_first(word, cuts)[:len(cuts) - need + 1])]
     if need < 1:
-        levels.append((0, pairs, len(pairs) - SHORT, grams.rare_first(word, pairs)[:SHORT + 1]))
-    for level, own, at_least, listed in levels:
-        sizes = bytearray(len(word))
+        levels.append((0, len(pairs) - SHORT, pairs, grams.rare_first(word, pairs)[:SHORT + 1]))
+    for level, at_least, own, listed in levels:
+        held = bytearray(len(word))
         for p, e in own:
-            sizes[p] = e - p
-        sizes = bytes(sizes)
-        for p, e in listed:
-            gram = word[p:e]
-            yield _key(level, gram, len(word), p), 0, word, n, at_least, sizes, len(word)
-            yield _key(level, gram, len(word) + 1, p), 1, word, n, at_least, sizes, len(word)
-            yield _key(level, gram, len(word) + 1, p + 1), 1, word, n, at_least, sizes, len(word)
+            held[p] = marks[word[p:e]]
+        yield level, at_least, bytes(held), [word[p:e] for p, e in listed], [p for p, _ in listed]
 
 
-def _postings(words: DataFrame, grams: Grams) -> DataFrame:
+def _cut(words: DataFrame, grams: Grams) -> DataFrame:
+    """Words with their grams, one row for each level: letters (Latin-1 bytes), n, level, need, marks, grams, places."""
     import pyarrow as pa
-    sent = words.sparkSession.sparkContext.broadcast(grams)  # see dictionary
-    kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
-    names = [f.split()[0] for f in POSTING.split(", ")]
+    spark = words.sparkSession
+    sent = spark.sparkContext.broadcast(grams)  # see dictionary
+    kinds = {"letters": pa.binary(), "n": pa.int64(), "level": pa.int32(), "need": pa.int32(), "marks": pa.binary(),
+             "grams": pa.list_(pa.string()), "places": pa.list_(pa.int32())}
 
     def run(batches):
+        marks = Kept(lambda g: xxhash.xxh32_intdigest(g) % 255 + 1)
         for batch in slices(batches, 1024):
-            made = [row for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for row in _listed(sent.value, w, n)]
+            made = [(w.encode("latin-1"), n, *row) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                    for row in _listed(sent.value, marks, w)]
             if made:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)],
-                                                 names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds.values(), strict=True)],
+                                                 names=list(kinds))
+
+    # Few bytes, much work: as many tasks as a shuffle has.
+    dealt = words.select("word", "n").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    return dealt.mapInArrow(run, "letters binary, n long, level int, need int, marks binary, grams array<string>, places array<int>")
 
-    return words.select("word", "n").mapInArrow(run, POSTING)
+
+def _postings(cut: DataFrame) -> DataFrame:
+    """The words' postings: under their own length, and as visitors of the words one letter longer, where later grams are one
+    place on."""
+    length = F.octet_length("letters")
+    listed = cut.withColumn("one", F.explode(F.arrays_zip("grams", "places")))
+    lists = F.array(*[F.struct(F.lit(visits).alias("visits"), (length + visits).alias("length"),
+                               (F.col("one.places") + on).alias("place")) for visits, on in ((0, 0), (1, 0), (1, 1))])
+    return listed.withColumn("at", F.explode(lists)).select(
+        F.xxhash64("level", "one.grams", "at.length", "at.place").alias("key"), "at.visits", "letters", "n", "need", "marks")
 
 
 def _units(postings: DataFrame, block_words: int, block_letters: int) -> DataFrame:
     """Postings with the unit they belong to: key, left and right block, own block."""
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("letters").alias("held"))
-    large = sizes.filter((F.col("members") > block_words) | (F.col("held") > block_letters)).select(
+    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("letters")).alias("held"))
+    large = staged(sizes.filter((F.col("members") > block_words) | (F.col("held") > block_letters)).select(
         "key", F.least("members", F.greatest(F.ceil(F.col("members") / block_words), F.ceil(F.col("held") / block_letters)))
-        .cast("int").alias("blocks"))
+        .cast("int").alias("blocks")), "large-lists")
     split = postings.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    split = split.withColumn("block", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
+    split = split.withColumn("block", F.pmod(F.xxhash64("letters"), F.col("blocks")).cast("int"))
     return split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "visits",
-        "word", "n", "need", "cuts")
+        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "visits", "block",
+        "need", "n", "letters", "marks")
+
+
+LOW, HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def _filled(x: np.ndarray) -> np.ndarray:
+    """The highest bit of each byte that isn't zero."""
+    return ((x & LOW) + LOW | x) & HIGH
+
+
+def _lanes(flat: np.ndarray, length: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as columns of eight bytes each, zero beyond their end, and the same moved on by one byte."""
+    rows = np.repeat(np.arange(len(length)), length)
+    table = np.zeros((len(length), wide), dtype=np.uint8)
+    table[rows, np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)] = flat
+    moved = np.zeros_like(table)
+    moved[:, :-1] = table[:, 1:]
+    return tuple(np.ascontiguousarray(t.view("<u8").T) for t in (table, moved))
 
 
 class _Lists:
     """Whole units of postings, in order of unit, then own words before visitors."""
 
-    def __init__(self, columns: dict[str, list]):
-        self.words, self.n = columns["word"], columns["n"]
-        self.length = np.fromiter(map(len, self.words), dtype=np.int64, count=len(self.words))
-        self.need, self.block = np.array(columns["need"]), np.array(columns["block"])
-        self.own = np.array(columns["visits"]) == 0
-        self.across = np.array(columns["left"]) != np.array(columns["right"])
-        unit = np.array(columns["at"])
-        self.end = np.searchsorted(unit, unit, side="right")
-        self.wide = int(self.length.max()) + 1
-        self.letters = self._table([w.encode("latin-1") for w in self.words])
-        self.grams = self._grams(self._table(columns["cuts"]))
-
-    def _table(self, rows: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(r.ljust(self.wide, b"\0") for r in rows), dtype=np.uint8).reshape(len(rows), self.wide)
-
-    def _grams(self, sizes: np.ndarray) -> np.ndarray:
-        """At each place the letters of the gram that begins there as one number; 0 where none does."""
-        made = np.zeros(sizes.shape, dtype=np.uint32)
-        for k in range(LONG):
-            here = np.zeros(sizes.shape, dtype=np.uint32)
-            here[:, :self.wide - k] = self.letters[:, k:]
-            made = np.where(sizes > k, made * np.uint32(256) + here, made)
-        return made
-
-    def near(self) -> Iterator[tuple[int, int]]:
+    def __init__(self, table, begin: np.ndarray):
+        values = {c: np.asarray(table[c]) for c in ("visits", "block", "need", "left", "right")}
+        self.need, self.block = values["need"], values["block"]
+        self.across = values["left"] != values["right"]
+        letters, marks = (_bytes(table[c]) for c in ("letters", "marks"))
+        self.length = letters[1]
+        count = len(self.length)
+        end = np.repeat(np.append(begin[1:], count), np.diff(np.append(begin, count)))
+        self.partners = np.where(values["visits"] == 0, end - np.arange(count) - 1, 0)
+        self.wide = _width(self.length)
+        self.letters, self.letters_on = _lanes(*letters, self.wide)
+        self.marks, self.marks_on = _lanes(*marks, self.wide)
+
+    def near(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows whose words are one edit apart; a pair may come from several lists."""
-        partners = np.where(self.own, self.end - np.arange(len(self.words)) - 1, 0)
-        upto = np.concatenate([[0], np.cumsum(partners)])
+        upto = np.concatenate([[0], np.cumsum(self.partners)])
         most, at = max(1, CELLS // self.wide), 0
-        while at < len(partners):
+        while at < len(self.partners):
             stop = max(at + 1, int(np.searchsorted(upto, upto[at] + most, side="right")) - 1)
-            a = np.repeat(np.arange(at, stop), partners[at:stop])
+            a = np.repeat(np.arange(at, stop), self.partners[at:stop])
             b = a + 1 + np.arange(len(a)) - (upto[a] - upto[at])
-            a, b = self._tallied(a, b)
-            yield from zip(*self._verified(a, b), strict=True)
+            need = np.maximum(self.need[a], self.need[b])
+            fine = (need >= 1) & (~self.across[a] | (self.block[a] != self.block[b]))
+            a, b, need = a[fine], b[fine], need[fine]
+            visits = self.length[a] != self.length[b]
+            for one, tally, check in ((~visits, self._tally, self._replaced), (visits, self._tally_moved, self._inserted)):
+                x, y, asked = a[one], b[one], need[one]
+                fine = asked == 1  # the gram by which the two met
+                more = np.flatnonzero(~fine)
+                fine[more] = tally(x[more], y[more]) >= asked[more]
+                x, y = x[fine], y[fine]
+                fine = check(x, y)
+                yield x[fine], y[fine]
             at = stop
 
-    def _tallied(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs that share as many grams as both words ask for; the one they met by is shared."""
-        need = np.maximum(self.need[a], self.need[b])
-        fine = (need >= 1) & (~self.across[a] | (self.block[a] != self.block[b]))
-        a, b, need = a[fine], b[fine], need[fine]
-        asked = np.flatnonzero(need > 1)
-        own, other = self.grams[a[asked]], self.grams[b[asked]]
-        same = own == other
-        same[:, :-1] |= (self.length[a[asked]] != self.length[b[asked]])[:, None] & (own[:, 1:] == other[:, :-1])
-        enough = np.ones(len(a), dtype=bool)
-        enough[asked] = (same & (other > 0)).sum(axis=1) >= need[asked]
-        return a[enough], b[enough]
-
-    def _verified(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        own, other = self.letters[a], self.letters[b]
-        differ = own != other
-        visits = self.length[a] != self.length[b]
-        near = ~visits & (differ.sum(axis=1) == 1)
-        # A visitor lacks one letter of the other word: beyond the first difference all letters are one place on.
-        first = differ.argmax(axis=1)
-        beyond = np.arange(self.wide - 1)[None, :] >= first[:, None]
-        near |= visits & ~(beyond & (own[:, 1:] != other[:, :-1])).any(axis=1)
-        return a[near].tolist(), b[near].tolist()
+    def _tally(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Grams that begin at the same place in both words."""
+        n = np.zeros(len(a), dtype=np.int64)
+        for own in self.marks:
+            n += np.bitwise_count(_filled(own[b]) & ~_filled(own[a] ^ own[b]))
+        return n
+
+    def _tally_moved(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Grams of the shorter word that begin in the longer one at the same place or one further on."""
+        n = np.zeros(len(a), dtype=np.int64)
+        for own, on in zip(self.marks, self.marks_on, strict=True):
+            n += np.bitwise_count(_filled(own[b]) & ~(_filled(own[a] ^ own[b]) & _filled(on[a] ^ own[b])))
+        return n
+
+    def _replaced(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        n = np.zeros(len(a), dtype=np.int64)
+        for own in self.letters:
+            n += np.bitwise_count(_filled(own[a] ^ own[b]))
+        return n == 1
+
+    def _inserted(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Beyond the first difference, the shorter word's letters are one further on in the longer one."""
+        fine, met = np.ones(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
+        for own, on in zip(self.letters, self.letters_on, strict=True):
+            apart, beyond = own[a] ^ own[b], on[a] ^ own[b]
+            lowest = np.bitwise_count((apart & -apart) - np.uint64(1)).astype(np.uint64) & np.uint64(56)
+            fine &= np.where(met, beyond == 0, (apart == 0) | (beyond >> lowest == 0))
+            met |= apart != 0
+        return fine
+
+
+def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column in one row, and the length of each value."""
+    own = column.combine_chunks()
+    offsets = np.frombuffer(own.buffers()[1], dtype=np.int32)[own.offset:own.offset + len(own) + 1]
+    return np.frombuffer(own.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]], np.diff(offsets)
+
+
+def _width(length: np.ndarray) -> int:
+    return (int(length.max()) // 8 + 1) * 8
 
 
 def _links(units: DataFrame) -> DataFrame:
     """word, near, near_n for both words of each pair, possibly repeated."""
     import pyarrow as pa
     unit = ("key", "left", "right")
-    names = ["word", "n", "need", "block", "visits", "left", "right", "cuts", "at"]
-    kinds = [pa.string(), pa.string(), pa.int64()]
 
-    def found(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
-        lists = _Lists(held)
-        pairs = {(lists.words[x], lists.words[y], lists.n[y]) for a, b in lists.near() for x, y in ((a, b), (b, a))}
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pairs, strict=True), kinds, strict=True)],
-                                             names=["word", "near", "near_n"])
+    def found(table: pa.Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """begin: where units begin."""
+        if len(begin) > 1 and table.num_rows * _width(_bytes(table["letters"])[1]) > CELLS:
+            middle = len(begin) // 2
+            yield from found(table.slice(0, begin[middle]), begin[:middle])
+            yield from found(table.slice(begin[middle]), begin[middle:] - begin[middle])
+            return
+        letters, n = table["letters"].combine_chunks(), table["n"].combine_chunks()
+        for a, b in _Lists(table, begin).near():
+            if len(a):
+                word, near = np.concatenate([a, b]), np.concatenate([b, a])
+                yield pa.RecordBatch.from_arrays([letters.take(pa.array(word)), letters.take(pa.array(near)), n.take(pa.array(near))],
+                                                 names=["word", "near", "near_n"])
 
     def run(batches):
-        held, at, last, letters = {c: [] for c in names}, 0, None, 0
-        for batch in slices(batches, 4096):
-            columns = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*unit, *names[:5], "cuts")}
-            for k, own in enumerate(zip(*(columns[c] for c in unit), strict=True)):
-                if own != last:
-                    last, at = own, at + 1
-                    if letters > BLOCK_LETTERS:  # units are whole, and bounded
-                        yield from found(held)
-                        held, letters = {c: [] for c in names}, 0
-                for c in names[:-1]:
-                    held[c].append(columns[c][k])
-                held["at"].append(at)
-                letters += len(columns["word"][k])
-        if letters:
-            yield from found(held)
-
-    return (units.repartition(*unit).sortWithinPartitions(*unit, "visits")
-            .mapInArrow(run, "word string, near string, near_n long"))
+        held = None
+        for batch in batches:
+            own = pa.Table.from_batches([batch])
+            held = own if held is None else pa.concat_tables([held, own])
+            keys = np.stack([np.asarray(held[c]).astype(np.int64) for c in unit])
+            begin = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+            if len(begin) > 1:  # the last unit may go on in the next batch
+                yield from found(held.slice(0, begin[-1]), begin[:-1])
+                held = held.slice(begin[-1])
+        if held is not None and held.num_rows:
+            yield from found(held, np.array([0]))
+
+    latin = units.repartition(*unit).sortWithinPartitions(*unit, "visits").mapInArrow(run, "word binary, near binary, near_n long")
+    return latin.select(F.decode("word", "ISO-8859-1").alias("word"), F.decode("near", "ISO-8859-1").alias("near"), "near_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -338,8 +378,9 @@ def group_variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     columns are ignored. An empty table gives no rows.
     """
     words = staged(counted_words(docs, doc_id, text, letters, least, slips), "words")
-    postings = staged(_postings(words, dictionary(words, common)), "postings")
-    links = _links(_units(postings, block_words, block_letters)).distinct()
+    postings = _postings(staged(_cut(words, dictionary(words, common)), "cut-words"))
+    # One exchange for both: a word has at most some hundred near words.
+    links = _links(_units(postings, block_words, block_letters)).repartition("word").distinct()
     near = links.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                      F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     known = staged(words.join(near, "word", "left").select(

@@ -26,17 +26,28 @@ SELECT row_idx, c_name AS Company,
        c_mktsegment AS Industry
 FROM lead_hosts JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
-# All given pages, and hosts that show no text, have a blank homepage, or a blank subpage.
+# All given pages, and hosts that show no text, have a blank homepage, or a blank subpage; hosts whose only page has no
+# id, or whose homepage has none; hosts whose pages share one id; hosts with a page crawled twice.
 FIXTURES["crawled_pages"] = """
-SELECT page_id, url, html FROM pages
-UNION ALL SELECT 10000000 + r_regionkey, 'https://js' || CAST(r_regionkey AS STRING) || '.com/',
+SELECT page_id AS row_no, page_id, url, html FROM pages
+UNION ALL SELECT 10000000 + r_regionkey, 10000000 + r_regionkey, 'https://js' || CAST(r_regionkey AS STRING) || '.com/',
        '<html><body><noscript>please enable javascript</noscript></body></html>' FROM region
-UNION ALL SELECT 20000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/',
+UNION ALL SELECT 20000000 + n_nationkey, 20000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/',
        '<html><body></body></html>' FROM nation
-UNION ALL SELECT 30000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/about', html
+UNION ALL SELECT 30000000 + n_nationkey, 30000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/about', html
 FROM nation JOIN pages ON page_id = n_nationkey
-UNION ALL SELECT 40000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/empty',
-       '<html><body> </body></html>' FROM nation"""
+UNION ALL SELECT 40000000 + n_nationkey, 40000000 + n_nationkey, 'https://blank' || CAST(n_nationkey AS STRING) || '.com/empty',
+       '<html><body> </body></html>' FROM nation
+UNION ALL SELECT 50000000 + page_id, NULL, 'https://noid' || CAST(page_id AS STRING) || '.com/', html FROM pages WHERE page_id < 20
+UNION ALL SELECT 60000000 + page_id, NULL, 'https://half' || CAST(page_id AS STRING) || '.com/', html FROM pages WHERE page_id < 20
+UNION ALL SELECT 61000000 + page_id, page_id, 'https://half' || CAST(page_id AS STRING) || '.com/about', html
+FROM pages WHERE page_id < 20
+UNION ALL SELECT 70000000 + page_id, 7, 'https://same' || CAST(page_id % 3 AS STRING) || '.com/p' || CAST(page_id AS STRING), html
+FROM pages WHERE page_id < 30
+UNION ALL SELECT 80000000 + page_id, CASE WHEN page_id % 4 < 2 THEN NULL ELSE page_id % 8 END,
+       'https://again' || CAST(page_id % 8 AS STRING) || '.com/', html FROM pages WHERE page_id < 40
+UNION ALL SELECT 81000000 + page_id, page_id % 4, 'https://again' || CAST(page_id % 4 AS STRING) || '.com/about', html
+FROM pages WHERE page_id < 8"""
 
 FIXTURES["page_rows"] = """
 SELECT 'c' || CAST(conv_id AS STRING) || '.com' AS domain, CAST(turn AS BIGINT) AS ord,
@@ -48,14 +59,17 @@ SELECT 'c' || CAST(conv_id AS STRING) || '.com' AS domain, CAST(turn AS BIGINT)
        CASE WHEN conv_id % 9 = 4 OR turn % 3 = 1 THEN '' ELSE '  About ' || role || '  ' END AS description,
        CASE WHEN conv_id % 9 = 4 THEN ''
             ELSE 'Our Work|our work| Team ' || CAST(turn AS STRING) || '|' || substr(text, 1, 30) END AS heads,
-       CASE conv_id % 8
-         WHEN 1 THEN substr(text, 1, 70)
-         WHEN 2 THEN repeat('Home About Contact Services Menu ', 9)
-         WHEN 3 THEN 'This domain is for sale. ' || substr(text, 1, 150)
-         WHEN 5 THEN 'Please enable JavaScript to go on. ' || substr(text, 1, 150)
-         ELSE text END AS text,
-       conv_id
-FROM conversations"""
+       text, conv_id
+FROM conversations
+UNION ALL
+SELECT 's' || CAST(n_nationkey AS STRING) || '.com', CAST(r_regionkey AS BIGINT),
+       'https://s' || CAST(n_nationkey AS STRING) || '.com/' || CASE WHEN r_regionkey = 0 THEN '' ELSE lower(r_name) END,
+       'The ' || n_name || ' desk', '', r_name || '|' || n_name,
+       CASE n_nationkey % 5 WHEN 0 THEN 'A few words on ' || r_name
+         WHEN 1 THEN repeat('Home About Contact Services Menu ', 9)
+         WHEN 2 THEN 'This domain is for sale. ' || r_name
+         WHEN 3 THEN 'Please enable JavaScript to go on. ' || n_name ELSE '' END, -1 - n_nationkey
+FROM nation, region WHERE r_regionkey <= n_nationkey % 7"""
 
 FIXTURES["attempts"] = """
 SELECT 'u' || CAST(user_id AS STRING) || '.com' AS domain,
@@ -97,7 +111,11 @@ SELECT 'c' || CAST(user_id AS STRING) || '.com' AS domain, event_id AS seq,
        CASE WHEN event_id % 2 = 0 THEN 'aaaa' ELSE 'bbbb' END AS rubric_sha,
        CAST(floor(value * 10) AS BIGINT) AS input_tokens, 'ok' AS crawl_status, 'plain' AS source_tier,
        'm-1' AS model
-FROM events WHERE event_type = 'view'"""
+FROM events WHERE event_type = 'view'
+UNION ALL
+SELECT 'c' || CAST(c_custkey AS STRING) || '.com', CAST(NULL AS BIGINT), 'Avg', 2, 'fitment p=0', 0.5, '', 'f0', 'm0',
+       CASE WHEN c_custkey % 2 = 0 THEN 'aaaa' ELSE 'cccc' END, CAST(7 AS BIGINT), 'ok', 'plain', 'm-1'
+FROM customer WHERE c_custkey % 3 = 0"""
 
 FIXTURES["comments"] = """
 SELECT CASE WHEN user_id % 10 = 0 THEN 'x' ELSE 'c' END || CAST(user_id AS STRING) || '.com' AS domain,
@@ -123,7 +141,11 @@ SELECT CAST(NULL AS BIGINT), CASE WHEN user_id % 3 = 0 THEN 'w' ELSE 'c' END ||
        CASE WHEN event_id % 4 = 0 THEN '' ELSE 'ok' END, CASE WHEN event_id % 3 = 0 THEN '' ELSE 'plain' END,
        CASE WHEN event_id % 3 = 0 THEN 'model' WHEN event_id % 3 = 1 THEN '' ELSE 'manual' END,
        event_id % 3 = 0 AND event_id % 2 = 0, event_id % 6 = 3
-FROM events WHERE event_type = 'purchase'"""
+FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT CAST(NULL AS BIGINT), 'c' || CAST(c_custkey AS STRING) || '.com', CAST(NULL AS BIGINT), 'Good', '1', 'of unknown age',
+       '', 'plain', 'manual', FALSE, FALSE
+FROM customer WHERE c_custkey % 5 = 0"""
 
 # Signals of the stand-in rubric: kind, id, weight, factor, offset. The probability of a
 # signal for document d is ((d * factor + offset) mod 100) / 100.
@@ -145,7 +167,9 @@ def _answers(seq: str, where, shift: int) -> list[str]:
 FIXTURES["answers"] = "\nUNION ALL\n".join(
     # One question stays open for some documents; some are answered twice.
     _answers("doc_id", lambda i: " WHERE source <> 'src3'" if i == "hiring" else "", 0)
-    + _answers("doc_id + 1000000000", lambda i: " WHERE lang = 'de'", 23))
+    + _answers("doc_id + 1000000000", lambda i: " WHERE lang = 'de'", 23)
+    # Answers without an order value, the only ones to some questions.
+    + [a for a in _answers("CAST(NULL AS BIGINT)", lambda i: " WHERE doc_id % 4 = 1", 51) if "mom__hiring" in a or "dq__" in a])
 
 FIXTURES["grades"] = """
 SELECT 'd' || CAST(doc_id AS STRING) || '.com' AS domain,

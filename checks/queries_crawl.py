@@ -12,6 +12,7 @@ from leadsieve.operators.verdicts import resolve_failed
 from leadsieve.plans.campaign import crawl_results, gated_sites as gated_sites_of
 from leadsieve.session import scratch_folder
 from leadsieve.sources.pages import ingest_pages, page_keys
+from leadsieve.sources.store import SiteStore
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
 c = F.col
@@ -91,8 +92,16 @@ def _(spark, sf):
 
 
 def _page_sites(source="crawled_pages"):
-    return (S.parsed_pages(source) + ", keyed_pages AS (SELECT * FROM parsed WHERE domain <> ''), "
-            + S.site_ctes("keyed_pages", "depth, page_id"))
+    """Parsed pages by row, each page once, and sites of them; pages without id come last at their depth."""
+    row = "row_no" if source == "crawled_pages" else "page_id"
+    return (f"numbered AS (SELECT {row} AS page_id, page_id AS given_id, md5(html) AS mark, url, html FROM {source}), "
+            + S.parsed_pages("numbered") + ", keyed_pages AS (SELECT p.*, n.given_id FROM parsed p JOIN numbered n USING (page_id) "
+            "WHERE domain <> '' QUALIFY row_number() OVER (PARTITION BY domain, depth, given_id, p.url ORDER BY mark) = 1), "
+            + S.site_ctes("keyed_pages", "depth, given_id NULLS LAST, url"))
+
+
+def crawled_pages(spark, sf):
+    return fixture(spark, sf, "crawled_pages").drop("row_no")
 
 
 _PAGE_SITES = _page_sites()
@@ -114,7 +123,7 @@ WITH {_PAGE_SITES}, {_PAGE_GATE}, {S.digest_ctes()}
 SELECT domain, st AS status, gate_reason = 'pass' AS gate_ok, gate_reason, n_pages AS pages, chars, digest
 FROM judged JOIN digests USING (domain)""")
 def _(spark, sf):
-    return crawl_results(fixture(spark, sf, "crawled_pages")).select(
+    return crawl_results(crawled_pages(spark, sf)).select(
         "domain", "status", "gate_ok", "gate_reason", "pages", "chars", "digest")
 
 
@@ -125,7 +134,7 @@ SELECT domain, coalesce(st, 'thin') AS status, coalesce(gate_reason = 'pass', FA
   coalesce(gate_reason, 'no_pages') AS gate_reason, coalesce(n_pages, 0) AS pages, coalesce(chars, 0) AS chars,
   CASE WHEN gate_reason IS NULL THEN 'no pages' ELSE '' END AS error FROM asked LEFT JOIN judged USING (domain)""")
 def _(spark, sf):
-    pages = fixture(spark, sf, "crawled_pages")
+    pages = crawled_pages(spark, sf)
     asked = page_keys(pages).select("domain").where("not startswith(domain, 'js')").unionAll(
         table(spark, sf, "nation").select(F.concat(F.lit("none"), "n_nationkey", F.lit(".com"))))
     return crawl_results(pages, requested=asked).select(
@@ -138,7 +147,7 @@ SELECT {S.family('gate_reason')} AS family, count(*) AS n, CAST(sum(n_pages) AS
   CAST(sum(chars) AS BIGINT) AS chars FROM judged GROUP BY 1""")
 def _(spark, sf):
     from leadsieve.functions.text import reason_family
-    gated = gated_sites_of(fixture(spark, sf, "crawled_pages"))
+    gated = gated_sites_of(crawled_pages(spark, sf))
     return gated.groupBy(reason_family(c("gate_reason")).alias("family")).agg(
         F.count("*").alias("n"), F.sum(F.size("pages").cast("bigint")).alias("pages"),
         F.sum("chars").cast("bigint").alias("chars"))
@@ -192,26 +201,20 @@ def _(spark, sf):
                           "gate_reason", "chars", "n_attempts", "error")
 
 
-_EARLY = ("early AS (SELECT * FROM attempts WHERE chars > 120)")
-
-
 @query("untried_tiers", f"""
-WITH {_EARLY}, tiers AS (SELECT unnest(['plain', 'browser', 'tls', 'batched', 'paged']) AS tier, unnest([1, 2, 3, 4, 5]) AS r),
+WITH tiers AS (SELECT unnest(['plain', 'browser', 'tls', 'batched', 'paged']) AS tier, unnest([1, 2, 3, 4, 5]) AS r),
 open AS (SELECT w.domain, t.tier, t.r FROM wanted w, tiers t
-  WHERE (w.domain, t.tier) NOT IN (SELECT domain, tier FROM early))
+  WHERE (w.domain, t.tier) NOT IN (SELECT domain, tier FROM attempts))
 SELECT w.domain, coalesce(string_agg(o.tier, ' ' ORDER BY o.r), '') AS untried, count(o.tier) = 0 AS exhausted
 FROM wanted w LEFT JOIN open o USING (domain) GROUP BY w.domain""")
 def _(spark, sf):
-    early = fixture(spark, sf, "attempts").where("chars > 120")
-    return Sites.untried_tiers(fixture(spark, sf, "wanted"), early, TIERS).select(
+    return Sites.untried_tiers(fixture(spark, sf, "wanted"), fixture(spark, sf, "attempts"), TIERS).select(
         "domain", F.array_join("untried", " ").alias("untried"), "exhausted")
 
 
-@query("unattempted", f"""
-WITH {_EARLY} SELECT domain FROM wanted EXCEPT SELECT domain FROM early WHERE tier = 'tls'""")
+@query("unattempted", "SELECT domain FROM wanted EXCEPT SELECT domain FROM attempts WHERE tier = 'tls'")
 def _(spark, sf):
-    early = fixture(spark, sf, "attempts").where("chars > 120")
-    return Sites.unattempted(fixture(spark, sf, "wanted"), early, "tls")
+    return Sites.unattempted(fixture(spark, sf, "wanted"), fixture(spark, sf, "attempts"), "tls")
 
 
 @query("plan_fetches", f"""
@@ -230,7 +233,10 @@ def _(spark, sf):
 @query("upsert_sites", "SELECT domain, status, seq AS version FROM attempts QUALIFY row_number() OVER (PARTITION BY domain ORDER BY seq DESC) = 1")
 def _(spark, sf):
     log = fixture(spark, sf, "attempts").select("domain", "status", c("seq").alias("version"))
-    return Sites.upsert_sites(log.where("status <> 'ok'"), log.where("status = 'ok'"))
+    store = SiteStore(spark, scratch_folder(spark, "sites"), buckets=8)
+    for part in (log.where("status = 'thin'"), log.where("status = 'ok'"), log.where("status = 'timeout'")):
+        store.upsert(part)
+    return store.read()
 
 
 @query("replace_results", f"""

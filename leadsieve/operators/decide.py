@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadsieve import constants as C
 from leadsieve.functions.text import fixed, rounded
-from leadsieve.operators.selection import latest_by
+from leadsieve.operators.selection import latest_by, order_value
 
 PREFIX = {"disqualifier": "dq__", "fit": "fit__", "anti-fit": "anti__", "momentum": "mom__"}
 SHORT = {"disqualifier": "dq", "fit": "fit", "anti-fit": "anti", "momentum": "mom"}
@@ -69,11 +69,13 @@ def answers_wide(answers: DataFrame, signals: list[Signal]) -> DataFrame:
     """One row per domain with the latest probability of every signal.
 
     A single hash aggregate: repeated answers fold before the shuffle, and everything
-    after it is projection.
+    after it is projection. A null seq comes before all others.
     """
+    order = order_value(answers, "seq")
+
     def latest(s: Signal) -> Column:
         mine = F.col("qid") == s.qid
-        return F.max_by(F.when(mine, F.col("noul")), F.when(mine, F.col("seq"))).alias(f"p_{s.qid}")
+        return F.max_by(F.when(mine, F.col("noul")), F.when(mine, order)).alias(f"p_{s.qid}")
 
     return answers.groupBy("domain").agg(*[latest(s) for s in distinct_signals(signals)])
 

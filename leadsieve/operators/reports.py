@@ -10,8 +10,8 @@ from leadsieve import constants as C
 from leadsieve.functions.domains import normalize_domain
 from leadsieve.functions.text import reason_family
 from leadsieve.operators.profile import lead_context
-from leadsieve.operators.selection import latest_by
-from leadsieve.operators.verdicts import domain_verdicts, judge_of
+from leadsieve.operators.selection import LOWEST, latest_stored, top_k
+from leadsieve.operators.verdicts import audit_of, domain_verdicts, judge_of
 from leadsieve.session import checkpointed
 
 
@@ -54,37 +54,32 @@ def tally(df: DataFrame, col: str) -> DataFrame:
 def merge_report(merged: DataFrame, top: int = 8) -> DataFrame:
     """Distributions and warnings of a merged table, as (section, key, n, pct).
 
-    One pass by grouping sets; its groups are checkpointed and feed every section.
+    One aggregate over grades, tiers and judges, whose few groups are checkpointed and feed every section but
+    the reasons. These are texts without bound: they fold in each task, only their counts are
+    shuffled, and the most frequent are taken without storing the others.
     """
-    dq = F.when(F.col("_tier") == "prefilter", F.col("_comments"))
+    at = audit_of(merged)
     rows = merged.select(
-        F.col("_fitment").alias("fitment"), F.col("_ranking").cast("string").alias("ranking"),
-        F.col("_tier").alias("tier"), F.col("_judge").alias("judge"), dq.alias("reason"),
-        (((F.col("_fitment") == "Good") & (F.col("_ranking") != 1))
-         | ((F.col("_fitment") == "Unfit") & (F.col("_ranking") != 3))).alias("divergent"),
-        F.col("_flagged").alias("flagged"), F.col("_disagree").alias("disagree"),
-        (~F.col("_assessed")).alias("unassessed"),
-        (F.col("_bad_fitment").cast("int") + F.col("_bad_ranking").cast("int")).alias("bad"))
-    keys = ["fitment", "ranking", "tier", "judge", "reason"]
-    sets = checkpointed(rows.groupingSets([[], *[[k] for k in keys]], *keys).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("n"),
-        *[F.count_if(c).alias(c) for c in ("divergent", "flagged", "disagree", "unassessed")],
-        F.sum("bad").alias("bad")))
-    full = (1 << len(keys)) - 1
-    masks = {k: full ^ (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
-    total = sets.where(F.col("_set") == full)
-    section = F.coalesce(*[F.when(F.col("_set") == m, F.lit(k)) for k, m in masks.items()])
-    spread = sets.where(F.col("_set").isin([masks[k] for k in keys[:-1]])).select(
-        section.alias("section"), F.coalesce(*keys).alias("key"), "n")
-    reasons = sets.where((F.col("_set") == masks["reason"]) & F.col("reason").isNotNull()) \
-        .orderBy(F.desc("n"), "reason").limit(top).select(
+        F.col(at["fitment"]).alias("fitment"), F.col(at["ranking"]).cast("string").alias("ranking"),
+        F.col(at["tier"]).alias("tier"), F.col(at["judge"]).alias("judge"),
+        F.when(F.col(at["tier"]) == "prefilter", F.col(at["comments"])).alias("reason"),
+        (((F.col(at["fitment"]) == "Good") & (F.col(at["ranking"]) != 1))
+         | ((F.col(at["fitment"]) == "Unfit") & (F.col(at["ranking"]) != 3))).alias("divergent"),
+        F.col(at["flagged"]).alias("flagged"), F.col(at["disagree"]).alias("disagree"),
+        (~F.col(at["assessed"])).alias("unassessed"),
+        (F.col(at["bad_fitment"]).cast("int") + F.col(at["bad_ranking"]).cast("int")).alias("bad"))
+    keys, warned = ["fitment", "ranking", "tier", "judge"], ["divergent", "flagged", "disagree", "unassessed"]
+    groups = checkpointed(rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), *[F.count_if(c).alias(c) for c in warned], F.sum("bad").alias("bad")))
+    spread = [groups.groupBy(F.col(k).alias("key")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("section"), "key", "n")
+              for k in keys]
+    reasons = top_k(rows.where(F.col("reason").isNotNull()), "reason", top).select(
         F.lit("reason").alias("section"), F.col("reason").alias("key"), "n")
-    warnings = total.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("key"), F.col(c).cast("bigint").alias("n"))
-        for c in ("divergent", "flagged", "disagree", "unassessed", "bad")])).alias("w")).select(
+    warnings = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*warned, "bad")]).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("key"), F.col(c).cast("bigint").alias("n")) for c in (*warned, "bad")])).alias("w")).select(
         F.lit("rows").alias("section"), "w.key", "w.n")
     # A few dozen lines are left; every row has one fitment.
-    lines = reduce(DataFrame.unionAll, [spread, reasons, warnings])
+    lines = reduce(DataFrame.unionAll, [*spread, reasons, warnings])
     counted = _over_all(F.sum(F.when(F.col("section") == "fitment", F.col("n"))))
     return lines.select("section", "key", "n", _percent(F.col("n"), counted).alias("pct"))
 
@@ -97,9 +92,9 @@ def _label(col: Column) -> Column:
 
 def judged_by_both(verdicts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Domains with a domain-level manual verdict and a model decision, side by side."""
-    manual = latest_by(domain_verdicts(verdicts).where(
+    manual = latest_stored(domain_verdicts(verdicts).where(
         judge_of(F.col("judge"), F.col("source_tier")) == "manual"), "domain")
-    model = latest_by(decisions, "domain")
+    model = latest_stored(decisions, "domain")
     return manual.select(
         "domain", F.initcap(F.lower(_label(F.col("fitment")))).alias("manual_fitment"),
         _label(F.col("ranking")).alias("manual_ranking"), "comments").join(
@@ -145,7 +140,7 @@ def disagreements(pairs: DataFrame, n: int) -> DataFrame:
 
 def stale_decisions(decisions: DataFrame, sha: str) -> DataFrame:
     """Latest decisions made with another rubric."""
-    return latest_by(decisions, "domain").where(~F.col("rubric_sha").eqNullSafe(F.lit(sha)))
+    return latest_stored(decisions, "domain").where(~F.col("rubric_sha").eqNullSafe(F.lit(sha)))
 
 
 def progress(sites: DataFrame, verdicts: DataFrame, decisions: DataFrame, sha: str) -> DataFrame:
@@ -156,13 +151,13 @@ def progress(sites: DataFrame, verdicts: DataFrame, decisions: DataFrame, sha: s
         domain_verdicts(verdicts).select("domain", F.lit("v"), F.lit(None).cast("boolean"),
                                          F.lit(None).cast("bigint"), F.lit(None).cast("string")),
         decisions.where("coalesce(domain, '') <> ''").select(
-            "domain", F.lit("d"), F.lit(None).cast("boolean"), F.col("seq").cast("bigint"), "rubric_sha"),
+            "domain", F.lit("d"), F.lit(None).cast("boolean"), F.coalesce(F.col("seq").cast("bigint"), F.lit(LOWEST)), "rubric_sha"),
     ]
     # One shuffle for all three logs; repeats of a domain fold before it.
     per_domain = reduce(DataFrame.unionAll, tagged).groupBy("domain").agg(
         F.bool_or("gate_ok").alias("passed"), F.bool_or(F.col("tag") == "v").alias("assessed"),
         F.bool_or(F.col("tag") == "d").alias("decided"),
-        F.max_by(F.coalesce("sha", F.lit("")), "seq").alias("sha"))
+        F.max_by(F.when(F.col("tag") == "d", F.coalesce("sha", F.lit(""))), "seq").alias("sha"))
     passed = F.coalesce("passed", F.lit(False))
     return per_domain.agg(
         F.count("passed").alias("crawled"), F.count_if(passed).alias("passed"),
@@ -217,7 +212,7 @@ def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
     Domains come in the order of their first decision; what the sheet shows is the latest.
     """
     first = decisions.groupBy("domain").agg(F.min("seq").alias("_first"))
-    open_decisions = latest_by(decisions, "domain").join(first, "domain") \
+    open_decisions = latest_stored(decisions, "domain").join(first, "domain") \
         .join(comments.select("domain"), "domain", "left_anti") \
         .join(domain_verdicts(verdicts).select("domain"), "domain", "left_anti")
     batch = checkpointed(open_decisions.orderBy("_first", "domain").limit(n).drop("_first"))

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadsieve import constants as C
 from leadsieve.functions.domains import normalize_domain, path_depth, registrable, host_of
 from leadsieve.functions.text import site_status
-from leadsieve.operators.selection import latest_by
+from leadsieve.operators.selection import latest_by, may_hold, spread_join
+from leadsieve.session import stored
 
 SALTS = 64
 PAGE_FIELDS = ["url", "title", "description", "headings", "text", "http_status"]
@@ -72,14 +73,6 @@ def list_sites(first: DataFrame, *order: str) -> DataFrame:
         .withColumn("status", site_status(F.col("chars")))
 
 
-def site_pages(sites: DataFrame) -> DataFrame:
-    """The pages of assembled sites as rows again, with their order columns; blank ones have no content."""
-    none = F.lit(None).cast(sites.schema["pages"].dataType.elementType)
-    blank = F.transform("blank_places", lambda p: F.struct(none.alias("pages"), p.alias("places")))
-    pairs = F.explode(F.concat(F.arrays_zip("pages", "places"), blank)).alias("_p")
-    return sites.select("domain", pairs).select("domain", "_p.pages.*", "_p.places.*")
-
-
 def body_chars(pages: Column) -> Column:
     return F.length(F.array_join(pages["text"], ""))
 
@@ -89,12 +82,14 @@ def assign_pages(pages: DataFrame, domains: DataFrame) -> DataFrame:
 
     Pages without text or owner are dropped; of two requested domains with one owner
     part the last one (by `seq`) gets the pages.
+    Pages without an owner are dropped before their text moves, and a part that owns
+    very many pages is dealt over many tasks.
     """
-    owners = latest_by(domains.select("domain", "seq", registrable(F.col("domain")).alias("site")),
-                       "site")
+    owners = stored(latest_by(domains.select("domain", "seq", registrable(F.col("domain")).alias("site")), "site")
+                    .select("site", "domain"), "owners")
     keyed = pages.where(F.col("text") != "") \
         .withColumn("site", registrable(host_of(F.col("url")))).where(F.col("site") != "")
-    return keyed.join(owners.select("site", "domain"), "site").drop("site")
+    return spread_join(may_hold(keyed, owners, ["site"]), owners, "site", "url").drop("site")
 
 
 def page_order(url: Column) -> Column:
@@ -166,7 +161,10 @@ def plan_fetches(domains: DataFrame, sites: DataFrame, mode: str = "first") -> D
 
 
 def upsert_sites(old: DataFrame, new: DataFrame) -> DataFrame:
-    """One current record per domain: a newer version replaces an older one."""
+    """One current record per domain: a newer version replaces an older one.
+
+    For two tables at hand; `sources.store.SiteStore` keeps sites and rewrites only what an update touches.
+    """
     return latest_by(old.unionByName(new, allowMissingColumns=True), "domain", "version")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadsieve import constants as C
 from leadsieve.functions.domains import normalize_domain
 from leadsieve.functions.text import comment_for, strip
-from leadsieve.operators.selection import latest_by
+from leadsieve.operators.selection import latest_stored, order_value
 
 NEW_COLUMNS = ["Fitment", "Ranking", "Comments", "Crawl_Status"]
 
@@ -34,7 +34,7 @@ def resolve_failed(results: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def _commented(comments: DataFrame) -> DataFrame:
-    return latest_by(comments, "domain").where(strip(F.coalesce("comments", F.lit(""))) != "")
+    return latest_stored(comments, "domain").where(strip(F.coalesce("comments", F.lit(""))) != "")
 
 
 def finalize(decisions: DataFrame, comments: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def finalize(decisions: DataFrame, comments: DataFrame, verdicts: DataFrame) ->
         "domain", strip(F.col("comments")).alias("comments"),
         F.coalesce("evidence", F.lit("")).alias("evidence"),
         F.coalesce("disagree", F.lit(False)).alias("disagree"))
-    open_decisions = latest_by(decisions, "domain").join(
+    open_decisions = latest_stored(decisions, "domain").join(
         domain_verdicts(verdicts).select("domain"), "domain", "left_anti")
     joined = open_decisions.drop("comments", "evidence", "disagree").join(said, "domain")
     extra = [c for c in ("crawl_status", "source_tier", "model", "needs_review")
@@ -55,7 +55,7 @@ def finalize(decisions: DataFrame, comments: DataFrame, verdicts: DataFrame) ->
 def missing_comments(decisions: DataFrame, comments: DataFrame,
                      verdicts: DataFrame | None = None) -> DataFrame:
     """Decided domains that still need a comment."""
-    decided = latest_by(decisions, "domain").join(
+    decided = latest_stored(decisions, "domain").join(
         _commented(comments).select("domain"), "domain", "left_anti")
     if verdicts is not None:
         decided = decided.join(domain_verdicts(verdicts).select("domain"), "domain", "left_anti")
@@ -64,7 +64,7 @@ def missing_comments(decisions: DataFrame, comments: DataFrame,
 
 def orphan_comments(decisions: DataFrame, comments: DataFrame) -> DataFrame:
     """Commented domains without a decision."""
-    return latest_by(comments, "domain").join(
+    return latest_stored(comments, "domain").join(
         decisions.select("domain"), "domain", "left_anti")
 
 
@@ -128,20 +128,30 @@ def unique_header(name: str, taken: list[str]) -> str:
     return free
 
 
-AUDIT = ["_tier", "_judge", "_flagged", "_disagree", "_assessed", "_bad_fitment",
-         "_bad_ranking", "_fitment", "_ranking", "_comments"]
+#: What the report needs to know of each lead. The columns are named with a leading underscore, or more of them
+#: where the leads have such a column; their metadata says which is which.
+AUDIT = ["tier", "judge", "flagged", "disagree", "assessed", "bad_fitment", "bad_ranking", "fitment", "ranking", "comments"]
+_ROLE = "leadsieve.audit"
 _VERDICT = ["fitment", "ranking", "comments", "crawl_status", "source_tier", "judge",
             "needs_review", "disagree"]
 
 
+def audit_of(merged: DataFrame) -> dict[str, str]:
+    """The audit columns of a merged table by what they hold."""
+    found = {f.metadata[_ROLE]: f.name for f in merged.schema.fields
+             if _ROLE in (f.metadata or {}) and f.name.lstrip("_") == f.metadata[_ROLE] and f.name[0] == "_"}
+    return found or {role: f"_{role}" for role in AUDIT}
+
+
 def merge_verdicts(leads: DataFrame, verdicts: DataFrame, results: DataFrame, url_col: str,
                    status: bool = True) -> DataFrame:
     """Every lead with its verdict columns, plus audit columns for the report.
 
-    A row verdict beats a domain verdict; a lead with neither is 'Not assessed'.
-    Verdicts and results meet per domain first, so the leads shuffle once by row and
-    once by domain. Leads without a website get a key of their own and spread evenly;
-    a domain with very many leads is split by adaptive skew-join handling.
+    A row verdict beats a domain verdict; a lead with neither is 'Not assessed'. Of several, the one with the
+    largest seq counts; a null seq comes before all others. Only row number and host of a lead meet the
+    verdicts, row verdicts and domain verdicts fold into one narrow row per lead, and the whole leads shuffle
+    once, by row. Leads without a website get a key of their own and spread evenly; a domain with very
+    many leads is split by adaptive skew-join handling. Leads may have columns of any name but `row_idx`.
     """
     types = {"needs_review": "boolean", "disagree": "boolean"}
     have = set(verdicts.columns)
@@ -153,52 +163,63 @@ def merge_verdicts(leads: DataFrame, verdicts: DataFrame, results: DataFrame, ur
             return (F.size(c) > 0).alias(c)
         return F.col(c).alias(c)
 
-    packed = verdicts.select("row_idx", "domain", "seq", F.struct(*map(field, _VERDICT)).alias("v"))
-    by_row = packed.where("row_idx is not null").groupBy("row_idx").agg(
-        F.max_by("v", "seq").alias("_row_v"))
-    by_domain = domain_verdicts(packed).groupBy("domain").agg(F.max_by("v", "seq").alias("_dom_v"))
+    packed = verdicts.select("row_idx", "domain", order_value(verdicts, "seq").alias("seq"),
+                             F.struct(*map(field, _VERDICT)).alias("v"))
+    by_row = packed.where("row_idx is not null").groupBy("row_idx").agg(F.max_by("v", "seq").alias("row_v"))
+    by_domain = domain_verdicts(packed).groupBy("domain").agg(F.max_by("v", "seq").alias("dom_v"))
     crawled = results.where("coalesce(domain, '') <> ''").groupBy("domain").agg(
-        F.max_by("status", "seq").alias("_status"))
-    known = by_domain.join(crawled, "domain", "full").withColumnRenamed("domain", "_key")
+        F.max_by("status", order_value(results, "seq")).alias("status"))
+    known = by_domain.join(crawled, "domain", "full").withColumnRenamed("domain", "key")
 
     original = [c for c in leads.columns if c != "row_idx"]
     domain = normalize_domain(F.col(f"`{url_col}`"))
-    keyed = leads.withColumn("_domain", domain).withColumn("_key", F.when(
-        F.col("_domain") != "", F.col("_domain")).otherwise(
-        F.concat(F.lit("\x00"), F.col("row_idx").cast("string"))))
-    joined = keyed.join(by_row, "row_idx", "left").join(known, "_key", "left")
-    v = F.coalesce("_row_v", "_dom_v")
-    chosen = joined.select("row_idx", *[f"`{c}`" for c in original], "_status", v.alias("_v")) \
-        .withColumn("_assessed", F.col("_v").isNotNull())
+    keyed = leads.select("row_idx", domain.alias("host")).select("row_idx", F.when(
+        F.col("host") != "", F.col("host")).otherwise(F.concat(F.lit("\x00"), F.col("row_idx").cast("string"))).alias("key"))
+    told = keyed.join(known, "key", "left").select("row_idx", "dom_v", "status")
+    # The lead's own columns travel as one struct, so no name of theirs meets one of ours.
+    whole = leads.select("row_idx", F.struct(*[F.col(f"`{c}`") for c in original]).alias("lead")) \
+        if original else leads.select("row_idx", F.lit(None).alias("lead"))
+    chosen = whole.join(told, "row_idx").join(by_row, "row_idx", "left").select(
+        "row_idx", "lead", "status", F.coalesce("row_v", "dom_v").alias("v")).withColumn("assessed", F.col("v").isNotNull())
     default = {"fitment": "Unfit", "ranking": "3", "comments": "Not assessed",
                "source_tier": "none", "judge": "none"}
 
     def value(c: str) -> Column:
-        return F.when(F.col("_assessed"), F.col(f"_v.{c}")).otherwise(
-            F.lit(default.get(c)).cast("string"))
+        return F.when(F.col("assessed"), F.col(f"v.{c}")).otherwise(F.lit(default.get(c)).cast("string"))
 
     fitment, bad_fitment = coerce_fitment(value("fitment"))
     ranking, bad_ranking = coerce_ranking(value("ranking"))
     comments = F.left(strip(F.coalesce(value("comments"), F.lit(""))), F.lit(C.COMMENT_CHARS))
-    found = F.when(F.col("_assessed"), F.coalesce(
-        F.nullif(F.col("_v.crawl_status"), F.lit("")), F.nullif(F.col("_status"), F.lit("")), F.lit(""))) \
-        .otherwise(F.coalesce(F.nullif(F.col("_status"), F.lit("")), F.lit("not_crawled")))
+    found = F.when(F.col("assessed"), F.coalesce(
+        F.nullif(F.col("v.crawl_status"), F.lit("")), F.nullif(F.col("status"), F.lit("")), F.lit(""))) \
+        .otherwise(F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("not_crawled")))
     taken, appended = list(original), []
     for name, col in zip(NEW_COLUMNS if status else NEW_COLUMNS[:-1],
                          [fitment, ranking, comments, found]):
         free = unique_header(name, taken)
         taken.append(free)
         appended.append(col.alias(free))
-    return chosen.select(
-        "row_idx", *[f"`{c}`" for c in original], *appended,
-        F.coalesce(F.nullif(value("source_tier"), F.lit("")), F.lit("none")).alias("_tier"),
-        judge_of(value("judge"), value("source_tier")).alias("_judge"),
-        F.coalesce(F.col("_v.needs_review"), F.lit(False)).alias("_flagged"),
-        F.coalesce(F.col("_v.disagree"), F.lit(False)).alias("_disagree"), "_assessed",
-        bad_fitment.alias("_bad_fitment"), bad_ranking.alias("_bad_ranking"),
-        fitment.alias("_fitment"), ranking.alias("_ranking"), comments.alias("_comments"))
+    audit = {"tier": F.coalesce(F.nullif(value("source_tier"), F.lit("")), F.lit("none")),
+             "judge": judge_of(value("judge"), value("source_tier")),
+             "flagged": F.coalesce(F.col("v.needs_review"), F.lit(False)),
+             "disagree": F.coalesce(F.col("v.disagree"), F.lit(False)), "assessed": F.col("assessed"),
+             "bad_fitment": bad_fitment, "bad_ranking": bad_ranking,
+             "fitment": fitment, "ranking": ranking, "comments": comments}
+    mark = "_"
+    while any(f"{mark}{role}".lower() in {c.lower() for c in taken} for role in AUDIT):
+        mark += "_"
+    return chosen.select("row_idx", *[F.col("lead").getField(c).alias(c) for c in original], *appended,
+                         *[audit[role].alias(f"{mark}{role}", metadata={_ROLE: role}) for role in AUDIT])
 
 
 def qualified(merged: DataFrame) -> DataFrame:
     """The merged table as delivered: original columns and verdict columns."""
-    return merged.drop(*AUDIT)
+    return merged.drop(*[f"{c}" for c in audit_of(merged).values()])
+
+
+def malformed(merged: DataFrame) -> DataFrame:
+    """The rows behind the count of malformed verdicts: row_idx, what was wrong, and what stands there now."""
+    at = audit_of(merged)
+    return merged.where(F.col(at["bad_fitment"]) | F.col(at["bad_ranking"])).select(
+        "row_idx", F.col(at["bad_fitment"]).alias("bad_fitment"), F.col(at["bad_ranking"]).alias("bad_ranking"),
+        F.col(at["fitment"]).alias("fitment"), F.col(at["ranking"]).alias("ranking"), F.col(at["judge"]).alias("judge"))

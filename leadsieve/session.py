@@ -31,3 +31,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     _checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a narrow table into the shared checkpoint folder and read it from there, so that Spark knows its size."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

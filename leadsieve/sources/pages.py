@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from leadsieve.functions.domains import normalize_domain
 from leadsieve.functions.html import parse_html
+from leadsieve.operators.selection import fetch_rows
 from leadsieve.operators.sites import first_pages, page_order
+from leadsieve.session import stored
 
 
-#: What orders the pages of a domain; the first one is its homepage.
-ORDER = ["depth", "page_id"]
+#: What orders the pages of a domain and tells them apart, none of it null; the first one is its homepage.
+#: Pages without an id come after those of their depth that have one.
+ORDER = ["depth", "no_id", "place_id", "url"]
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
-    """(url, html, ...) with host and depth; pages with an unusable URL are dropped. Nothing is parsed."""
+    """(page_id, url, html, ...) with host, order columns and version; pages with an unusable URL are dropped.
+
+    Nothing is parsed. `version` orders repeated crawls of a page where the table has it.
+    """
     keyed = pages.withColumn("domain", normalize_domain(F.col("url"))).where("domain <> ''")
     status = F.col("http_status") if "http_status" in pages.columns else F.lit(200)
-    return keyed.withColumn("http_status", status).withColumn("depth", page_order(F.col("url")))
+    version = F.coalesce(F.col("version").cast("bigint"), F.lit(-(1 << 63))) if "version" in pages.columns else F.lit(0).cast("bigint")
+    none = F.lit(0).cast(pages.schema["page_id"].dataType)
+    return keyed.withColumns({"http_status": status, "depth": page_order(F.col("url")), "no_id": F.col("page_id").isNull(),
+                              "place_id": F.coalesce("page_id", none), "version": version})
 
 
 def ingest_pages(pages: DataFrame) -> DataFrame:
@@ -31,11 +40,17 @@ def ingest_pages(pages: DataFrame) -> DataFrame:
 def ingest_first_pages(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """The first pages of each (requested) domain, parsed.
 
-    They are chosen by narrow keys, so all other pages are neither parsed nor ranked with
-    their HTML.
+    They are chosen by narrow keys, which are stored: at most five a domain. All other pages are dropped where
+    they are scanned, so their HTML is neither shuffled nor parsed. Of a page that was crawled several times
+    (same id and URL) the latest version counts, of equal versions that whose HTML has the
+    smallest MD5.
     """
     keyed = page_keys(pages)
+    keys = keyed.select("domain", *ORDER)
     if requested is not None:
-        keyed = keyed.join(requested.select("domain").distinct(), "domain", "left_semi")
-    chosen = first_pages(keyed.select("domain", *ORDER), *ORDER)
-    return parse_html(keyed.join(chosen, ["domain", *ORDER], "left_semi")).drop("links")
+        keys = keys.join(requested.select("domain").distinct(), "domain", "left_semi")
+    chosen = stored(first_pages(keys.distinct(), *ORDER), "page-choice")
+    rows = fetch_rows(keyed, chosen, ["domain", *ORDER])
+    newest = Window.partitionBy("domain", *ORDER).orderBy(F.desc("version"), F.md5("html"))
+    once = rows.withColumn("_crawl", F.row_number().over(newest)).where("_crawl = 1").drop("_crawl")
+    return parse_html(once).drop("links")

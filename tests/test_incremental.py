@@ -2,28 +2,9 @@
 
 import pytest
 
-from leadsieve.plans.campaign import crawl_results
 from leadsieve.streaming.incremental import current_sites, incremental_pages
 
 
-def test_new_pages_rebuild_their_site_once(spark, tmp_path):
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
-    cut = pages.selectExpr("percentile(page_id, 0.5) p").first().p
-    pages.where(f"page_id <= {cut}").write.parquet(landing)
-    incremental_pages(spark, landing, out, f"{out}/progress")
-    half = {r.domain for r in current_sites(spark, out).collect()}
-    incremental_pages(spark, landing, out, f"{out}/progress")
-    assert len(list((tmp_path / "out" / "sites").glob("batch_id=*"))) == 1
-    pages.where(f"page_id > {cut}").write.mode("append").parquet(landing)
-    incremental_pages(spark, landing, out, f"{out}/progress")
-    assert len(list((tmp_path / "out" / "sites").glob("batch_id=*"))) == 2
-    columns = ["domain", "status", "gate_reason", "chars", "digest"]
-    got = sorted(tuple(r) for r in current_sites(spark, out).select(*columns).collect())
-    assert got == sorted(tuple(r) for r in crawl_results(pages).select(*columns).collect())
-    assert half < {g[0] for g in got} or half == {g[0] for g in got}
-
-
 def test_new_checkpoint_on_stored_sites_is_refused(spark, tmp_path):
     landing, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([(1, "https://a.com/", "<p>text</p>")], "page_id bigint, url string, html string") \

@@ -56,7 +56,7 @@ def test_leads_without_website_do_not_meet(spark):
                                      "comments string, crawl_status string, source_tier string, judge string")
     merged = V.merge_verdicts(leads, none, none.selectExpr("domain", "crawl_status status", "seq"), "Website")
     plan = merged._jdf.queryExecution().analyzed().toString()
-    assert re.search(r"cast\(row_idx#\d+L as string\)\) END AS _key", plan)
+    assert re.search(r"cast\(row_idx#\d+L as string\)\) END AS key", plan)
     assert merged.count() == 1000 and merged.where("_assessed").count() == 0
 
 

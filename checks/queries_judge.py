@@ -531,10 +531,10 @@ def _(spark, sf):
 
 @query("comment_sheet", f"""
 WITH {_DEC}, {_SAID}, {_DONE}, {context_sql()},
-begun AS (SELECT domain, min(seq) AS first_seq FROM decisions GROUP BY domain),
+begun AS (SELECT domain, min(coalesce(seq, -9223372036854775808)) AS first_seq FROM decisions GROUP BY domain),
 open AS (SELECT dec.* FROM dec JOIN begun USING (domain)
   WHERE domain NOT IN (SELECT domain FROM comments) AND domain NOT IN (SELECT domain FROM done)
-  ORDER BY first_seq LIMIT 25)
+  ORDER BY first_seq, domain LIMIT 25)
 SELECT o.domain, o.seq, fitment || ' / ' || ranking AS verdict, why, '' AS disqualifier, 'text of ' || found_fit AS fit,
   '' AS anti_fit, 'text of ' || found_mom AS momentum, note AS review, r.source_tier, r.chars, r.digest, x.context
 FROM open o LEFT JOIN results r USING (domain) LEFT JOIN contexts x USING (domain)""")

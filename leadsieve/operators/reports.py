@@ -211,7 +211,7 @@ def comment_sheet(decisions: DataFrame, comments: DataFrame, sites: DataFrame,
 
     Domains come in the order of their first decision; what the sheet shows is the latest.
     """
-    first = decisions.groupBy("domain").agg(F.min("seq").alias("_first"))
+    first = decisions.groupBy("domain").agg(F.min(F.coalesce(F.col("seq").cast("bigint"), F.lit(LOWEST))).alias("_first"))
     open_decisions = latest_stored(decisions, "domain").join(first, "domain") \
         .join(comments.select("domain"), "domain", "left_anti") \
         .join(domain_verdicts(verdicts).select("domain"), "domain", "left_anti")

@@ -67,25 +67,33 @@ def latest_stored(log: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     return placed.join(newest, [key, "_at"], "left_semi").drop("_at").distinct()
 
 
-def may_hold(wide: DataFrame, keys: DataFrame, on: list[str], filter_bytes: int = FILTER_BYTES) -> DataFrame:
-    """The rows of a wide table whose key columns, none null, are in `keys`, a stored narrow table, and a few others.
+def with_maybe(wide: DataFrame, keys: DataFrame, on: list[str], name: str, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """A wide table with a column that is false only for rows whose key columns, none null, are not in `keys`.
 
-    A Bloom filter of the keys (16 bits each) drops nearly all other rows where they are scanned, so the
-    bytes that a join shuffles follow the rows that match. It is sent to all tasks, so it is only
-    made where it holds `filter_bytes` at most; beyond that all rows stay.
+    `keys` is a stored narrow table. A Bloom filter of the keys (16 bits each) tells nearly all other rows where
+    they are scanned. It is sent to all tasks, so it is only made where it holds `filter_bytes` at
+    most; beyond that the column is true.
     """
     bits = 1 << max(15, (16 * max(1, keys.count()) - 1).bit_length())
     if bits // 8 > filter_bytes:
-        return wide
+        return wide.withColumn(name, F.lit(True))
     at = F.xxhash64(*on).bitwiseAND(F.lit(bits - 1))
     spots = keys.select(at.alias("_h")).selectExpr(
         "_h >> 15 AS _leaf", "(_h >> 6) & 511 AS _word", "shiftleft(1L, CAST(_h & 63 AS INT)) AS _bit")
     words = spots.groupBy("_leaf", "_word").agg(F.bit_or("_bit").alias("_bits"))
     leaves = words.groupBy("_leaf").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_map")) \
         .selectExpr("_leaf", "transform(sequence(0L, 511L), w -> coalesce(_map[w], 0L)) AS _words")  # 4 KiB each
-    hit = F.expr("_leaf = _h >> 15 AND (element_at(_words, CAST((_h >> 6) & 511 AS INT) + 1) "
-                 "& shiftleft(1L, CAST(_h & 63 AS INT))) <> 0")
-    return wide.withColumn("_h", at).join(F.broadcast(leaves), hit, "left_semi").drop("_h")
+    hit = F.expr("coalesce((element_at(_words, CAST((_h >> 6) & 511 AS INT) + 1) & shiftleft(1L, CAST(_h & 63 AS INT))) <> 0, false)")
+    return wide.withColumn("_h", at).join(F.broadcast(leaves), F.expr("_leaf = _h >> 15"), "left") \
+        .withColumn(name, hit).drop("_h", "_leaf", "_words")
+
+
+def may_hold(wide: DataFrame, keys: DataFrame, on: list[str], filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """The rows of a wide table whose key is in `keys`, and a few others; see `with_maybe`.
+
+    So the bytes that a join shuffles after it follow the rows that match.
+    """
+    return with_maybe(wide, keys, on, "_maybe", filter_bytes).where("_maybe").drop("_maybe")
 
 
 def fetch_rows(wide: DataFrame, keys: DataFrame, on: list[str], filter_bytes: int = FILTER_BYTES) -> DataFrame:

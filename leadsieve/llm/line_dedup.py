@@ -1,11 +1,14 @@
 """Deletion of repeated runs of lines, by a suffix array over line IDs built with prefix doubling; DataFrame functions only.
 
-The suffixes are those of all documents' line sequences. Rank 0 orders them by their first line; a round joins each
-suffix's rank with the rank of the suffix as many lines further on, sorts the pairs in ranges, and so orders suffixes by
-twice as many lines. Suffixes alone in their rank share nothing and leave; what stays shrinks from the first round on. At
-the depth asked, suffixes of one rank form an interval of the suffix array whose longest common prefix is at least that
-long. Of each interval the first suffix in document order keeps its lines; the others' lines go. Overlapping hits
-together are the maximal repeated runs.
+The suffixes are those of all documents' line sequences, each known by its place: the document's number in order and the
+line's in the document. Rank 0 orders them by their first line; a round joins each suffix's rank with the rank of the
+suffix as many lines further on, sorts the pairs in ranges, and so orders suffixes by twice as many lines. Suffixes alone
+in their rank share nothing and leave; rounds go on until no rank is shared. At each depth, suffixes of one rank are an
+interval of the suffix array whose longest common prefix is at least that long. Neighbouring suffixes of a document whose
+intervals begin at neighbouring places are one repeated run, as long as it can be: from the first of them to the last line
+that the last of them shares. A run that has enough words goes, unless it is the first.
+
+Documents without such a run pass by: a filter of the others' numbers tells them at the scan, and their texts stay there.
 """
 
 from __future__ import annotations
@@ -14,75 +17,110 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadsieve.llm.common import staged, whole
-
-#: Lines that make a run, and words that make a single line one.
-RUN_LINES = 2
-LONG_WORDS = 8
-PLACE = ("no_id", "doc_id", "row", "pos")
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, row, pos, id (128 bits) and words of every line."""
-    return (docs.select("doc_id", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-            .select("doc_id", "row", "pos", F.unhex(F.md5("line")).alias("id"),
-                    (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("words")))
-
-
-def _shared(suffixes: DataFrame, *key: str) -> DataFrame:
-    """Suffixes whose key another suffix has too, with rank (in order of the key) and first (the earliest place)."""
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
-    twice = suffixes.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
-    # Sorted in ranges, the numbers of rows grow in order of the key.
-    ranks = staged(twice.repartitionByRange(*key).sortWithinPartitions(*key).select(
-        *key, "first", F.monotonically_increasing_id().alias("rank")), "ranks")
-    return suffixes.join(ranks, list(key))
-
-
-def _ahead(suffixes: DataFrame, lines: int) -> DataFrame:
-    """Suffixes that go on with a shared one so many lines further on, with its rank as beyond."""
-    order = Window.partitionBy("row").orderBy("pos")
-    ahead = suffixes.withColumns({"beyond": F.lead("rank", lines).over(order), "at": F.lead("pos", lines).over(order)})
-    return ahead.filter(F.col("at") == F.col("pos") + lines).drop("at", "first")
-
-
-def intervals(lines: DataFrame, depth: int) -> DataFrame:
-    """Suffixes (doc_id, row, pos) whose first `depth` lines occur more than once: rank of the interval, and first."""
-    narrow = lines.select("doc_id", "row", "pos", "id")
-    often = narrow.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-    suffixes = staged(_shared(staged(narrow.join(often, "id"), "repeated"), "id").drop("id"), "suffixes")
-    known = 1
-    while known < depth:
-        step = min(known, depth - known)  # the last round may overlap
-        pairs = _ahead(suffixes, step).withColumnRenamed("rank", "own")
-        suffixes = staged(_shared(pairs, "own", "beyond").drop("own", "beyond"), "suffixes")
-        known += step
-    return suffixes
-
-
-def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run_lines: int = RUN_LINES,
-                      long_words: int = LONG_WORDS) -> DataFrame:
+from leadsieve.operators.selection import spread_join, with_maybe, with_row_index
+
+#: Words of a run.
+RUN_WORDS = 8
+#: A place is the document's number times this, and the number of the line.
+LINES = 1 << 30
+SUFFIX = ("place", "before", "upto")
+
+
+def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text, doc: the documents in order of id, null ids last, rows with one id in order of the table."""
+    own = staged(docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"),
+                             F.monotonically_increasing_id().alias("row")), "texts")
+    order = own.select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    numbers = staged(with_row_index(order, "no_id", "doc_id", "row", name="doc").select("row", "doc"), "order")
+    return own.join(numbers, "row").select("doc", "doc_id", "text")
+
+
+def _lines(texts: DataFrame) -> DataFrame:
+    """place, id (128 bits) and words of every line."""
+    line = F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
+    words = F.when(F.col("line") == "", 0).otherwise(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return texts.select("doc", line).select((F.col("doc") * LINES + F.col("pos")).alias("place"),
+                                            F.unhex(F.md5("line")).alias("id"), words.alias("words"))
+
+
+def _shared(suffixes: DataFrame, key: F.Column, *order: str) -> DataFrame:
+    """Suffixes whose order columns another suffix has too, with rank (in that order) and first (the earliest place)."""
+    twice = suffixes.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1")
+    # Sorted in ranges, the numbers of rows grow in that order.
+    ranks = staged(twice.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        key.alias("class"), "first", F.monotonically_increasing_id().alias("rank")), "ranks")
+    # One line may be a third of all: its suffixes are dealt over many tasks.
+    return spread_join(suffixes.select(*SUFFIX, key.alias("class")), ranks, "class", "place").drop("class")
+
+
+def _doubled(suffixes: DataFrame, lines: int) -> DataFrame:
+    """Suffixes that go on with a shared one so many lines further on, with its rank as beyond. Places are unique."""
+    ahead = suffixes.select((F.col("place") - lines).alias("place"), F.col("rank").alias("beyond"), F.col("upto").alias("later"))
+    return suffixes.withColumnRenamed("rank", "own").join(ahead, "place").select(
+        "place", "before", F.col("later").alias("upto"), "own", "beyond")
+
+
+def _runs(suffixes: DataFrame, lines: int, run_words: int) -> DataFrame:
+    """doc, begin, end (line numbers, end excluded) of the runs that go."""
+    later = suffixes.filter("place > first").withColumns(
+        {"doc": F.floor(F.col("place") / LINES), "back": F.col("place") - F.col("first")})
+    order = Window.partitionBy("doc", "back").orderBy("place")
+    runs = later.withColumn("run", F.col("place") - F.row_number().over(order)).groupBy("doc", "back", "run").agg(
+        F.min("place").alias("begin"), (F.max("place") + lines).alias("end"), (F.max("upto") - F.min("before")).alias("words"))
+    return runs.filter(F.col("words") >= run_words).select(
+        "doc", (F.col("begin") % LINES).cast("int").alias("begin"), (F.col("end") - F.col("doc") * LINES).cast("int").alias("end"))
+
+
+def repeated_runs(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """doc and gone: the parts of its lines that repeat earlier ones, as (begin, end) in order, apart from each other."""
+    often = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("class"))
+    repeated = spread_join(lines.withColumnRenamed("id", "class"), staged(often, "often"), "class", "place")
+    # Words before a line and up to its end, counted over the document's repeated lines: those of a run are all among them.
+    so_far = Window.partitionBy(F.floor(F.col("place") / LINES)).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    counted = repeated.withColumn("upto", F.sum("words").over(so_far)).withColumn("before", F.col("upto") - F.col("words"))
+    suffixes = staged(_shared(counted.withColumnRenamed("class", "id"), F.col("id"), "id"), "suffixes")
+    found, depth = [staged(_runs(suffixes, 1, run_words), "runs")], 1
+    while True:
+        pairs = staged(_doubled(suffixes, depth), "pairs")
+        suffixes = staged(_shared(pairs, F.struct("own", "beyond"), "own", "beyond"), "suffixes")
+        if suffixes.isEmpty():
+            break
+        depth *= 2
+        found.append(staged(_runs(suffixes, depth, run_words), "runs"))
+    runs = found[0]
+    for more in found[1:]:
+        runs = runs.union(more)
+    order = Window.partitionBy("doc").orderBy("begin", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    parts = runs.distinct().withColumn("fresh", F.when(F.col("begin") <= reached, 0).otherwise(1))
+    parts = parts.withColumn("part", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.groupBy("doc", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("gone"))  # of one document
+
+
+def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_deleted, text (what stays).
 
-    A line goes if it belongs to run_lines lines in a row that occur earlier too (in a document of smaller id, or further
-    up), or if it has long_words words at least and occurs earlier. The first occurrence of a line always stays. Documents
-    come in order of id, null ids last; rows with one id in order of the table, which must give the same rows in the same
-    order when read again, as files do. Null text is empty text, one line; empty lines count as lines, without words to
-    delete them by. Columns besides the two are ignored. An empty table gives no rows.
+    A line goes if it belongs to a run of lines that occurs earlier too (in a document of smaller id, or further up) and
+    has run_words words at least. Runs are found at every depth of a power of two: neighbouring suffixes, each of which
+    shares so many lines with an earlier one, and whose first occurrences are neighbours as well. The first occurrence of
+    a run always stays. Documents come in order of id, null ids last; rows with one id in order of the table. Null text is
+    empty text, one line; empty lines count as lines, with no words. Repeated rows are repeated lines. Columns besides
+    the two are ignored. An empty table gives no rows.
     """
-    own = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"),
-                      F.monotonically_increasing_id().alias("row"))
-    lines = staged(_lines(own), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
-    runs = (intervals(lines, run_lines).filter(place != F.col("first"))
-            .select("row", F.explode(F.sequence(F.col("pos"), F.col("pos") + run_lines - 1)).alias("pos")))
-    alone = intervals(lines.filter(F.col("words") >= long_words), 1).filter(place != F.col("first")).select("row", "pos")
-    gone = runs.union(alone).groupBy("row").agg(F.array_sort(F.collect_set("pos")).alias("gone"))  # of one document
-    joined = own.join(gone, "row", "left").select("doc_id", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"),
-                                                  F.split("text", "\n", -1).alias("lines"))
-    # What stays lies between deleted lines; so each line is copied once.
-    begin = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
-    end = F.concat("gone", F.array(F.size("lines")))
+    texts = staged(_numbered(docs, doc_id, text), "documents")
+    gone = staged(repeated_runs(_lines(texts), run_words), "gone")
+    told = with_maybe(texts, gone, ["doc"], "cut")
+    size = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    whole_ones = told.filter("not cut").select("doc_id", size.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), "text")
+    parts = told.filter("cut").join(gone, "doc", "left").select(
+        "doc_id", F.coalesce("gone", F.array().cast("array<struct<begin:int,end:int>>")).alias("gone"), F.split("text", "\n", -1).alias("lines"))
+    # What stays lies between the parts that go; so each line is copied once.
+    begin = F.concat(F.array(F.lit(0)), F.col("gone.end"))
+    end = F.concat(F.col("gone.begin"), F.array(F.size("lines")))
     spans = F.filter(F.zip_with(begin, end, lambda a, b: F.struct(a.alias("at"), (b - a).alias("n"))), lambda s: s["n"] > 0)
     kept = F.flatten(F.transform(spans, lambda s: F.slice("lines", s["at"] + 1, s["n"])))
-    return joined.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
-                         F.size("gone").cast("long").alias("n_deleted"), F.array_join(kept, "\n").alias("text"))
+    lost = F.aggregate("gone", F.lit(0), lambda n, g: n + g["end"] - g["begin"])
+    cut = parts.select("doc_id", F.size("lines").cast("long").alias("n_lines"), lost.cast("long").alias("n_deleted"),
+                       F.array_join(kept, "\n").alias("text"))
+    return whole_ones.union(cut)

@@ -31,16 +31,23 @@ def op4_line_dedup(spark, sf):
 
 
 oracle("op4_line_dedup", """
-WITH l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
-    n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS follows FROM l),
-    h AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 >= 8
-            AND row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS copied,
-        follows IS NOT NULL AND row_number() OVER (PARTITION BY line, follows ORDER BY doc_id, pos) > 1 AS begins FROM n),
-    g AS (SELECT *, copied OR begins OR coalesce(lag(begins) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM h)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
-    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
-FROM g GROUP BY doc_id
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT doc_id, lines, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM t),
+    n AS (SELECT doc_id, pos, line, sum(CASE WHEN line = '' THEN 0 ELSE length(line) - length(replace(line, ' ', '')) + 1 END)
+        OVER (PARTITION BY doc_id ORDER BY pos) AS words FROM l),
+    s AS (SELECT doc_id, pos, 1 << k AS size, md5(array_to_string(lines[pos:pos + (1 << k) - 1], chr(10))) AS start
+        FROM l, (SELECT unnest(range(0, 20)) AS k) WHERE pos + (1 << k) - 1 <= len(lines)),
+    f AS (SELECT *, first_value(doc_id) OVER w AS f_id, first_value(pos) OVER w AS f_pos FROM s
+        WINDOW w AS (PARTITION BY size, start ORDER BY doc_id, pos)),
+    g AS (SELECT *, pos - row_number() OVER (PARTITION BY size, doc_id, f_id, pos - f_pos ORDER BY pos) AS run FROM f
+        WHERE (f_id, f_pos) <> (doc_id, pos)),
+    r AS (SELECT doc_id, min(pos) AS a, max(pos) + size - 1 AS b FROM g GROUP BY size, doc_id, f_id, pos - f_pos, run),
+    m AS (SELECT r.*, y.words - coalesce(x.words, 0) AS words FROM r JOIN n y ON y.doc_id = r.doc_id AND y.pos = r.b
+        LEFT JOIN n x ON x.doc_id = r.doc_id AND x.pos = r.a - 1),
+    d AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM m WHERE words >= 8)
+SELECT n.doc_id, count(*) AS n_lines, count(d.pos) AS n_deleted,
+    coalesce(string_agg(line, chr(10) ORDER BY n.pos) FILTER (d.pos IS NULL), '') AS text
+FROM n LEFT JOIN d ON d.doc_id = n.doc_id AND d.pos = n.pos GROUP BY n.doc_id
 """)
 
 

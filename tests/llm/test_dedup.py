@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -89,30 +90,56 @@ def test_components_of_a_chain(spark):
     assert got == {k: 0 for k in range(41)} | {100: 100, 200: 200, 201: 200}
 
 
-def lines_left(rows, run, words):
-    """Brute force: each run of lines and each long line after its first occurrence goes."""
+def lines_left(rows, words):
+    """Brute force: at every depth, windows seen earlier; neighbours whose first occurrences are neighbours are one run."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
-    seen, singles, out = set(), set(), {}
-    for k in order:
-        lines = (rows[k][1] or "").split("\n")
-        gone = set()
-        for p, line in enumerate(lines):
-            window = tuple(lines[p:p + run])
-            if len(window) == run:
-                if window in seen:
-                    gone |= set(range(p, p + run))
-                seen.add(window)
-            if line.count(" ") + 1 >= words:
-                if line in singles:
-                    gone.add(p)
-                singles.add(line)
-        out[k] = (len(lines), len(gone), "\n".join(x for p, x in enumerate(lines) if p not in gone))
-    return Counter((rows[k][0], *out[k]) for k in out)
-
-
-@pytest.mark.parametrize("run, words", [(2, 8), (3, 100), (5, 4)])
-def test_lines_that_stay(spark, run, words):
-    rows = ROWS + [(20 + k, "\n".join(f"line {j}" for j in range(k, k + 9)), None) for k in range(5)]
-    got = line_dedup.deduplicate_lines(documents(spark, rows).coalesce(1), run_lines=run, long_words=words).collect()
-    assert Counter((r.doc_id, r.n_lines, r.n_deleted, r.text) for r in got) == lines_left(rows, run, words)
+    texts = {k: (rows[k][1] or "").split("\n") for k in order}
+    gone = {k: set() for k in order}
+    depth = 1
+    while depth <= max(map(len, texts.values())):
+        first, later = {}, {}
+        for k in order:
+            for p in range(len(texts[k]) - depth + 1):
+                at = first.setdefault(tuple(texts[k][p:p + depth]), (k, p))
+                if at != (k, p):
+                    later[k, p] = at
+        for (k, p), (j, q) in later.items():
+            if later.get((k, p - 1)) != (j, q - 1):
+                end = p
+                while later.get((k, end + 1)) == (j, q + end + 1 - p):
+                    end += 1
+                run = range(p, end + depth)
+                if sum(len(texts[k][i].split(" ")) for i in run if texts[k][i]) >= words:
+                    gone[k] |= set(run)
+        depth *= 2
+    return Counter((rows[k][0], len(t), len(gone[k]), "\n".join(x for p, x in enumerate(t) if p not in gone[k]))
+                   for k, t in texts.items())
+
+
+def copied_runs(seed):
+    """Runs of 2 to 50 lines copied into other documents, some of them cut or with a line changed."""
+    rng = random.Random(seed)
+    source = [" ".join(rng.choice(["red", "blue", "tree", "stone"]) + str(rng.randrange(60)) for _ in range(rng.randrange(0, 5)))
+              for _ in range(160)]
+    rows = [(20, "\n".join(source), None)]
+    for k in range(14):
+        size = rng.randrange(2, 51)
+        at = rng.randrange(0, 160 - size)
+        part = source[at:at + size]
+        if k % 4 == 3:
+            part[size // 2] = f"changed {k}"
+        own = [f"own line {k} {j}" for j in range(rng.randrange(0, 9))]
+        rows.append((rng.choice([None, 21 + k, 3]), "\n".join(own + part + ["end"]), None))
+    return rows
+
+
+@pytest.mark.parametrize("words, seed", [(8, 1), (1, 2), (40, 3)])
+def test_lines_that_stay(spark, words, seed):
+    rows = ROWS + [(20 + k, "\n".join(f"line {j}" for j in range(k, k + 9)), None) for k in range(5)] + copied_runs(seed)
+    rows += [(60, "again and again\n" * 40, None), (61, "\n" * 30, None)]
+    got = line_dedup.deduplicate_lines(documents(spark, rows).coalesce(1), run_words=words).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_deleted, r.text) for r in got) == lines_left(rows, words)
+
+
+def test_lines_of_an_empty_table(spark):
     assert line_dedup.deduplicate_lines(empty(spark)).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 #: Order values of these types fit into hash aggregates; nulls come below all of them.
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
@@ -101,21 +101,27 @@ def fetch_rows(wide: DataFrame, keys: DataFrame, on: list[str], filter_bytes: in
     return may_hold(wide, keys, on, filter_bytes).join(keys.select(*on), on, "left_semi")
 
 
-def spread_join(wide: DataFrame, owners: DataFrame, key: str, by: str) -> DataFrame:
+def spread_join(wide: DataFrame, owners: DataFrame, key: str, by: str, rows: str | None = None) -> DataFrame:
     """Join a wide table to owners, one row per key, however many rows one key has.
 
-    Keys with more rows than a task's even share are found by a narrow count; there are at most as many as tasks.
-    Their rows are dealt over salts by a hash of `by`, and their owner is repeated for each salt.
+    Keys with more rows than a task's even share are found by a narrow count, or from the owners' column `rows`
+    that tells how many there are; fewer keys than tasks can be so large. Their rows are dealt over
+    salts by a hash of `by`, and their owner is repeated for each salt.
     """
     tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = wide.groupBy(key).agg(F.count("*").alias("_n"))
+    counts = owners.select(key, F.col(rows).alias("_n")) if rows else wide.groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
-    found = counts.where(F.col("_n") * tasks > total).select(key, F.ceil(F.col("_n") * 2 * tasks / F.lit(total)).cast("int"))
-    hot = F.broadcast(wide.sparkSession.createDataFrame(found.collect() if total else [],  # fewer than tasks
-                                                        f"`{key}` {wide.schema[key].dataType.simpleString()}, _salts int"))
-    salts = F.coalesce("_salts", F.lit(1))
-    dealt = wide.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(by), salts).cast("int")).drop("_salts")
-    repeated = owners.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    hot = counts.where(F.col("_n") * tasks > total).collect() if total else []
+
+    def literal(value) -> Column:
+        return F.struct(*[F.lit(v).alias(c) for c, v in value.asDict().items()]) if isinstance(value, Row) else F.lit(value)
+
+    salts = F.lit(1)
+    if hot:
+        pairs = [c for r in hot for c in (literal(bytes(r[0]) if isinstance(r[0], bytearray) else r[0]), F.lit(-(-2 * tasks * r[1] // total)))]
+        salts = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.lit(1)).cast("int")
+    dealt = wide.withColumn("_salt", F.pmod(F.xxhash64(by), salts).cast("int"))
+    repeated = (owners.drop(rows) if rows else owners).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return dealt.join(repeated, [key, "_salt"]).drop("_salt")
 
 

@@ -8,7 +8,8 @@ interval of the suffix array whose longest common prefix is at least that long.
 intervals begin at neighbouring places are one repeated run, as long as it can be: from the first of them to the last line
 that the last of them shares. A run that has enough words goes, unless it is the first.
 
-Documents without such a run pass by: a filter of the others' numbers tells them at the scan, and their texts stay there.
+A document equal to an earlier one is a run as a whole and has no suffixes. Documents without such a run pass by: a filter
+of the others' numbers tells them at the scan, and their texts stay there.
 """
 
 from __future__ import annotations
@@ -16,31 +17,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadsieve.llm.common import staged, whole
+from leadsieve.llm.common import fingerprint, staged, whole
 from leadsieve.operators.selection import spread_join, with_maybe, with_row_index
 
 #: Words of a run.
 RUN_WORDS = 8
 #: A place is the document's number times this, and the number of the line.
 LINES = 1 << 30
-SUFFIX = ("place", "before", "upto")
 
 
-def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text, doc: the documents in order of id, null ids last, rows with one id in order of the table."""
-    own = staged(docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"),
-                             F.monotonically_increasing_id().alias("row")), "texts")
-    order = own.select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    numbers = staged(with_row_index(order, "no_id", "doc_id", "row", name="doc").select("row", "doc"), "order")
-    return own.join(numbers, "row").select("doc", "doc_id", "text")
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """row, doc_id, text, print, n_lines, words of every document."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    blanks = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
+    filled = F.length(F.regexp_replace("text", r"[^\n]+", "x")) - breaks  # lines that aren't empty
+    return staged(own.select("row", "doc_id", "text", fingerprint("text").alias("print"), (breaks + 1).cast("long").alias("n_lines"),
+                             (blanks + filled).alias("words")), "texts")
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    """place, id (128 bits) and words of every line."""
+def _numbered(texts: DataFrame) -> DataFrame:
+    """row, doc (the number in order of id, null ids last, rows with one id in order of the table), copy (of an earlier text)."""
+    order = texts.select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "print")
+    numbers = staged(with_row_index(order, "no_id", "doc_id", "row", name="doc").select("row", "doc", "print"), "numbers")
+    firsts = staged(numbers.groupBy("print").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    return staged(spread_join(numbers, firsts, "print", "row", "n").select(
+        "row", "doc", (F.col("doc") > F.col("first")).alias("copy")), "order")
+
+
+def _repeated(texts: DataFrame, order: DataFrame) -> DataFrame:
+    """place, id (128 bits) and words of the lines that repeat, but for those of whole copies."""
     line = F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
     words = F.when(F.col("line") == "", 0).otherwise(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    return texts.select("doc", line).select((F.col("doc") * LINES + F.col("pos")).alias("place"),
-                                            F.unhex(F.md5("line")).alias("id"), words.alias("words"))
+    lines = texts.select("row", line).select("row", "pos", F.unhex(F.md5("line")).alias("id"), words.alias("words"))
+    often = staged(lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
+    known = spread_join(with_maybe(lines, often, ["id"], "maybe").filter("maybe"), often, "id", "pos", "n")
+    return known.join(order.filter("not copy"), "row").select((F.col("doc") * LINES + F.col("pos")).alias("place"), "id", "words")
 
 
 def _shared(suffixes: DataFrame, key: F.Column, *order: str) -> DataFrame:
@@ -48,53 +60,51 @@ def _shared(suffixes: DataFrame, key: F.Column, *order: str) -> DataFrame:
     twice = suffixes.groupBy(*order).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1")
     # Sorted in ranges, the numbers of rows grow in that order.
     ranks = staged(twice.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        key.alias("class"), "first", F.monotonically_increasing_id().alias("rank")), "ranks")
+        key.alias("class"), "n", "first", F.monotonically_increasing_id().alias("rank")), "ranks")
     # One line may be a third of all: its suffixes are dealt over many tasks.
-    return spread_join(suffixes.select(*SUFFIX, key.alias("class")), ranks, "class", "place").drop("class")
+    return spread_join(suffixes.select("place", key.alias("class")), ranks, "class", "place", "n").select("place", "rank", "first")
 
 
 def _doubled(suffixes: DataFrame, lines: int) -> DataFrame:
     """Suffixes that go on with a shared one so many lines further on, with its rank as beyond. Places are unique."""
-    ahead = suffixes.select((F.col("place") - lines).alias("place"), F.col("rank").alias("beyond"), F.col("upto").alias("later"))
-    return suffixes.withColumnRenamed("rank", "own").join(ahead, "place").select(
-        "place", "before", F.col("later").alias("upto"), "own", "beyond")
+    ahead = suffixes.select((F.col("place") - lines).alias("place"), F.col("rank").alias("beyond"))
+    return suffixes.select("place", F.col("rank").alias("own")).join(ahead, "place")
 
 
-def _runs(suffixes: DataFrame, lines: int, run_words: int) -> DataFrame:
-    """doc, begin, end (line numbers, end excluded) of the runs that go."""
+def _runs(suffixes: DataFrame, lines: int) -> DataFrame:
+    """begin, end (places, end excluded) of the runs that occur earlier."""
     later = suffixes.filter("place > first").withColumns(
         {"doc": F.floor(F.col("place") / LINES), "back": F.col("place") - F.col("first")})
     order = Window.partitionBy("doc", "back").orderBy("place")
-    runs = later.withColumn("run", F.col("place") - F.row_number().over(order)).groupBy("doc", "back", "run").agg(
-        F.min("place").alias("begin"), (F.max("place") + lines).alias("end"), (F.max("upto") - F.min("before")).alias("words"))
-    return runs.filter(F.col("words") >= run_words).select(
-        "doc", (F.col("begin") % LINES).cast("int").alias("begin"), (F.col("end") - F.col("doc") * LINES).cast("int").alias("end"))
+    return later.withColumn("run", F.col("place") - F.row_number().over(order)).groupBy("doc", "back", "run").agg(
+        F.min("place").alias("begin"), (F.max("place") + lines).alias("end")).select("begin", "end")
 
 
 def repeated_runs(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """doc and gone: the parts of its lines that repeat earlier ones, as (begin, end) in order, apart from each other."""
-    often = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("class"))
-    repeated = spread_join(lines.withColumnRenamed("id", "class"), staged(often, "often"), "class", "place")
-    # Words before a line and up to its end, counted over the document's repeated lines: those of a run are all among them.
-    so_far = Window.partitionBy(F.floor(F.col("place") / LINES)).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    counted = repeated.withColumn("upto", F.sum("words").over(so_far)).withColumn("before", F.col("upto") - F.col("words"))
-    suffixes = staged(_shared(counted.withColumnRenamed("class", "id"), F.col("id"), "id"), "suffixes")
-    found, depth = [staged(_runs(suffixes, 1, run_words), "runs")], 1
+    lines = staged(lines, "lines")
+    suffixes = staged(_shared(lines, F.col("id"), "id"), "suffixes")
+    runs, depth = _runs(suffixes, 1), 1
     while True:
         pairs = staged(_doubled(suffixes, depth), "pairs")
         suffixes = staged(_shared(pairs, F.struct("own", "beyond"), "own", "beyond"), "suffixes")
         if suffixes.isEmpty():
             break
         depth *= 2
-        found.append(staged(_runs(suffixes, depth, run_words), "runs"))
-    runs = found[0]
-    for more in found[1:]:
-        runs = runs.union(more)
+        runs = runs.union(_runs(suffixes, depth))
+    # Words of a document's repeated lines up to each one; those of a run are all among them.
+    so_far = Window.partitionBy(F.floor(F.col("place") / LINES)).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    upto = lines.select("place", F.sum("words").over(so_far).alias("upto"), "words")
+    begins = upto.select(F.col("place").alias("begin"), (F.col("upto") - F.col("words")).alias("before"))
+    ends = upto.select((F.col("place") + 1).alias("end"), "upto")
+    fit = runs.distinct().join(begins, "begin").join(ends, "end").filter(F.col("upto") - F.col("before") >= run_words).select(
+        F.floor(F.col("begin") / LINES).alias("doc"), "begin", "end")
     order = Window.partitionBy("doc").orderBy("begin", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    parts = runs.distinct().withColumn("fresh", F.when(F.col("begin") <= reached, 0).otherwise(1))
+    parts = fit.withColumn("fresh", F.when(F.col("begin") <= reached, 0).otherwise(1))
     parts = parts.withColumn("part", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return parts.groupBy("doc", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).groupBy("doc").agg(
+    line = lambda place: (place - F.col("doc") * LINES).cast("int")
+    return parts.groupBy("doc", "part").agg(line(F.min("begin")).alias("begin"), line(F.max("end")).alias("end")).groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("gone"))  # of one document
 
 
@@ -103,24 +113,29 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     A line goes if it belongs to a run of lines that occurs earlier too (in a document of smaller id, or further up) and
     has run_words words at least. Runs are found at every depth of a power of two: neighbouring suffixes, each of which
-    shares so many lines with an earlier one, and whose first occurrences are neighbours as well. The first occurrence of
-    a run always stays. Documents come in order of id, null ids last; rows with one id in order of the table. Null text is
-    empty text, one line; empty lines count as lines, with no words. Repeated rows are repeated lines. Columns besides
-    the two are ignored. An empty table gives no rows.
+    shares so many lines with an earlier one, and whose first occurrences are neighbours as well; a document equal to an
+    earlier one is a run as a whole. The first occurrence of a run always stays. Documents come in order of id, null ids
+    last; rows with one id in order of the table. Null text is empty text, one line; empty lines count as lines, with no
+    words. Repeated rows are whole copies. Columns besides the two are ignored. An empty table gives no rows.
     """
-    texts = staged(_numbered(docs, doc_id, text), "documents")
-    gone = staged(repeated_runs(_lines(texts), run_words), "gone")
-    told = with_maybe(texts, gone, ["doc"], "cut")
-    size = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    whole_ones = told.filter("not cut").select("doc_id", size.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), "text")
-    parts = told.filter("cut").join(gone, "doc", "left").select(
-        "doc_id", F.coalesce("gone", F.array().cast("array<struct<begin:int,end:int>>")).alias("gone"), F.split("text", "\n", -1).alias("lines"))
+    texts = _texts(docs, doc_id, text)
+    order = _numbered(texts)
+    gone = staged(repeated_runs(_repeated(texts, order), run_words).join(order, "doc").select("row", "gone"), "gone")
+    copies = staged(order.filter("copy").join(texts.filter(F.col("words") >= run_words).select("row"), "row").select("row"), "copies")
+    told = with_maybe(with_maybe(texts, gone, ["row"], "cut"), copies, ["row"], "copied")
+    no_lines, none = F.lit(0).cast("long").alias("n_deleted"), F.array().cast("array<struct<begin:int,end:int>>")
+    # Of a whole copy no text is needed.
+    empty = texts.select("row", "doc_id", "n_lines").join(copies, "row", "left_semi").select(
+        "doc_id", "n_lines", F.col("n_lines").alias("n_deleted"), F.lit("").alias("text"))
+    stay = told.filter("not cut and not copied").select("doc_id", "n_lines", no_lines, "text")
+    rest = told.filter("copied").join(copies, "row", "left_anti").union(told.filter("cut and not copied"))
+    parts = rest.join(gone, "row", "left").select("doc_id", "n_lines", F.coalesce("gone", none).alias("gone"),
+                                                  F.split("text", "\n", -1).alias("lines"))
     # What stays lies between the parts that go; so each line is copied once.
     begin = F.concat(F.array(F.lit(0)), F.col("gone.end"))
     end = F.concat(F.col("gone.begin"), F.array(F.size("lines")))
     spans = F.filter(F.zip_with(begin, end, lambda a, b: F.struct(a.alias("at"), (b - a).alias("n"))), lambda s: s["n"] > 0)
     kept = F.flatten(F.transform(spans, lambda s: F.slice("lines", s["at"] + 1, s["n"])))
     lost = F.aggregate("gone", F.lit(0), lambda n, g: n + g["end"] - g["begin"])
-    cut = parts.select("doc_id", F.size("lines").cast("long").alias("n_lines"), lost.cast("long").alias("n_deleted"),
-                       F.array_join(kept, "\n").alias("text"))
-    return whole_ones.union(cut)
+    cut = parts.select("doc_id", "n_lines", lost.cast("long").alias("n_deleted"), F.array_join(kept, "\n").alias("text"))
+    return stay.union(empty).union(cut)

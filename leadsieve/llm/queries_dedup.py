@@ -44,7 +44,10 @@ WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FRO
     r AS (SELECT doc_id, min(pos) AS a, max(pos) + size - 1 AS b FROM g GROUP BY size, doc_id, f_id, pos - f_pos, run),
     m AS (SELECT r.*, y.words - coalesce(x.words, 0) AS words FROM r JOIN n y ON y.doc_id = r.doc_id AND y.pos = r.b
         LEFT JOIN n x ON x.doc_id = r.doc_id AND x.pos = r.a - 1),
-    d AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM m WHERE words >= 8)
+    c AS (SELECT doc_id FROM t QUALIFY row_number() OVER (PARTITION BY lines ORDER BY doc_id) > 1),
+    w AS (SELECT doc_id, max(words) AS words FROM n GROUP BY doc_id),
+    d AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM m WHERE words >= 8
+        UNION SELECT doc_id, pos FROM n WHERE doc_id IN (SELECT doc_id FROM c JOIN w USING (doc_id) WHERE words >= 8))
 SELECT n.doc_id, count(*) AS n_lines, count(d.pos) AS n_deleted,
     coalesce(string_agg(line, chr(10) ORDER BY n.pos) FILTER (d.pos IS NULL), '') AS text
 FROM n LEFT JOIN d ON d.doc_id = n.doc_id AND d.pos = n.pos GROUP BY n.doc_id

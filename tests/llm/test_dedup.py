@@ -95,6 +95,9 @@ def lines_left(rows, words):
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
     texts = {k: (rows[k][1] or "").split("\n") for k in order}
     gone = {k: set() for k in order}
+    for n, k in enumerate(order):
+        if any(texts[j] == texts[k] for j in order[:n]) and sum(len(x.split(" ")) for x in texts[k] if x) >= words:
+            gone[k] = set(range(len(texts[k])))
     depth = 1
     while depth <= max(map(len, texts.values())):
         first, later = {}, {}

@@ -57,11 +57,10 @@ def keep_rows(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id", text:
     print is the text's fingerprint and same the number of rows of docs with this id and text. Where that is over 1,
     one of these rows stays; it is chosen by an aggregate that folds in every task, so that many of them meet nowhere.
     """
-    marked = docs.withColumns({"__id": F.col(doc_id), "__print": fingerprint(text)})
-    named = keepers.select(F.col("doc_id").alias("__k_id"), F.col("print").alias("__k_print"), "same")
-    on = marked["__id"].eqNullSafe(named["__k_id"]) & (marked["__print"] == named["__k_print"])
-    alone = marked.join(named.filter("same = 1"), on, "left_semi")
-    repeated = (marked.join(named.filter("same > 1"), on, "left_semi")
-                .groupBy("__id", "__print").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-                .select("__row.*"))
-    return alone.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(repeated)
+    # The row travels as one column, so that no name of its columns meets one of ours.
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+                         fingerprint(F.col(f"`{text}`")).alias("print"))
+    named = keepers.select(F.col("doc_id").alias("k_id"), F.col("print").alias("k_print"), "same")
+    stay = marked.join(named, marked["id"].eqNullSafe(named["k_id"]) & (marked["print"] == named["k_print"]))
+    repeated = stay.filter("same > 1").groupBy("id", "print").agg(F.first("row").alias("row"))
+    return stay.filter("same = 1").select("row.*").unionByName(repeated.select("row.*"))

@@ -74,7 +74,11 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rad
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, all columns as they are."""
+    """The rows of docs that stay, all columns as they are, whatever their names.
+
+    Of equal texts the row that `deduplicate` keeps stays; of rows equal in id and text, one. Null text is empty text, null
+    ids come last. An empty table gives no rows.
+    """
     found = deduplicate(docs, doc_id, text).groupBy("doc_id", "print").agg(
         F.count(F.lit(1)).alias("same"), F.max("kept").alias("kept"))
     return keep_rows(docs, found.filter("kept"), doc_id, text)

@@ -282,9 +282,15 @@ def mix(docs: DataFrame, model: Classifier, targets: dict[str, float], doc_id: s
 
 def mixed_rows(docs: DataFrame, model: Classifier, targets: dict[str, float], doc_id: str = "doc_id", text: str = "text",
                **how) -> DataFrame:
-    """Rows of docs, each as often as its rate says, all columns as they are."""
-    own = "__mix"
-    scored = staged(with_posterior(docs, model, text, own), "posteriors")
-    rates = solve(staged(_cells(scored, own), "cells"), model.domains, targets, **how)
-    times = copies(rates.of(F.col(f"{own}.posterior")), F.col(f"`{doc_id}`"), fingerprint(text))
-    return (scored.withColumn(own, times).withColumn(own, F.explode(F.array_repeat(F.lit(0), F.col(own)))).drop(own))
+    """Rows of docs, each as often as its rate says, all columns as they are, whatever their names.
+
+    Null and empty texts have no tokens; they take a rate as others. Rows equal in id and text are repeated alike; null ids
+    count as others. Without labels there is one domain and every row stays once. An empty table gives no rows.
+    """
+    narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+                         whole(F.col(f"`{text}`")).alias("text"))
+    scored = staged(with_posterior(narrow, model, "text", "mix").select("row", "id", fingerprint("text").alias("print"), "mix"),
+                    "posteriors")
+    rates = solve(staged(_cells(scored, "mix"), "cells"), model.domains, targets, **how)
+    times = copies(rates.of(F.col("mix.posterior")), F.col("id"), F.col("print"))
+    return scored.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")

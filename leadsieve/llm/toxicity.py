@@ -23,12 +23,12 @@ from leadsieve.llm.pieces import Kept, slices
 
 #: Labelled rows of each class to learn from, at most; the smallest by a hash of their id.
 EXAMPLES = 10_000
-#: Terms at most; the least likelihood ratio (G squared) of one, and how many times as common it is with label 1.
-TERMS = 5_000
+#: The least likelihood ratio (G squared) of a term that is more common with label 1.
 LEAST_G2 = 20.0
-LEAST_LIFT = 8.0
 NEIGHBOURS = 16
 BLOCK = 256
+#: Blocks scored first.
+FIRST = 4
 #: Weight of the prior in a vote, in examples of similarity 1.
 PRIOR = 0.5
 REJECT = 0.7
@@ -113,42 +113,52 @@ def _share(weights, counts, prior: float = 0.5) -> float:
 
 
 class Index:
-    """Postings by term and block of entries, with the largest weight in each."""
+    """Postings by term, in order of entry, with the largest weight of each block of entries."""
 
     def __init__(self, vectors: list[list[tuple[int, float]]], terms: int):
         self.count = len(vectors)
-        blocks = -(-self.count // BLOCK)
-        self.most = np.zeros((terms, blocks))
-        self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        made: dict[tuple[int, int], list[tuple[int, float]]] = {}
+        self.blocks = -(-self.count // BLOCK)
+        self.most = np.zeros((terms, self.blocks))
+        made: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
         for entry, vector in enumerate(vectors):
             for t, w in vector:
-                made.setdefault((t, entry // BLOCK), []).append((entry % BLOCK, w))
+                made[t].append((entry, w))
                 self.most[t, entry // BLOCK] = max(self.most[t, entry // BLOCK], w)
-        for key, found in made.items():
-            self.postings[key] = np.array([p for p, _ in found]), np.array([w for _, w in found])
+        self.entries = [np.array([e for e, _ in m], dtype=np.int64) for m in made]
+        self.weights = [np.array([w for _, w in m]) for m in made]
+        edges = np.arange(self.blocks + 1) * BLOCK
+        self.edges = [np.searchsorted(e, edges) for e in self.entries]
+
+    def _scores(self, query: list[tuple[int, float]], blocks: np.ndarray) -> np.ndarray:
+        """Cosines of the entries of some blocks, in ascending order of block; 0 for all others."""
+        scores = np.zeros(self.count)
+        begin = np.flatnonzero(np.diff(blocks, prepend=-2) > 1)
+        runs = list(zip(blocks[begin], blocks[np.append(begin[1:], len(blocks)) - 1] + 1, strict=True))
+        for t, w in query:
+            entries, weights, edges = self.entries[t], self.weights[t], self.edges[t]
+            for first, last in runs:
+                here = slice(edges[first], edges[last])
+                scores[entries[here]] += w * weights[here]
+        return scores
 
     def nearest(self, query: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
-        """The k entries of largest cosine above 0, ties to the smaller entry."""
+        """The k entries of largest cosine above 0, ties to the smaller entry.
+
+        The blocks of highest bounds give the least cosine that counts; then all blocks whose bound reaches it are scored.
+        """
         bounds = sum(w * self.most[t] for t, w in query)
         if not self.count or not np.any(bounds > 0):
             return []
-        scores, entries, least = np.zeros(0), np.zeros(0, dtype=np.int64), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or bounds[block] < least:
-                break
-            here = np.zeros(BLOCK)
-            for t, w in query:
-                if (found := self.postings.get((t, int(block)))) is not None:
-                    here[found[0]] += w * found[1]
-            places = np.flatnonzero((here > 0) & (here >= least))
-            if len(places):
-                scores = np.concatenate([scores, here[places]])
-                entries = np.concatenate([entries, int(block) * BLOCK + places])
-                best = np.lexsort((entries, -np.round(scores, 12)))[:k]
-                scores, entries = scores[best], entries[best]
-                least = scores[-1] - 1e-12 if len(scores) == k else 0.0
-        return list(zip(entries.tolist(), scores.tolist(), strict=True))
+        first = np.sort(np.argsort(-bounds, kind="stable")[:FIRST])
+        scores = self._scores(query, first)
+        found = scores[scores > 0]
+        least = np.partition(found, -k)[-k] - 1e-12 if len(found) >= k else 0.0
+        more = np.flatnonzero((bounds > 0) & (bounds >= least))
+        if len(np.setdiff1d(more, first)):
+            scores = self._scores(query, more)
+        places = np.flatnonzero((scores > 0) & (scores >= least))
+        best = places[np.lexsort((places, -np.round(scores[places], 12)))[:k]]
+        return list(zip(best.tolist(), scores[best].tolist(), strict=True))
 
 
 def _isotonic(raw: np.ndarray, hit: np.ndarray, weight: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +185,8 @@ def _sampled(labels: DataFrame, doc_id: str, label: str, examples: int) -> tuple
     return chosen[0].union(chosen[1]), (totals.get(0, 0), totals.get(1, 0))
 
 
-def _terms(texts: DataFrame, terms: int) -> dict[str, int]:
-    """Terms that go with label 1 in (text, label) rows, numbered by name."""
+def _terms(texts: DataFrame) -> dict[str, int]:
+    """Terms that go with label 1 in (text, label) rows, numbered by name: all that the test finds, however weak."""
     import pyarrow as pa
 
     def run(batches):
@@ -195,8 +205,8 @@ def _terms(texts: DataFrame, terms: int) -> dict[str, int]:
     p, n, used = F.col("p"), F.col("n"), F.col("p") + F.col("n")
     g2 = 2 * (part(p, used * with_1 / both) + part(n, used * with_0 / both)
               + part(with_1 - p, (both - used) * with_1 / both) + part(with_0 - n, (both - used) * with_0 / both))
-    best = counted.filter(p / with_1 > LEAST_LIFT * n / with_0).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
-    names = [r["term"] for r in best.orderBy(F.desc("g2"), "term").limit(terms).select("term").collect()]
+    best = counted.filter(p / with_1 > n / with_0).filter(g2 >= LEAST_G2)
+    names = [r["term"] for r in best.select("term").collect()]  # of 2 x examples texts
     return {t: k for k, t in enumerate(sorted(names))}
 
 
@@ -213,7 +223,7 @@ def term_counts(text: str, of_piece: Kept) -> tuple[tuple[int, int], ...]:
 def _frequencies(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[int, np.ndarray]:
     """Number of documents, and how many hold each term, over the whole table. Each task sends one row per term."""
     import pyarrow as pa
-    sent = docs.sparkSession.sparkContext.broadcast(terms)  # at most TERMS
+    sent = docs.sparkSession.sparkContext.broadcast(terms)  # from 2 x examples texts
 
     def run(batches):
         of_piece, seen, rows = _finder(sent.value), np.zeros(len(sent.value) + 1, dtype=np.int64), 0
@@ -232,7 +242,7 @@ def _frequencies(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[int
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        examples: int = EXAMPLES, terms: int = TERMS, neighbours: int = NEIGHBOURS) -> Model:
+        examples: int = EXAMPLES, neighbours: int = NEIGHBOURS) -> Model:
     """Learn from at most `examples` labelled documents of each class that aren't held out.
 
     Labels other than 0 and 1, null ids and ids without a document are left out; an id labelled twice has label 1 if one
@@ -243,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = F.broadcast(chosen.withColumnRenamed("doc_id", "l_id"))  # at most 2 x examples ids
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     texts = rows.join(chosen, rows["doc_id"] == chosen["l_id"]).groupBy("l_id", "label").agg(F.min("text").alias("text"))
-    found = _terms(texts.select("text", "label"), terms)
+    found = _terms(texts.select("text", "label"))
     count, seen = _frequencies(docs, text, found)
     idf = np.log((1 + count) / (1 + seen)) + 1
     entries, bare = _entries(texts, found)
@@ -278,10 +288,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id, held_out, score, predicted, evidence (ids of the nearest examples) for each document, in one pass.
 
     Null text is empty text; texts without a term get the share of positives among such examples. Whole texts of any
-    length count; repeated rows and null ids stay; columns besides the two are ignored.
+    length count; repeated rows and null ids stay; columns besides the two are ignored. Neighbours of one similarity rank
+    by entry, which is by vector. An empty table gives no rows.
     """
     import pyarrow as pa
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 x examples entries and TERMS terms
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 x examples entries
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), whole(text).alias("text"))
 
     def run(batches):
@@ -300,7 +311,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of docs whose text scores below REJECT, all columns as they are; no shuffle."""
+    """The rows of docs whose text scores below REJECT, all columns as they are, whatever their names; no shuffle.
+
+    Null text is empty text; repeated rows score alike and stay or go together; null ids count as others. An empty table
+    gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -10,13 +10,18 @@ ROWS = [
     (7, LONG, "c"), (8, LONG + "x", "c"), (9, "é́ İ 漢字 <|endoftext|> <|ENDOFTEXT|> \x1c\xa0 don't 's ..., !.", None),
     (10, "A\nA\nA\nB\nA\nB", "d"), (5, "another text with the same id", None),
 ]
-SCHEMA = "doc_id long, text string, row string, print string, __id int, best int"
+SCHEMA = "doc_id long, text string, row string, print string, __id int, best int, id string, mix int, same string"
 
 
 def documents(spark, rows=ROWS):
     """Columns besides id and text have the names that operators use inside."""
-    return spark.createDataFrame([(i, t, s, "p", 1, 2) for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, s, "p", 1, 2, "i", 3, "s") for i, t, s in rows], SCHEMA)
 
 
 def empty(spark):
     return documents(spark, [])
+
+
+def untouched(rows) -> bool:
+    """Whether all other columns still hold what documents() put there."""
+    return all(tuple(r)[3:] == ("p", 1, 2, "i", 3, "s") for r in rows)

@@ -22,7 +22,7 @@ from leadsieve.llm.common import whole
 from leadsieve.llm.pieces import Kept, slices
 
 #: Labelled rows of each class to learn from, at most; the smallest by a hash of their id.
-EXAMPLES = 10_000
+EXAMPLES = 5_000
 #: The least likelihood ratio (G squared) of a term that is more common with label 1.
 LEAST_G2 = 20.0
 NEIGHBOURS = 16
@@ -129,11 +129,10 @@ class Index:
         edges = np.arange(self.blocks + 1) * BLOCK
         self.edges = [np.searchsorted(e, edges) for e in self.entries]
 
-    def _scores(self, query: list[tuple[int, float]], blocks: np.ndarray) -> np.ndarray:
-        """Cosines of the entries of some blocks, in ascending order of block; 0 for all others."""
+    def _scores(self, query: list[tuple[int, float]], blocks: np.ndarray, apart: bool) -> np.ndarray:
+        """Cosines of the entries of some blocks, one by one or all from the first to the last; 0 for others."""
         scores = np.zeros(self.count)
-        begin = np.flatnonzero(np.diff(blocks, prepend=-2) > 1)
-        runs = list(zip(blocks[begin], blocks[np.append(begin[1:], len(blocks)) - 1] + 1, strict=True))
+        runs = [(b, b + 1) for b in blocks] if apart else [(blocks[0], blocks[-1] + 1)]
         for t, w in query:
             entries, weights, edges = self.entries[t], self.weights[t], self.edges[t]
             for first, last in runs:
@@ -150,12 +149,12 @@ class Index:
         if not self.count or not np.any(bounds > 0):
             return []
         first = np.sort(np.argsort(-bounds, kind="stable")[:FIRST])
-        scores = self._scores(query, first)
+        scores = self._scores(query, first, True)
         found = scores[scores > 0]
         least = np.partition(found, -k)[-k] - 1e-12 if len(found) >= k else 0.0
         more = np.flatnonzero((bounds > 0) & (bounds >= least))
         if len(np.setdiff1d(more, first)):
-            scores = self._scores(query, more)
+            scores = self._scores(query, more, len(more) <= FIRST)
         places = np.flatnonzero((scores > 0) & (scores >= least))
         best = places[np.lexsort((places, -np.round(scores[places], 12)))[:k]]
         return list(zip(best.tolist(), scores[best].tolist(), strict=True))

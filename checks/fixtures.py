@@ -62,14 +62,14 @@ SELECT 'c' || CAST(conv_id AS STRING) || '.com' AS domain, CAST(turn AS BIGINT)
        text, conv_id
 FROM conversations
 UNION ALL
-SELECT 's' || CAST(n_nationkey AS STRING) || '.com', CAST(r_regionkey AS BIGINT),
-       'https://s' || CAST(n_nationkey AS STRING) || '.com/' || CASE WHEN r_regionkey = 0 THEN '' ELSE lower(r_name) END,
-       'The ' || n_name || ' desk', '', r_name || '|' || n_name,
-       CASE n_nationkey % 5 WHEN 0 THEN 'A few words on ' || r_name
+SELECT 's' || CAST(n_nationkey AS STRING) || '.com', CAST(s_suppkey AS BIGINT),
+       'https://s' || CAST(n_nationkey AS STRING) || '.com/' || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE CAST(s_suppkey AS STRING) END,
+       'The ' || n_name || ' desk', '', s_name || '|' || n_name,
+       CASE n_nationkey % 5 WHEN 0 THEN 'A few words on ' || s_name
          WHEN 1 THEN repeat('Home About Contact Services Menu ', 9)
-         WHEN 2 THEN 'This domain is for sale. ' || r_name
+         WHEN 2 THEN 'This domain is for sale. ' || s_name
          WHEN 3 THEN 'Please enable JavaScript to go on. ' || n_name ELSE '' END, -1 - n_nationkey
-FROM nation, region WHERE r_regionkey <= n_nationkey % 7"""
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 FIXTURES["attempts"] = """
 SELECT 'u' || CAST(user_id AS STRING) || '.com' AS domain,

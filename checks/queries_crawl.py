@@ -9,7 +9,7 @@ from leadsieve import constants as C
 from leadsieve.operators import reports as R, selection as Sel, sites as Sites
 from leadsieve.operators.gate import build_digest, dedupe_headings, gate_split, quality_gate
 from leadsieve.operators.verdicts import resolve_failed
-from leadsieve.plans.campaign import crawl_results, gated_sites as gated_sites_of
+from leadsieve.plans.campaign import crawl_results, fetch_plan, gated_sites as gated_sites_of
 from leadsieve.session import scratch_folder
 from leadsieve.sources.pages import ingest_pages, page_keys
 from leadsieve.sources.store import SiteStore
@@ -230,6 +230,19 @@ def _(spark, sf):
     return plans[0].unionByName(plans[1]).unionByName(plans[2])
 
 
+@query("fetch_plan", f"""
+WITH {_RANKED},
+planned AS (SELECT w.domain, w.seq AS first_row, CASE WHEN b.domain IS NULL THEN 'skip' WHEN b.gate_ok THEN 'serve' ELSE 'fetch' END AS action
+  FROM wanted w LEFT JOIN best b USING (domain)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY action ORDER BY first_row) AS place FROM planned)
+SELECT domain, first_row, CASE WHEN action = 'fetch' AND place > greatest(1, floor(0.3 * (SELECT count(*) FROM wanted)))
+  THEN 'defer' ELSE action END AS action FROM placed""")
+def _(spark, sf):
+    sites = Sites.resolve_cascade(fixture(spark, sf, "attempts"), TIERS)
+    wanted = fixture(spark, sf, "wanted").select("domain", c("seq").alias("first_row"))
+    return fetch_plan(wanted, sites, "escalate", paid=True)
+
+
 @query("upsert_sites", "SELECT domain, status, seq AS version FROM attempts QUALIFY row_number() OVER (PARTITION BY domain ORDER BY seq DESC) = 1")
 def _(spark, sf):
     log = fixture(spark, sf, "attempts").select("domain", "status", c("seq").alias("version"))

@@ -10,9 +10,11 @@ from leadsieve import constants as C
 from leadsieve.functions.text import rounded
 from leadsieve.operators import decide as J, reports as R, selection as Sel, verdicts as V
 from leadsieve.session import scratch_folder
+from leadsieve.plans.campaign import qualify
+from leadsieve.plans.progress import ProgressStore
+from leadsieve.sources.commits import BatchLog
 from leadsieve.sources.leads import read_leads, write_qualified
 from leadsieve.sources.logs import append_log, read_log
-from leadsieve.plans.campaign import qualify
 from leadsieve.sources.rubric import Rubric, with_sha
 
 c = F.col
@@ -440,6 +442,19 @@ def _(spark, sf):
     return read_log(spark, folder, schema)
 
 
+@query("append_batches", "SELECT domain, seq, fitment FROM decisions UNION ALL SELECT domain, seq, 'comment' FROM comments")
+def _(spark, sf):
+    log = BatchLog(spark, scratch_folder(spark, "batches"), "domain string, seq bigint, fitment string")
+    parts = [fixture(spark, sf, "decisions").select("domain", "seq", "fitment").where(F.pmod(F.xxhash64("domain"), F.lit(2)) == k)
+             for k in (0, 1)]
+    parts.append(fixture(spark, sf, "comments").select("domain", "seq", F.lit("comment").alias("fitment")))
+    for k in (0, 1, 0, 2, 1):  # batches that come again add nothing
+        log.append(parts[k], "judge", k)
+        if k == 1:
+            log.compact()
+    return log.read()
+
+
 _REASONS = "reasons AS (SELECT comments AS key, count(*) AS n FROM merged WHERE pre GROUP BY 1 ORDER BY n DESC, key LIMIT 8)"
 
 
@@ -508,17 +523,35 @@ def _(spark, sf):
         "domain", "manual_fitment", "manual_ranking", "model_fitment", "model_ranking")
 
 
-@query("progress", f"""
+_PROGRESS = f"""
 WITH {_DEC}, {_DONE}
 SELECT (SELECT count(*) FROM results) AS crawled, (SELECT count(*) FROM results WHERE gate_ok) AS passed,
   (SELECT count(*) FROM results WHERE NOT gate_ok) AS failed, (SELECT count(*) FROM done) AS assessed,
   (SELECT count(*) FROM results WHERE gate_ok AND domain NOT IN (SELECT domain FROM done)) AS pending,
-  (SELECT count(*) FROM dec) AS decided, (SELECT count(*) FROM dec WHERE rubric_sha <> 'aaaa') AS stale""")
+  (SELECT count(*) FROM dec) AS decided, (SELECT count(*) FROM dec WHERE rubric_sha <> 'aaaa') AS stale"""
+
+
+@query("progress", _PROGRESS)
 def _(spark, sf):
     return R.progress(fixture(spark, sf, "results"), fixture(spark, sf, "verdicts"),
                       fixture(spark, sf, "decisions"), "aaaa")
 
 
+@query("progress_from_changes", _PROGRESS)
+def _(spark, sf):
+    store = ProgressStore(spark, scratch_folder(spark, "counts"), buckets=8)
+    sites, verdicts, decisions = (fixture(spark, sf, n) for n in ("results", "verdicts", "decisions"))
+
+    def part(log, k):
+        return log.where(F.pmod(F.xxhash64("domain", "seq"), F.lit(2)) == k)
+
+    # Sites come with another outcome first, logs in two parts, the second batch twice.
+    store.update(1, sites.withColumn("gate_ok", ~c("gate_ok")), part(verdicts, 1), part(decisions, 0))
+    for _ in range(2):
+        store.update(2, sites, part(verdicts, 0), part(decisions, 1))
+    return store.report("aaaa")
+
+
 @query("decision_report", f"""
 WITH {_DEC}
 SELECT count(*) AS decided, CAST(sum(input_tokens) AS BIGINT) AS tokens, round(sum(input_tokens) * 0.042 / 1e6, 9) AS usd,

@@ -8,6 +8,7 @@ from leadsieve import constants as C
 from leadsieve.operators import profile as P, selection as Sel, sites as Sites
 from leadsieve.operators.rules import Rule, prefilter, rule_hits
 from leadsieve.session import scratch_folder
+from leadsieve.sources.commits import BatchLog
 from leadsieve.sources.leads import read_leads
 
 c = F.col
@@ -113,7 +114,7 @@ _LONG = " UNION ALL ".join(
     f"SELECT row_idx, {i} AS ord, '{n}' AS col, trim({n}) AS v FROM leads" for i, n in enumerate(_COLUMNS))
 
 
-@query("profile_columns", f"""
+_PROFILE = f"""
 WITH long AS ({_LONG}),
 filled AS (SELECT col, ord, CAST(floor(100 * count(*) FILTER (v <> '') / count(*)) AS BIGINT) AS filled_pct FROM long GROUP BY ALL),
 samples AS (SELECT col, string_agg(v, ' | ' ORDER BY row_idx) AS samples FROM (
@@ -124,7 +125,10 @@ tops AS (SELECT col, string_agg(v || ' (' || n || ')', ' | ' ORDER BY n DESC, fi
   SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY col ORDER BY n DESC, first) <= 4) GROUP BY col),
 uniq AS (SELECT col, count(*) AS n_distinct FROM counts GROUP BY col)
 SELECT filled.col AS "column", ord, filled_pct, samples, n_distinct, top_values
-FROM filled LEFT JOIN samples USING (col) LEFT JOIN uniq USING (col) LEFT JOIN tops USING (col)""")
+FROM filled LEFT JOIN samples USING (col) LEFT JOIN uniq USING (col) LEFT JOIN tops USING (col)"""
+
+
+@query("profile_columns", _PROFILE)
 def _(spark, sf):
     return P.profile_columns(fixture(spark, sf, "leads"))
 
@@ -139,18 +143,55 @@ def _(spark, sf):
     return P.score_url_columns(fixture(spark, sf, "leads"))
 
 
-@query("url_health", f"""
+_HEALTH = f"""
 WITH d AS (SELECT {S.domain('Website')} AS domain, trim(Website) = '' AS blank FROM leads),
 per AS (SELECT domain, count(*) AS n FROM d WHERE domain <> '' GROUP BY 1)
 SELECT (SELECT CAST(sum(n) AS BIGINT) FROM per) AS usable, (SELECT count(*) FROM per) AS unique_domains,
   (SELECT count(*) FROM d WHERE blank) AS blank,
   (SELECT count(*) FROM d WHERE NOT blank AND domain = '') AS unparseable,
   (SELECT count(*) FROM per WHERE n > 1) AS duplicate_domains,
-  (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM per WHERE n > 1) AS duplicate_rows""")
+  (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM per WHERE n > 1) AS duplicate_rows"""
+
+
+@query("url_health", _HEALTH)
 def _(spark, sf):
     return P.url_health(fixture(spark, sf, "leads"), "Website")
 
 
+def merged_facts(spark, sf):
+    """Facts of the leads in three parts of neighbouring rows, stored as batches; one comes twice."""
+    leads = fixture(spark, sf, "leads")
+    log = BatchLog(spark, scratch_folder(spark, "facts"), P.FACTS)
+    third = table(spark, sf, "orders").count() // 3
+    for part in (1, 0, 2, 1):
+        rows = leads.where(F.least(F.floor(c("row_idx") / (third + 1)), F.lit(2)) == part)
+        log.append(P.profile_facts(rows, "Website", part), f"leads {part}.csv")
+    return log.read()
+
+
+@query("merged_profile", _PROFILE)
+def _(spark, sf):
+    return P.merged_profile(merged_facts(spark, sf))
+
+
+@query("merged_url_health", _HEALTH)
+def _(spark, sf):
+    return P.merged_url_health(merged_facts(spark, sf))
+
+
+@query("unparseable_cells", f"""
+SELECT row_idx, row_idx + 2 AS line, Website AS value FROM leads WHERE trim(Website) <> '' AND {S.domain('Website')} = ''""")
+def _(spark, sf):
+    return P.unparseable_cells(fixture(spark, sf, "leads"), "Website")
+
+
+@query("repeated_domains", f"""
+SELECT {S.domain('Website')} AS domain, count(*) AS n, min(row_idx) AS first_row FROM leads
+WHERE {S.domain('Website')} <> '' GROUP BY 1 HAVING count(*) > 1""")
+def _(spark, sf):
+    return P.repeated_domains(fixture(spark, sf, "leads"), "Website")
+
+
 def context_sql():
     bits = ", ".join(f"CASE WHEN trim({n}) <> '' THEN '{n}=' || left(trim({n}), 40) END"
                      for n in ("Company", "Country", "Employees", "Industry"))
@@ -169,6 +210,15 @@ def _(spark, sf):
     return Sel.top_k(table(spark, sf, "part"), "p_type", 10)
 
 
+_WORDS = "SELECT unnest(string_split(text, ' ')) AS word FROM documents"
+
+
+@query("frequent", f"SELECT word, count(*) AS n FROM ({_WORDS}) GROUP BY 1 ORDER BY n DESC, word LIMIT 40")
+def _(spark, sf):
+    words = table(spark, sf, "documents").select(F.explode(F.split("text", " ", -1)).alias("word"))
+    return Sel.frequent(words, "word", 40)
+
+
 @query("latest_by", "SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def _(spark, sf):
     return Sel.latest_by(table(spark, sf, "events").select("user_id", "event_id", "event_type", "value"),

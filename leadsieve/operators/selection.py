@@ -7,6 +7,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from leadsieve.session import stored
+
 #: Order values of these types fit into hash aggregates; nulls come below all of them.
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 LOWEST = -(1 << 63)
@@ -210,6 +212,25 @@ def top_k(df: DataFrame, col: str, k: int) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col).limit(k)
 
 
+def frequent(df: DataFrame, col: str, k: int, tracked: int = 10_000) -> DataFrame:
+    """`top_k` of a stored table with very many different values, most of which are never shuffled.
+
+    A frequent-items sketch, merged from those of all tasks, proposes values and bounds what any other can reach; the
+    proposed ones are counted exactly in a second pass. If the k-th of them is above that bound, no other
+    value belongs to the first k; if it is not, all values are counted.
+    """
+    sketch = stored(df.agg(F.count("*").alias("rows"), F.expr(
+        f"transform(approx_top_k(`{col}`, {tracked}, {tracked}), t -> t.item)").alias("items")), "sketch")
+    # A sketch of 2^m places is off by 3.5 / 2^m of all rows at most, so what occurs twice as often is proposed.
+    places = 1 << (-(-tracked * 4 // 3) - 1).bit_length()
+    bound = 7 * sketch.first()["rows"] / places
+    proposed = stored(sketch.select(F.explode("items").alias("_item")), "proposed")  # its size is known to Spark
+    counted = top_k(df.join(proposed, F.col(col).eqNullSafe(F.col("_item")), "left_semi"), col, k)
+    best = stored(counted, "frequent")
+    least = best.agg(F.count("*").alias("found"), F.min("n").alias("n")).first()
+    return best.orderBy(F.desc("n"), col) if least["found"] == k and least["n"] > bound else top_k(df, col, k)
+
+
 def pending(passed: DataFrame, done: DataFrame, key: str = "domain") -> DataFrame:
     """Rows whose key has no record in `done`."""
     return passed.join(done.select(key).distinct(), key, "left_anti")

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from leadsieve import constants as C
 from leadsieve.operators.decide import incremental_decide
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.rules import prefilter
-from leadsieve.operators.selection import latest_by
-from leadsieve.operators.sites import domain_rows, list_sites, skip_disqualified
+from leadsieve.operators.selection import cap_share, latest_by
+from leadsieve.operators.sites import domain_rows, list_sites, plan_fetches, skip_disqualified
 from leadsieve.operators.verdicts import (all_verdicts, domain_verdicts, finalize, merge_verdicts,
                                           resolve_failed)
+from leadsieve.session import stored
 from leadsieve.sources.pages import ORDER, ingest_first_pages
 from leadsieve.sources.rubric import Rubric
+from leadsieve.sources.store import SiteStore
 
 
 def gated_sites(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
@@ -43,6 +46,37 @@ def requested_domains(leads: DataFrame, url_col: str, rubric: Rubric) -> DataFra
     return skip_disqualified(domain_rows(leads, url_col), prefilter(leads, rubric.rules, url_col))
 
 
+def fetch_plan(wanted: DataFrame, sites: DataFrame, mode: str = "first", paid: bool = False,
+               most: int | None = None) -> DataFrame:
+    """What to do with each wanted domain (domain, first_row, action): `serve`, `fetch`, `skip` or `defer`.
+
+    `wanted` and `sites` hold a domain once, first rows differ. Modes are those of `plan_fetches`. Of paid fetches only the
+    first `most` in lead order are made now, or a share of all wanted domains, and the others deferred.
+    """
+    planned = wanted.select("domain", "first_row").join(plan_fetches(wanted, sites, mode), "domain")
+    if not paid:
+        return planned
+    todo = planned.where("action = 'fetch'").select("domain", "first_row")
+    now = cap_share(todo, "first_row", share=C.ESCALATION_SHARE, of=wanted, cap=most).select("domain", F.lit(True).alias("_now"))
+    late = (F.col("action") == "fetch") & F.col("_now").isNull()
+    return planned.join(now, "domain", "left").withColumn("action", F.when(late, "defer").otherwise(F.col("action"))).drop("_now")
+
+
+def crawl_planned(store: SiteStore, plan: DataFrame, pages: DataFrame, version: int, tier: str = "plain") -> DataFrame:
+    """Results of the domains of a `fetch_plan`: those to serve as stored, those to fetch from `pages`, which replace stored ones.
+
+    Pages of other domains are left out. A domain that was to be fetched and has no pages is stored as failed. The new
+    results are written once, and read from there for the store and for what is returned.
+    """
+    plan = stored(plan, "plan")
+    fresh = stored(crawl_results(pages, tier, plan.where("action = 'fetch'").select("domain"))
+                   .withColumn("version", F.lit(version).cast("bigint")), "fresh")
+    kept = store.lookup(plan.where("action = 'serve'").select("domain"))
+    served = fresh.limit(0) if kept is None else stored(kept, "served")
+    store.upsert(fresh)
+    return served.unionByName(fresh, allowMissingColumns=True)
+
+
 def decide_new(results: DataFrame, answers: DataFrame, grades: DataFrame, rubric: Rubric,
                decisions: DataFrame | None = None, verdicts: DataFrame | None = None,
                model: str = "", rejudge: bool = False) -> DataFrame:

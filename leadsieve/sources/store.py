@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from leadsieve.operators.selection import latest_stored
+from leadsieve.sources.commits import put_once
 
 BUCKETS = 64
 
@@ -45,10 +46,10 @@ class SiteStore:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def manifest(self, version: int | None = None) -> dict:
-        """{buckets, schema, held: bucket to folder} of a version, the latest by default."""
+        """{buckets, schema, held: bucket to folder, notes} of a version, the latest by default."""
         known = self.versions()
-        if not known:
-            return {"buckets": self._buckets, "schema": None, "held": {}}
+        if not known or version == 0:
+            return {"buckets": self._buckets, "schema": None, "held": {}, "notes": {}}
         stream = self._files.open(self._path(f"manifest/{known[-1] if version is None else version}.json"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
@@ -57,15 +58,7 @@ class SiteStore:
 
     def _commit(self, version: int, manifest: dict) -> None:
         """The file appears whole or not at all; an existing one is not replaced."""
-        self._files.mkdirs(self._path("manifest"))
-        draft, final = self._path(f"manifest/.{uuid.uuid4().hex}"), self._path(f"manifest/{version}.json")
-        stream = self._files.create(draft, False)
-        try:
-            stream.write(json.dumps(manifest).encode())
-        finally:
-            stream.close()
-        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        self._hadoop.FileContext.getFileContext(final.toUri(), self._conf).rename(draft, final, options)
+        put_once(self.spark, f"{self.root}/manifest/{version}.json", json.dumps(manifest))
 
     def _bucket(self, buckets: int):
         return F.pmod(F.xxhash64("domain"), F.lit(buckets)).cast("int")
@@ -95,16 +88,18 @@ class SiteStore:
         found = self._load(self.manifest(), self.touched(domains))
         return None if found is None else found.join(domains.select("domain").distinct(), "domain", "left_semi")
 
-    def upsert(self, sites: DataFrame, version: str = "version") -> int:
+    def upsert(self, sites: DataFrame, version: str = "version", notes: dict | None = None, onto: int | None = None) -> int:
         """Store new sites; one of a domain replaces an older or equally old one. Returns the version committed.
 
         `sites` is read several times, so pass a stored table. Stored rows are only compared by domain and
         version; columns that one side lacks are null there. Rows with a blank domain are dropped.
+        `notes` are small facts that the manifest keeps with the sites; those of the version before stay where
+        they aren't named. If they were worked out from a version, `onto` (0 for none), another run's commit on it raises.
         """
-        before = self.manifest()
+        before = self.manifest(onto)
         new = latest_stored(sites, "domain", version)
         touched = self.touched(new)
-        number = (self.versions() or [0])[-1] + 1
+        number = ((self.versions() or [0])[-1] if onto is None else onto) + 1
         if not touched:
             return number - 1
         merged, old = new, self._load(before, touched)
@@ -118,7 +113,8 @@ class SiteStore:
         merged.withColumn("bucket", self._bucket(before["buckets"])).repartition(len(touched), "bucket") \
             .write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
         self._commit(number, {"buckets": before["buckets"], "schema": merged.schema.jsonValue(),
-                              "held": before["held"] | {str(b): folder for b in touched}})
+                              "held": before["held"] | {str(b): folder for b in touched},
+                              "notes": before.get("notes", {}) | (notes or {})})
         return number
 
     def vacuum(self, keep: int = 1) -> None:

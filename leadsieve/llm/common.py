@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _made: list[tuple[str, str]] = []
+_named: list[tuple[str, str]] = []
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -32,8 +33,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def bucketed(df: DataFrame, label: str, by: str) -> DataFrame:
+    """`staged`, in buckets by a column of which each task holds one value: a join by it moves none of these rows.
+
+    Spark keeps buckets of named tables alone, so the folder gets a name, which `release` drops.
+    """
+    spark = df.sparkSession
+    name, folder = f"{label}_{uuid.uuid4().hex}", shared_folder(spark, label)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", folder).bucketBy(buckets, by).saveAsTable(name)
+    _named.append((spark.sparkContext.applicationId, name))
+    return spark.table(name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the staged tables of this session; call it once the results made from them are written."""
+    for entry in [n for n in _named if n[0] == spark.sparkContext.applicationId]:
+        spark.sql(f"DROP TABLE IF EXISTS {entry[1]}")
+        _named.remove(entry)
     mine = [m for m in _made if m[0] == spark.sparkContext.applicationId]
     for entry in mine:
         path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])

@@ -8,8 +8,8 @@ interval of the suffix array whose longest common prefix is at least that long.
 intervals begin at neighbouring places are one repeated run, as long as it can be: from the first of them to the last line
 that the last of them shares. A run that has enough words goes, unless it is the first.
 
-A document equal to an earlier one is a run as a whole and has no suffixes. Documents without such a run pass by: a filter
-of the others' numbers tells them at the scan, and their texts stay there.
+A document equal to an earlier one is a run as a whole and has no suffixes. Texts are stored once, in buckets by the task that
+wrote them, and what goes comes to them, one map of row to parts for each of these tasks; no text is shuffled.
 """
 
 from __future__ import annotations
@@ -17,23 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadsieve.llm.common import fingerprint, staged, whole
+from leadsieve.llm.common import bucketed, fingerprint, staged, whole
 from leadsieve.operators.selection import spread_join, with_maybe, with_row_index
 
 #: Words of a run.
 RUN_WORDS = 8
 #: A place is the document's number times this, and the number of the line.
 LINES = 1 << 30
+#: Spark numbers the rows of a task from its own number times 2^33. A map holds the parts of so many rows.
+TASK_BITS, BLOCK_BITS = 33, 10
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """row, doc_id, text, print, n_lines, words of every document."""
+    """row, doc_id, text, print, n_lines, words, task (that wrote the row) of every document."""
     own = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     blanks = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
     filled = F.length(F.regexp_replace("text", r"[^\n]+", "x")) - breaks  # lines that aren't empty
-    return staged(own.select("row", "doc_id", "text", fingerprint("text").alias("print"), (breaks + 1).cast("long").alias("n_lines"),
-                             (blanks + filled).alias("words")), "texts")
+    return bucketed(own.select("row", "doc_id", "text", fingerprint("text").alias("print"), (breaks + 1).cast("long").alias("n_lines"),
+                               (blanks + filled).alias("words"), F.shiftright("row", TASK_BITS).alias("task")), "texts", "task")
 
 
 def _numbered(texts: DataFrame) -> DataFrame:
@@ -108,6 +110,17 @@ def repeated_runs(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("gone"))  # of one document
 
 
+def _block() -> F.Column:
+    return F.shiftright(F.col("row").bitwiseAND(F.lit((1 << TASK_BITS) - 1)), BLOCK_BITS)
+
+
+def _by_task(gone: DataFrame) -> DataFrame:
+    """task and blocks: maps of block to map of row to gone. A task's rows bound what meets here."""
+    entries = gone.groupBy(F.shiftright("row", TASK_BITS).alias("task"), _block().alias("block")).agg(
+        F.map_from_entries(F.collect_list(F.struct("row", "gone"))).alias("rows"))
+    return entries.groupBy("task").agg(F.map_from_entries(F.collect_list(F.struct("block", "rows"))).alias("blocks"))
+
+
 def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_deleted, text (what stays).
 
@@ -121,21 +134,21 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     texts = _texts(docs, doc_id, text)
     order = _numbered(texts)
     gone = staged(repeated_runs(_repeated(texts, order), run_words).join(order, "doc").select("row", "gone"), "gone")
-    copies = staged(order.filter("copy").join(texts.filter(F.col("words") >= run_words).select("row"), "row").select("row"), "copies")
-    told = with_maybe(with_maybe(texts, gone, ["row"], "cut"), copies, ["row"], "copied")
-    no_lines, none = F.lit(0).cast("long").alias("n_deleted"), F.array().cast("array<struct<begin:int,end:int>>")
-    # Of a whole copy no text is needed.
-    empty = texts.select("row", "doc_id", "n_lines").join(copies, "row", "left_semi").select(
-        "doc_id", "n_lines", F.col("n_lines").alias("n_deleted"), F.lit("").alias("text"))
-    stay = told.filter("not cut and not copied").select("doc_id", "n_lines", no_lines, "text")
-    rest = told.filter("copied").join(copies, "row", "left_anti").union(told.filter("cut and not copied"))
-    parts = rest.join(gone, "row", "left").select("doc_id", "n_lines", F.coalesce("gone", none).alias("gone"),
-                                                  F.split("text", "\n", -1).alias("lines"))
+    copies = order.filter("copy").join(texts.filter(F.col("words") >= run_words).select("row", "n_lines"), "row").select(
+        "row", F.array(F.struct(F.lit(0).alias("begin"), F.col("n_lines").cast("int").alias("end"))).alias("gone"))
+    marks = _by_task(gone.union(copies))
+    own = texts.select("task", "row", "doc_id", "n_lines", "text").join(marks.hint("shuffle_hash"), "task", "left").select(
+        "doc_id", "n_lines", "text", F.try_element_at(F.try_element_at("blocks", _block()), F.col("row")).alias("gone"))
     # What stays lies between the parts that go; so each line is copied once.
     begin = F.concat(F.array(F.lit(0)), F.col("gone.end"))
     end = F.concat(F.col("gone.begin"), F.array(F.size("lines")))
     spans = F.filter(F.zip_with(begin, end, lambda a, b: F.struct(a.alias("at"), (b - a).alias("n"))), lambda s: s["n"] > 0)
     kept = F.flatten(F.transform(spans, lambda s: F.slice("lines", s["at"] + 1, s["n"])))
-    lost = F.aggregate("gone", F.lit(0), lambda n, g: n + g["end"] - g["begin"])
-    cut = parts.select("doc_id", "n_lines", lost.cast("long").alias("n_deleted"), F.array_join(kept, "\n").alias("text"))
-    return stay.union(empty).union(cut)
+    lost = F.coalesce(F.aggregate("gone", F.lit(0), lambda n, g: n + g["end"] - g["begin"]), F.lit(0)).cast("long")
+    told = own.withColumn("n_deleted", lost)
+    # Only a text that loses a part and keeps one is split, once.
+    cut = F.col("n_deleted").between(1, F.col("n_lines") - 1)
+    told = told.withColumn("lines", F.when(cut, F.split("text", "\n", -1)))
+    text = F.when(F.col("n_deleted") == 0, F.col("text")).when(F.col("n_deleted") == F.col("n_lines"), "").otherwise(
+        F.array_join(kept, "\n"))
+    return told.select("doc_id", "n_lines", "n_deleted", text.alias("text"))

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a row group of texts.
+ROW_GROUP = 8 << 20
+
 _made: list[tuple[str, str]] = []
 _named: list[tuple[str, str]] = []
 
@@ -36,12 +39,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def bucketed(df: DataFrame, label: str, by: str) -> DataFrame:
     """`staged`, in buckets by a column of which each task holds one value: a join by it moves none of these rows.
 
-    Spark keeps buckets of named tables alone, so the folder gets a name, which `release` drops.
+    Spark keeps buckets of named tables alone, so the folder gets a name, which `release` drops. Row groups are small:
+    a reader takes a column of one of them at once, in memory outside the heap.
     """
     spark = df.sparkSession
     name, folder = f"{label}_{uuid.uuid4().hex}", shared_folder(spark, label)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", folder).bucketBy(buckets, by).saveAsTable(name)
+    df.write.format("parquet").option("path", folder).option("parquet.block.size", ROW_GROUP).bucketBy(buckets, by).saveAsTable(name)
     _named.append((spark.sparkContext.applicationId, name))
     return spark.table(name)
 

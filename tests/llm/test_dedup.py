@@ -146,3 +146,20 @@ def test_lines_that_stay(spark, words, seed):
 
 def test_lines_of_an_empty_table(spark):
     assert line_dedup.deduplicate_lines(empty(spark)).count() == 0
+
+
+def test_texts_in_buckets_move_nowhere_and_are_released(spark, monkeypatch):
+    from leadsieve.llm import common
+    monkeypatch.setattr(common, "_made", [])
+    monkeypatch.setattr(common, "_named", [])
+    run = "\n".join(f"a line that repeats number {k} of a long run" for k in range(3))
+    docs = spark.createDataFrame([(k, f"only {k}\n{run}\nend of {k}") for k in range(40)], "doc_id long, text string").repartition(4)
+    got = line_dedup.deduplicate_lines(docs)
+    assert {r.doc_id: r.n_deleted for r in got.collect()} == {k: 3 if k else 0 for k in range(40)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan" in line and re.search(r"\btext#", line)]
+    assert "ShuffledHashJoin" in plan and scan and all("Bucketed: true" in line for line in scan)
+    names = [n for _, n in common._named]
+    assert len(names) == 1 and spark.catalog.tableExists(names[0])
+    common.release(spark)
+    assert not spark.catalog.tableExists(names[0]) and not common._made and not common._named

@@ -1,11 +1,12 @@
 """Mixing to target weights with soft membership.
 
 A classifier learnt from a bounded sample of the labelled table gives each document its posterior over domains. Rates r,
-the expected number of times a document is used, are fitted by bounded least squares: expected token totals
-sum(r * tokens * posterior) shall be the targets, and rates stay near 1 (a ridge far below the smallest domain, weighted by
-tokens). The best rates are 1 less a pull by domain times the posterior, held within the bounds; the pulls are found by
-Newton steps along gradients projected on the rates that are free. A step needs only sums by domain, which Spark makes.
-Documents with one posterior share a rate, so the sums run over one row per posterior.
+the expected number of times a document is used, are fitted by least squares over documents: expected token totals
+sum(r * tokens * posterior) shall be the targets, and rates stay within bounds. The fit goes along projected gradients from
+rates of 1. A gradient needs only totals by domain, which Spark sums; with the products of posteriors of rates that are free
+it also tells the next gradients, so several steps are taken at once and projected. They count if the squared error fell,
+else fewer are taken, a single one at last. What a document's rate becomes follows from its posterior and the steps so far,
+so every task makes them again and no table of rates is kept. Documents with one posterior share a rate.
 """
 
 from __future__ import annotations
@@ -28,17 +29,15 @@ log = logging.getLogger(__name__)
 #: Labelled documents to learn from at most, the smallest by a hash of their id.
 EXAMPLES = 8_000
 BINS = 1024
-#: Posteriors are multiples of 1 / GRID.
-GRID = 1000
-#: Weight of the ridge, as a part of the smallest domain's or target's share; it falls tenfold, down to the second, as long as
-#: targets are missed.
-RIDGE = 1e-3
-LEAST_RIDGE = 1e-7
-STEPS = 40
-#: The fit ends once no domain's step is wider than this part of the smallest share.
-CLOSE = 1e-6
-#: Parts of a Newton step that are tried at once.
-TRIED = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+#: The fit ends once every target is met but for this part of it, or once LEVEL passes in a row have lowered the squared error
+#: by less than STILL of it, as when targets can't be reached; PASSES guards against a fit that does neither.
+CLOSE = 5e-3
+LEVEL = 8
+STILL = 1e-3
+PASSES = 200
+#: Steps at once grow by the first factor after a fall of the error, and shrink by the second after a rise.
+MORE = 4
+FEWER = 16
 #: A target missed by more than this part of it is told in the log.
 MISSED = 0.01
 #: Room above the rate a domain needs when no document is shared between domains.
@@ -77,15 +76,12 @@ class Classifier:
     """domains by name; standardising of the measures; weights of measures, bins and the constant by domain."""
 
     def posterior(self, stats: np.ndarray, bins: np.ndarray) -> np.ndarray:
-        """A posterior in multiples of 1 / GRID that sums to 1."""
+        """A posterior over the domains; it sums to 1."""
         score = ((stats - self.mean) / self.scale) @ self.weights[:STATS] + self.weights[-1]
         if len(bins):
             score = score + self.weights[STATS:STATS + BINS][bins].sum(axis=0) / np.sqrt(len(bins))
         likely = np.exp(score - score.max())
-        exact = likely / likely.sum() * GRID
-        out = np.floor(exact)
-        out[np.argsort(out - exact, kind="stable")[:int(GRID - out.sum())]] += 1
-        return out / GRID
+        return likely / likely.sum()
 
 
 def _trained(stats: np.ndarray, bins: list[np.ndarray], truth: np.ndarray, domains: list[str], steps: int = 150) -> Classifier:
@@ -155,11 +151,19 @@ def with_posterior(docs: DataFrame, model: Classifier, text: str = "text", colum
     return docs.withColumn(column, made(whole(text)))
 
 
+def _replayed(posterior: np.ndarray, steps: list[np.ndarray], least: float, most: float | None) -> np.ndarray:
+    """The rates of posteriors (rows x domains) after these steps: what each takes from a rate by domain."""
+    rate = np.clip(np.ones(len(posterior)), least, most)
+    for step in steps:
+        rate = np.clip(rate - posterior @ step, least, most)
+    return rate
+
+
 @dataclass
 class Rates:
-    """The pull of each domain, from which a posterior's rate follows; tokens wanted and reached by domain."""
+    """The steps of the fit, from which a posterior's rate follows; tokens wanted and reached by domain."""
 
-    pulls: list[float]
+    steps: list[np.ndarray]
     least: float
     most: float | None
     wanted: dict[str, float]
@@ -167,48 +171,62 @@ class Rates:
 
     def of(self, posterior):
         """Column of the rate of a posterior (an array column)."""
-        rate = sum((posterior[k] * -pull for k, pull in enumerate(self.pulls)), F.lit(1.0))
-        rate = F.greatest(F.lit(float(self.least)), rate)
-        return rate if self.most is None else F.least(F.lit(float(self.most)), rate)
+        steps, least, most = self.steps, self.least, self.most
+        if not steps:
+            held = max(least, 1.0) if most is None else min(max(least, 1.0), most)
+            return F.lit(float(held))
+
+        def rate(given: pd.Series) -> pd.Series:
+            return pd.Series(_replayed(np.stack(given.to_numpy()), steps, least, most) if len(given) else [], dtype="float64")
 
+        return F.pandas_udf(rate, "double")(posterior)
 
-def _tried(cells: DataFrame, tries: list[np.ndarray], wanted: float, least: float, most: float | None) -> list[tuple]:
-    """For pulls: the part of the fit's height that documents make, their token shares by domain, and the free part of them."""
+
+def _totals(cells: DataFrame, size: int, steps: list[np.ndarray], wanted: float, least: float,
+            most: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of tokens by domain at the rates after these steps; by pair of domains, those of documents within the bounds."""
     import pyarrow as pa
-    size = len(tries[0])
-    width = 1 + size + size * size
 
     def run(batches):
-        out = np.zeros((len(tries), width))
+        out = np.zeros((1 + size, size))
         for batch in batches:
             posterior = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
             weight = batch.column(1).to_numpy(zero_copy_only=False) / wanted
-            for k, pulls in enumerate(tries):
-                pull = posterior @ pulls
-                held = np.clip(1 - pull, least, most)
-                out[k, 0] -= (weight * ((held - 1) ** 2 / 2 + pull * held)).sum()
-                out[k, 1:1 + size] += (weight * held) @ posterior
-                free = weight * (held == 1 - pull)
-                out[k, 1 + size:] += ((posterior * free[:, None]).T @ posterior).reshape(-1)
+            rate = _replayed(posterior, steps, least, most)
+            out[0] += (weight * rate) @ posterior
+            free = weight * ((rate > least) & (rate < (np.inf if most is None else most)))
+            out[1:] += (posterior * free[:, None]).T @ posterior
         yield pa.RecordBatch.from_pydict({"at": np.arange(out.size), "value": out.reshape(-1)})
 
-    out = np.zeros(len(tries) * width)
+    out = np.zeros((1 + size) * size)
     for r in cells.select("posterior", F.col("tokens").cast("double")).mapInArrow(run, "at long, value double").groupBy("at").agg(
-            F.sum("value").alias("value")).collect():
+            F.sum("value").alias("value")).collect():  # a row for each domain and pair of domains
         out[r["at"]] = r["value"]
-    return [(o[0], o[1:1 + size], o[1 + size:].reshape(size, size)) for o in out.reshape(len(tries), width)]
+    out = out.reshape(1 + size, size)
+    return out[0], out[1:]
+
+
+def _at_once(count: int, products: np.ndarray, scale: np.ndarray, missed: np.ndarray) -> np.ndarray:
+    """What this many gradient steps take from a rate by domain, as long as no further rate meets a bound."""
+    keep = np.eye(len(scale)) - products * scale  # what a step leaves of the misses
+    total, power = np.zeros_like(keep), np.eye(len(scale))
+    for bit in bin(count)[2:]:  # total: the sum of the first powers of keep; power: the next one
+        total, power = total + power @ total, power @ power
+        if bit == "1":
+            total, power = total + power, power @ keep
+    return scale * (total @ missed)
 
 
 def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None,
-          least: float = 0.0, most: float | None = None, ridge: float = RIDGE, steps: int = STEPS,
-          reach: bool = False) -> Rates:
+          least: float = 0.0, most: float | None = None, passes: int = PASSES, reach: bool = False) -> Rates:
     """Rates for cells (posterior, tokens): posteriors and the tokens of all documents that have them.
 
     targets: weight by domain; domains without one get 0, and weights are scaled to sum to 1. total: tokens wanted, those
     there by default. least and most bound the rates. reach: total and most are raised as far as rates of at least `least`
-    need for domains with a target to have their shares; what documents hold of domains without one isn't counted. Targets that can't be reached within them are missed by as little
-    as least squares can; the result has the tokens wanted and reached, and the log tells of targets missed.
-    Only sums by domain come to the driver.
+    need for domains with a target to have their shares; what documents hold of domains without one isn't counted. Targets
+    that can't be reached within them are missed by as little as least squares can, errors taken in parts of a domain's size
+    (its target or what is there, whichever is more); the result has the tokens wanted and reached, and the log tells of
+    targets missed. Only sums by domain come to the driver.
     """
     size = len(domains)
     sums = cells.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * F.col("posterior")[k]).alias(f"s{k}")
@@ -223,34 +241,33 @@ def solve(cells: DataFrame, domains: list[str], targets: dict[str, float], total
         aimed = (goal > 0) & (there > 0)
         wanted = max([wanted, *(least * there[aimed] / goal[aimed])])
         most = most if most is None else max([most, *(REACH * wanted * goal[aimed] / there[aimed])])
-    small = min((there[there > 0] / wanted).min(), goal[goal > 0].min())
-    ridge, last = ridge * small, LEAST_RIDGE * small
-    near = np.where(goal > 0, MISSED * goal, np.inf)  # a domain without a target would take all else from few documents
-    lift = lambda pulls, made: made[0] + pulls @ goal + ridge / 2 * pulls @ pulls
-    pulls = np.zeros(size)
-    made = _tried(cells, [pulls], wanted, least, most)[0]
-    for _ in range(steps):
-        slope = goal - made[1] + ridge * pulls
-        if np.abs(slope).max() <= CLOSE * small:
-            if ridge <= last or (np.abs(made[1] - goal) <= near).all():
-                break
-            ridge /= 10
-            slope = goal - made[1] + ridge * pulls
-        way = -np.linalg.solve(made[2] + ridge * np.eye(size), slope)
-        tries = [pulls + part * way for part in TRIED]
-        found = _tried(cells, tries, wanted, least, most)
-        best = min(range(len(tries)), key=lambda k: lift(tries[k], found[k]))
-        if not lift(tries[best], found[best]) < lift(pulls, made):
-            if ridge <= last:
-                break
-            ridge /= 10
-            continue
-        pulls, made = tries[best], found[best]
-    rates = Rates(pulls.tolist(), least, most, dict(zip(domains, (goal * wanted).tolist(), strict=True)),
-                  dict(zip(domains, (made[1] * wanted).tolist(), strict=True)))
-    for d in domains:
-        if abs(rates.reached[d] - rates.wanted[d]) > MISSED * (rates.wanted[d] or small * wanted):
-            log.warning("domain %s: %.0f tokens wanted, %.0f reached", d, rates.wanted[d], rates.reached[d])
+    # With errors in parts of a domain's size, and rates weighted by tokens, the gradient changes by no more than the rates
+    # do, as posteriors sum to 1: steps of length 1 are safe.
+    scale = np.maximum(there / wanted, goal)
+    scale = np.where(scale > 0, 1 / np.where(scale > 0, scale, 1), 0)
+    near = np.where(goal > 0, CLOSE * goal, np.inf)  # a domain without a target would take all else from few documents
+    made: list[np.ndarray] = []
+    tried, errors, count = made, [], 1
+    for _ in range(passes):
+        found, products = _totals(cells, size, tried, wanted, least, most)
+        error = float(scale @ (found - goal) ** 2)
+        if not errors or error < errors[-1]:
+            made, share, free, count = tried, found, products, count * MORE if tried else 1
+            errors.append(error)
+        elif count == 1:
+            break
+        else:
+            count = max(1, count // FEWER)
+            errors.append(errors[-1])
+        still = len(errors) > LEVEL and errors[-1 - LEVEL] - errors[-1] < STILL * errors[-1 - LEVEL]
+        if still or (np.abs(share - goal) <= near).all():
+            break
+        tried = [*made, _at_once(count, free, scale, share - goal)]
+    rates = Rates(made, least, most, dict(zip(domains, (goal * wanted).tolist(), strict=True)),
+                  dict(zip(domains, (share * wanted).tolist(), strict=True)))
+    for k, d in enumerate(domains):
+        if abs(rates.reached[d] - rates.wanted[d]) > MISSED * (rates.wanted[d] or there[k]):
+            log.warning("domain %s: %.0f tokens wanted, %.0f reached after %d steps", d, rates.wanted[d], rates.reached[d], len(made))
     return rates
 
 
@@ -292,5 +309,6 @@ def mixed_rows(docs: DataFrame, model: Classifier, targets: dict[str, float], do
     scored = staged(with_posterior(narrow, model, "text", "mix").select("row", "id", fingerprint("text").alias("print"), "mix"),
                     "posteriors")
     rates = solve(staged(_cells(scored, "mix"), "cells"), model.domains, targets, **how)
-    times = copies(rates.of(F.col("mix.posterior")), F.col("id"), F.col("print"))
-    return scored.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
+    rated = scored.withColumn("rate", rates.of(F.col("mix.posterior")))
+    times = copies(F.col("rate"), F.col("id"), F.col("print"))
+    return rated.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")

@@ -54,7 +54,7 @@ def test_index_finds_the_exact_neighbours():
 
 def test_rates_meet_targets(spark):
     cells = spark.createDataFrame([([0.9, 0.1], 1000), ([0.2, 0.8], 3000), ([0.5, 0.5], 500)], "posterior array<double>, tokens long")
-    rates = mixing.solve(cells, ["a", "b"], {"a": 0.6, "b": 0.4}, steps=200)
+    rates = mixing.solve(cells, ["a", "b"], {"a": 0.6, "b": 0.4})
     rows = cells.withColumn("rate", rates.of(cells["posterior"])).collect()
     totals = [sum(r.rate * r.tokens * r.posterior[k] for r in rows) / 4500 for k in (0, 1)]
     assert totals == pytest.approx([0.6, 0.4], abs=0.02) and all(r.rate >= 0 for r in rows)
@@ -87,12 +87,50 @@ def test_the_pipeline_reaches_its_shares_without_loss(spark, good, poor):
     assert totals / totals.sum() == pytest.approx([0.05, 0.95], rel=0.02) and all(r.rate >= 1 for r in rows)
 
 
-def test_the_ridge_falls_until_leaking_domains_meet_their_target(spark):
-    table = spark.createDataFrame([([0.95, 0.05], 80000), ([0.99, 0.01], 2000), ([0.5, 0.5], 18000)], "posterior array<double>, tokens long")
+def test_leaking_domains_meet_their_target(spark):
+    table = spark.createDataFrame([([0.95, 0.05], 80000), ([0.99, 0.01], 2000), ([0.5, 0.5], 18000)], "posterior array<double>, tokens long").coalesce(1)
     rates = mixing.solve(table, ["a", "b"], {"a": 0.98, "b": 0.02})
     assert [rates.reached[d] for d in "ab"] == pytest.approx([rates.wanted[d] for d in "ab"], rel=0.02)
 
 
+@pytest.mark.parametrize("least, most", [(0.0, None), (1.0, 1.5), (0.2, 4.0)])
+def test_rates_are_the_least_squares_by_single_documents(spark, least, most):
+    """Brute force: one rate a document, each set to its best in turn until none moves."""
+    draw = np.random.default_rng(11)
+    posterior = draw.dirichlet([0.3, 0.3, 0.3], size=60)
+    tokens, goal = draw.integers(1, 400, size=60), np.array([0.6, 0.39, 0.01])
+    cells = spark.createDataFrame([(p.tolist(), int(n)) for p, n in zip(posterior, tokens, strict=True)], "posterior array<double>, tokens long").coalesce(1)
+    rates = mixing.solve(cells, ["a", "b", "c"], dict(zip("abc", goal.tolist(), strict=True)), least=least, most=most)
+    share = posterior * (tokens / tokens.sum())[:, None]
+    scale = 1 / np.maximum(share.sum(axis=0), goal)
+    best = np.ones(60)
+    for _ in range(3000):
+        for k in range(60):
+            rest = best @ share - best[k] * share[k] - goal
+            best[k] = np.clip(-(scale * rest) @ share[k] / ((scale * share[k]) @ share[k]), least, most)
+    error = lambda r: scale @ (r @ share - goal) ** 2
+    found = np.array([r.rate for r in cells.withColumn("rate", rates.of(cells["posterior"])).collect()])
+    assert np.all(found >= least) and (most is None or np.all(found <= most))
+    assert math.sqrt(error(found)) <= math.sqrt(error(best)) * 1.03 + 5e-3
+    assert [rates.reached[d] / tokens.sum() for d in "abc"] == pytest.approx((found @ share).tolist(), abs=1e-9)
+
+
+def test_steps_at_once_are_single_steps():
+    products, scale, missed = np.array([[0.5, 0.1], [0.1, 0.2]]), np.array([1.2, 3.0]), np.array([0.3, -0.2])
+    for count in (1, 2, 3, 8, 13):
+        left, taken = missed, np.zeros(2)
+        for _ in range(count):
+            taken, left = taken + scale * left, left - products @ (scale * left)
+        assert mixing._at_once(count, products, scale, missed) == pytest.approx(taken)
+
+
+def test_a_rare_domain_keeps_its_mass():
+    weights = np.zeros((mixing.STATS + mixing.BINS + 1, 2))
+    weights[-1] = [0.0, -9.0]
+    rare = mixing.Classifier(["a", "b"], np.zeros(mixing.STATS), np.ones(mixing.STATS), weights)
+    assert rare.posterior(np.zeros(mixing.STATS), np.array([], dtype=int))[1] == pytest.approx(math.exp(-9) / (1 + math.exp(-9)))
+
+
 def test_mixing_keeps_every_row_with_rates_of_one_or_more(spark):
     rows, labels = labelled(spark)
     docs = documents(spark, rows + ROWS)

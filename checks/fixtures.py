@@ -197,6 +197,15 @@ SELECT 'k' || CAST(CAST(floor(p_partkey / 8) AS BIGINT) AS STRING) AS campaign,
        CAST(NULL AS STRING) AS unfit
 FROM part GROUP BY 1"""
 
+#: Sites whose homepages hold twelve links each, and the pages of them that were crawled.
+CRAWLED = ["/about-us/", "/careers", "/pricing?x=1", "/Solutions/./x/../y", "/case-studies/1", "/case-studies/2", "/plans", "/privacy"]
+FIXTURES["home_links"] = """
+SELECT p_partkey, page, 'https://www.shop' || CAST(page AS STRING) || '.co.uk/' AS base, 'www.shop' || CAST(page AS STRING) || '.co.uk' AS site,
+  replace(href, '.shop' || CAST(page % 40 AS STRING) || '.', '.shop' || CAST(page AS STRING) || '.') AS href FROM hrefs"""
+FIXTURES["linked_crawl"] = " UNION ALL ".join(
+    f"SELECT DISTINCT page, {i} AS i, base, substr(base, 1, length(base) - 1) || '{p}' AS url FROM home_links WHERE (page + {i}) % 5 <> 0"
+    for i, p in enumerate(CRAWLED))
+
 FIXTURES["hrefs"] = """
 SELECT p_partkey, CAST(floor(p_partkey / 12) AS BIGINT) AS page,
        'https://www.shop' || CAST(CAST(floor(p_partkey / 12) AS BIGINT) % 40 AS STRING) || '.co.uk/eu/start' AS base,

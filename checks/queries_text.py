@@ -6,7 +6,7 @@ from checks import sql as S
 from checks.registry import fixture, query, table
 from leadsieve import constants as C
 from leadsieve.functions import domains as D, html as H, text as X
-from leadsieve.sources.pages import ingest_pages
+from leadsieve.sources.pages import ingest_pages, linked_pages
 
 c = F.col
 
@@ -166,6 +166,32 @@ def _(spark, sf):
     return picked.select("page", "link", (c("i") + 1).alias("place"))
 
 
+_LINKS = _RESOLVED.replace("FROM hrefs", "FROM home_links")
+
+
+@query("linked_pages", f"""
+WITH {_LINKS},
+usable AS (SELECT page, base, site, link, min(p_partkey) AS ord FROM resolved
+  WHERE href <> '' AND NOT regexp_matches(href, '{_SKIP}') AND link IS NOT NULL AND link <> rtrim(base, '/')
+    AND {S.registrable(S.host_of('link'))} = {S.registrable('site')} GROUP BY ALL),
+scored AS (SELECT *, {_score(S.url_path('link'))} AS score FROM usable),
+picked AS (SELECT page, site, link, row_number() OVER (PARTITION BY page ORDER BY score DESC, length(link), ord) AS place
+  FROM scored WHERE score > 0 QUALIFY place <= 4)
+SELECT DISTINCT site AS domain, CAST(0 AS INT) AS place, base AS url, 'Home ' || page AS text FROM home_links
+UNION ALL SELECT site, CAST(place AS INT), c.url, 'Text of page ' || i FROM picked p
+  JOIN linked_crawl c ON c.page = p.page AND rtrim(regexp_extract(c.url, '^[^?]*'), '/') = link WHERE i <> 4""")
+def _(spark, sf):
+    # A homepage holds the twelve links of its key range; page 4 of each site has no text.
+    link = F.concat(F.lit('<a href="'), c("href"), F.lit('"></a>'))
+    homes = fixture(spark, sf, "home_links").groupBy("page", "base").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("p_partkey", link.alias("a")))), lambda s: s["a"]), "").alias("links"))
+    homes = homes.select((c("page") * 10 + 9).alias("page_id"), c("base").alias("url"), F.concat(
+        F.lit("<html><body><p>Home "), c("page").cast("string"), F.lit("</p>"), c("links"), F.lit("</body></html>")).alias("html"))
+    others = fixture(spark, sf, "linked_crawl").select((c("page") * 10 + c("i")).alias("page_id"), "url", F.when(
+        c("i") == 4, "<html></html>").otherwise(F.concat(F.lit("<p>Text of page "), c("i").cast("string"), F.lit("</p>"))).alias("html"))
+    return linked_pages(homes.unionByName(others)).select("domain", "place", "url", "text")
+
+
 @query("parse_html", f"""
 WITH {S.parsed_pages()}
 SELECT page_id, domain, depth, title, description, array_to_string(headings, ' | ') AS headings,

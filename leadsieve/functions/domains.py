@@ -55,6 +55,13 @@ def same_site(host: Column, domain: Column) -> Column:
     return (host != "") & (registrable(host) == registrable(domain))
 
 
+def offdomain_mark(domain: Column, url: Column) -> Column:
+    """`redirect_offdomain:` and the host of a page that was reached for another owner's domain, else ''. Ports don't count."""
+    host = normalize_domain(url)
+    away = (host != "") & ~same_site(host, domain)
+    return F.when(away, F.concat(F.lit("redirect_offdomain:"), host_of(url))).otherwise("")
+
+
 def host_of(url: Column) -> Column:
     """The network location of an absolute URL, port and user included."""
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)

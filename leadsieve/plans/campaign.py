@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from leadsieve import constants as C
+from leadsieve.functions.domains import offdomain_mark
 from leadsieve.operators.decide import incremental_decide
 from leadsieve.operators.gate import build_digest, quality_gate
 from leadsieve.operators.rules import prefilter
@@ -13,17 +14,18 @@ from leadsieve.operators.sites import domain_rows, list_sites, plan_fetches, ski
 from leadsieve.operators.verdicts import (all_verdicts, domain_verdicts, finalize, merge_verdicts,
                                           resolve_failed)
 from leadsieve.session import stored
-from leadsieve.sources.pages import ORDER, ingest_first_pages
+from leadsieve.sources.pages import ORDER, ingest_first_pages, linked_pages
 from leadsieve.sources.rubric import Rubric
 from leadsieve.sources.store import SiteStore
 
 
-def gated_sites(pages: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+def gated_sites(pages: DataFrame, requested: DataFrame | None = None, links: bool = False) -> DataFrame:
     """Raw pages as gated sites; with `requested` (domain), one for each of its domains and no others.
 
-    A requested domain without pages is `thin` and fails the gate with `no_pages`.
+    A requested domain without pages is `thin` and fails the gate with `no_pages`. Its pages are those of least depth, or
+    with `links` those that its homepage's best links lead to.
     """
-    sites = list_sites(ingest_first_pages(pages, requested), *ORDER)
+    sites = list_sites(linked_pages(pages, requested), "place") if links else list_sites(ingest_first_pages(pages, requested), *ORDER)
     if requested is not None:
         found = requested.select("domain").distinct().join(sites, "domain", "left")
         none = F.array().cast(sites.schema["pages"].dataType)
@@ -32,12 +34,16 @@ def gated_sites(pages: DataFrame, requested: DataFrame | None = None) -> DataFra
     return quality_gate(sites)
 
 
-def crawl_results(pages: DataFrame, tier: str = "plain", requested: DataFrame | None = None) -> DataFrame:
-    """Gated sites with digest, as the crawl log records them; see `gated_sites` for `requested`."""
-    gated = build_digest(gated_sites(pages, requested))
+def crawl_results(pages: DataFrame, tier: str = "plain", requested: DataFrame | None = None, links: bool = False) -> DataFrame:
+    """Gated sites with digest, as the crawl log records them; see `gated_sites` for `requested` and `links`.
+
+    `error` tells of sites without pages and of homepages on another owner's domain, which keep their status.
+    """
+    gated = build_digest(gated_sites(pages, requested, links))
+    away = offdomain_mark(F.col("domain"), F.col("pages")[0]["url"])
     return gated.select("domain", "status", "gate_ok", "gate_reason",
                         F.lit(tier).alias("source_tier"), F.size("pages").alias("pages"),
-                        "chars", F.when(F.size("pages") == 0, "no pages").otherwise("").alias("error"),
+                        "chars", F.when(F.size("pages") == 0, "no pages").otherwise(away).alias("error"),
                         "digest")
 
 

@@ -30,8 +30,10 @@ def test_all_probes_find_the_exact_neighbours(spark):
     assert ann.search(table.filter("false"), table, 3).count() == 0
 
 
-def test_recall_of_the_default_setting(spark):
-    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])  # searched exactly, by hashing
+def test_recall_of_the_default_setting(spark, sf):
+    vectors = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+    assert (vectors.count() > ann.SCANNED) == (sf == "0.1")
     got = {(r.query_id, r.vec_id) for r in ann.search(vectors, vectors.filter("vec_id % 20 = 0")).collect()}
     rows = vectors.collect()
     made = np.array([r.embedding for r in rows], dtype=np.float64)
